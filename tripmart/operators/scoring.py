@@ -109,3 +109,52 @@ def score(df: DataFrame, model=None, compat: bool = False) -> DataFrame:
     else:
         scored = model_score(feats, model).withColumn("model_used", F.lit(type(model).__name__))
     return scored.select(*SCORED_COLUMNS, "model_used")
+
+
+def fit_delay_model(df: DataFrame, label: str = "is_delayed", features=FEATURES, max_iter: int = 50):
+    """Train a logistic model with distributed MLlib on rows with all
+    features and a label; returns the fitted ``PipelineModel``."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+
+    train = scoring_features(df).dropna(subset=[*features, label]).withColumn(
+        "_label", F.col(label).cast("double")
+    )
+    pipe = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=list(features), outputCol="_x_raw"),
+            StandardScaler(inputCol="_x_raw", outputCol="_x", withMean=True, withStd=True),
+            LogisticRegression(featuresCol="_x", labelCol="_label", maxIter=max_iter),
+        ]
+    )
+    return pipe.fit(train)
+
+
+def to_numpy_model(pipeline_model) -> LogisticModel:
+    """The fitted MLlib pipeline as a ``LogisticModel`` (8 coefficients) for
+    the pandas-UDF path."""
+    scaler, lr = pipeline_model.stages[1], pipeline_model.stages[2]
+    return LogisticModel(
+        coef=lr.coefficients.toArray(),
+        intercept=lr.intercept,
+        mean=scaler.mean.toArray(),
+        scale=np.where(scaler.std.toArray() == 0, 1.0, scaler.std.toArray()),
+    )
+
+
+def spark_model_score(df: DataFrame, pipeline_model, out: str = "delay_probability") -> DataFrame:
+    """F2 on the JVM: ``PipelineModel.transform`` and P(class 1).  Rows with a
+    missing feature get NULL."""
+    from pyspark.ml.functions import vector_to_array
+
+    feats = scoring_features(df)
+    ok = F.lit(True)
+    for c in FEATURES:
+        ok = ok & F.col(c).isNotNull()
+    scored = pipeline_model.transform(feats.filter(ok))
+    scored = scored.withColumn(out, vector_to_array("probability")[1]).drop(
+        "_x_raw", "_x", "rawPrediction", "probability", "prediction"
+    )
+    missing = feats.filter(~ok).withColumn(out, F.lit(None).cast("double"))
+    return scored.unionByName(missing)

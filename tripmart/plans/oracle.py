@@ -73,7 +73,7 @@ BRONZE = """bronze AS (
          'run-' || strftime(arrival_time, '%Y%m%d') AS _pipeline_run_id,
          'freight/year=' || strftime(arrival_time, '%Y') || '/month=' || strftime(arrival_time, '%m')
            || '/freight_' || strftime(arrival_time, '%Y-%m') || '.csv' AS _source_path,
-         CAST(arrival_time AS DATE) AS _ingestion_date
+         CAST(date_trunc('month', arrival_time) AS DATE) AS _ingestion_date
   FROM trips
 )"""
 
@@ -293,7 +293,118 @@ SELECT * EXCLUDE (_rn) FROM (
   FROM typed) WHERE _rn = 1"""
 
 
+def _contract_select(contract) -> str:
+    cols = []
+    for c, t, _ in contract:
+        dt = "VARCHAR" if t.startswith("varchar") else t.upper().replace("INT", "INTEGER") if t == "int" else t.upper()
+        cols.append(f"TRY_CAST({c} AS {dt}) AS {c}")
+    return ", ".join(cols)
+
+
+def _violations(contract, table: str, src: str) -> str:
+    import re
+
+    parts = []
+    for c, t, nullable in contract:
+        m = re.fullmatch(r"varchar\((\d+)\)", t)
+        dt = "VARCHAR" if m else ("INTEGER" if t == "int" else t.upper())
+        nn = "0" if nullable else f"COUNT_IF({c} IS NULL)"
+        ln = f"COUNT_IF(length({c}) > {m.group(1)})" if m else "0"
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST({nn} AS BIGINT) AS not_null_violations, "
+            f"COUNT_IF({c} IS NOT NULL AND TRY_CAST({c} AS {dt}) IS NULL) AS cast_lost_values, "
+            f"CAST({ln} AS BIGINT) AS too_long_values FROM ({src})"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+EXPECTED = [
+    "trip_id", "origin_station", "destination_station", "cargo_type", "cargo_weight_tons",
+    "departure_time", "arrival_time", "train_id", "operator", "freight_value_brl",
+    "fuel_cost_brl", "delay_minutes",
+]
+
+A5_BODY = f"""SELECT origin_station, destination_station,
+       COUNT(*) AS trip_count,
+       {XAVG("cargo_weight_tons")} AS avg_weight,
+       {XAVG("freight_value_brl")} AS avg_revenue,
+       {XAVG("delay_minutes")} AS avg_delay,
+       {XAVG("trip_duration_hours")} AS avg_duration,
+       COUNT(DISTINCT cargo_type) AS cargo_diversity
+FROM silver GROUP BY origin_station, destination_station HAVING COUNT(*) >= 10"""
+
+_TRIPS_YM = f"""{TRIPS},
+ty AS (SELECT *, CAST(year(departure_time) AS INTEGER) AS year,
+              CAST(month(departure_time) AS INTEGER) AS month FROM trips)"""
+
+
 def oracle_queries() -> dict[str, str]:
+    from tripmart.schema import SERVING_CONTRACTS
+
+    out = _oracle_base()
+    a1 = A1_BODY.replace("ORDER BY trip_date", "")
+    heuristic = out["f3_heuristic"]
+    out.update(
+        {
+            "a5_route_features": with_silver(A5_BODY),
+            "k3_overwrite_roundtrip": with_silver(A5_BODY),
+            "s1_csv_roundtrip": f"WITH {_TRIPS_YM},\n{typed('ty')}\nSELECT * FROM typed",
+            "s2_landing_partitions": f"""WITH {_TRIPS_YM}
+SELECT year, month, COUNT(*) AS rows FROM ty WHERE year >= 1996 GROUP BY year, month""",
+            "m1_expected_columns": f"WITH {TRIPS}\n"
+            + "\nUNION ALL\n".join(
+                f"SELECT '{c}' AS column_name, true AS present, COUNT({c}) AS non_null_rows, COUNT(*) AS total_rows FROM trips"
+                for c in EXPECTED
+            ),
+            "m2_lineage": f"""WITH {_TRIPS_YM}
+SELECT trip_id, CAST(departure_time AS VARCHAR) AS departure_time, l_partkey, l_suppkey,
+       'run-oracle' AS _pipeline_run_id,
+       'year=' || CAST(year AS VARCHAR) || '/month=' || CAST(month AS VARCHAR) AS source_partition
+FROM ty""",
+            "k1_append_roundtrip": f"WITH {TRIPS},\n{BRONZE}\nSELECT * FROM bronze",
+            "k2_overwrite_roundtrip": with_silver("SELECT * FROM silver"),
+            "k4_conditional_write": with_silver(
+                "SELECT _failure_reason, COUNT(*) AS rows FROM quarantine GROUP BY _failure_reason"
+            ),
+            "k5_serving_roundtrip": with_silver(
+                f"SELECT {_contract_select(SERVING_CONTRACTS['daily_kpis'])} FROM ({a1})"
+            ),
+            "k6_incremental_load": with_silver(
+                f"SELECT {_contract_select(SERVING_CONTRACTS['route_performance'])} FROM ({A2_BODY})"
+            ),
+            "m4_contract_violations": with_silver(
+                "\nUNION ALL\n".join(
+                    [
+                        _violations(SERVING_CONTRACTS["daily_kpis"], "daily_kpis", a1),
+                        _violations(SERVING_CONTRACTS["route_performance"], "route_performance", A2_BODY),
+                        _violations(SERVING_CONTRACTS["cargo_mix"], "cargo_mix", A3_BODY),
+                        _violations(SERVING_CONTRACTS["operator_ranking"], "operator_ranking", A4_BODY),
+                    ]
+                )
+            ),
+            "m6_registered_layer": with_silver(
+                """SELECT cargo_type, operator, COUNT(*) AS total_trips, COUNT(DISTINCT trip_date) AS days
+FROM silver GROUP BY cargo_type, operator"""
+            ),
+            "j2_refine_job": with_silver("SELECT * FROM silver"),
+            "j2_quarantine_job": with_silver(
+                "SELECT _failure_reason, _ingestion_date, COUNT(*) AS rows FROM quarantine GROUP BY 1, 2"
+            ),
+            "j3_gold_job": with_silver(a1),
+            "j4_backfill_job": out["h1_history"],
+            "j5_score_job": heuristic,
+            "a9_load_counts": with_silver(
+                f"""SELECT 'daily_kpis' AS table_name, COUNT(*) AS row_count FROM ({a1})
+UNION ALL SELECT 'route_performance', COUNT(*) FROM ({A2_BODY})
+UNION ALL SELECT 'cargo_mix', COUNT(*) FROM ({A3_BODY})
+UNION ALL SELECT 'operator_ranking', COUNT(*) FROM ({A4_BODY})"""
+            ),
+        }
+    )
+    return out
+
+
+def _oracle_base() -> dict[str, str]:
     feats = ", ".join(
         [
             "round(sin(CAST(3.14159 AS DOUBLE) * 2 * departure_hour / 24), 9) AS hour_sin",

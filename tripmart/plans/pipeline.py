@@ -18,8 +18,9 @@ from tripmart.sources.tables import TRIPS_KNOWN_CARGO, trips
 
 
 def simulated_lineage(df: DataFrame, arrival: str = "arrival_time") -> DataFrame:
-    """Test fixture only: lineage columns as if each trip landed in the
-    monthly file of its arrival, on its arrival day."""
+    """Test fixture only: lineage columns as if each trip arrived on its
+    arrival day in the monthly landing file, ingested on the first day of
+    that month."""
     a = F.col(arrival)
     return df.withColumns(
         {
@@ -30,7 +31,7 @@ def simulated_lineage(df: DataFrame, arrival: str = "arrival_time") -> DataFrame
                 F.lit("/month="), F.date_format(a, "MM"),
                 F.lit("/freight_"), F.date_format(a, "yyyy-MM"), F.lit(".csv"),
             ),
-            "_ingestion_date": F.to_date(a),
+            "_ingestion_date": F.trunc(F.to_date(a), "month"),
         }
     )
 

@@ -6,7 +6,9 @@ driver's tables (through the ``trips`` view).  Names follow the inventory IDs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from tripmart.operators import marts as m
 from tripmart.operators import quality as q
 from tripmart.operators import reports as r
 from tripmart.operators import scoring as sc
+from tripmart.operators import segment as seg
+from tripmart.operators import serve, sinks
 from tripmart.operators.dedup import dedup
 from tripmart.operators.refine import refine
 from tripmart.plans.pipeline import (
@@ -25,6 +29,10 @@ from tripmart.plans.pipeline import (
     split_silver,
     trips_rules,
 )
+from tripmart.plans import jobs
+from tripmart.schema import SERVING_CONTRACTS
+from tripmart.session import scratch_path
+from tripmart.sources.landing import expected_columns_report, read_landing
 from tripmart.sources.tables import trips
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +192,225 @@ def f1_scalar_features(spark, sf_dir):
     )
 
 
+# ── sinks, sources, serving, jobs (each writes below spark.checkpoint.dir) ──
+
+
+def _landing(spark, sf_dir):
+    """K7: trips written as landing CSV; returns its path."""
+    path = scratch_path(spark, "landing")
+    sinks.write_landing_csv(trips(spark, sf_dir), path)
+    return path
+
+
+def s1_csv_roundtrip(spark, sf_dir):
+    """K7 -> S1/S2 (all text, partition columns) -> P1-P11."""
+    path = _landing(spark, sf_dir)
+    raw = read_landing(spark, path, base_path=path)
+    typed = refine(raw).withColumns(
+        {
+            "l_partkey": F.col("l_partkey").cast("bigint"),
+            "l_suppkey": F.col("l_suppkey").cast("bigint"),
+            "l_tax": F.col("l_tax").cast("double"),
+        }
+    )
+    return typed
+
+
+def s2_landing_partitions(spark, sf_dir):
+    """S2 + K7: partition pruning on year; rows per year/month directory."""
+    path = _landing(spark, sf_dir)
+    raw = read_landing(spark, path, base_path=path)
+    return raw.filter(F.col("year") >= 1996).groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def m1_expected_columns(spark, sf_dir):
+    path = _landing(spark, sf_dir)
+    return expected_columns_report(read_landing(spark, path, base_path=path))
+
+
+def m2_lineage(spark, sf_dir):
+    """J1 (S1 + M1 + M2 + K1) -> bronze read back; the wall-clock ingestion
+    time is left out."""
+    landing = _landing(spark, sf_dir)
+    bronze = scratch_path(spark, "bronze")
+    jobs.ingest(spark, landing, bronze, run_id="run-oracle")
+    df = spark.read.parquet(bronze)
+    return df.select(
+        "trip_id",
+        "departure_time",
+        F.col("l_partkey").cast("bigint").alias("l_partkey"),
+        F.col("l_suppkey").cast("bigint").alias("l_suppkey"),
+        "_pipeline_run_id",
+        F.regexp_extract("_source_path", r"year=[0-9]+/month=[0-9]+", 0).alias("source_partition"),
+    )
+
+
+def k1_append_roundtrip(spark, sf_dir):
+    """K1: bronze appended in two runs, read back."""
+    path = scratch_path(spark, "bronze")
+    bronze = bronze_trips(spark, sf_dir)
+    sinks.append_partitioned(bronze.filter(F.col("l_linestatus") == "O"), path, "_ingestion_date")
+    sinks.append_partitioned(bronze.filter(~(F.col("l_linestatus") == "O")), path, "_ingestion_date")
+    return spark.read.parquet(path)
+
+
+def k2_overwrite_roundtrip(spark, sf_dir):
+    """K2: the shared silver was written by J2 with a partitioned overwrite;
+    its last 90 days are overwritten again (dynamic mode replaces only those
+    days) and the table read back still equals silver once."""
+    path = f"{_lake(spark, sf_dir)}/silver"
+    sinks.overwrite_partitioned(r.last_days(silver_trips(spark, sf_dir), 90), path)
+    return spark.read.parquet(path)
+
+
+def k4_conditional_write(spark, sf_dir):
+    """K4: the quarantine is written only when it has rows."""
+    path = scratch_path(spark, "quarantine")
+    n = sinks.write_if_rows(_quarantine(spark, sf_dir), path, "_ingestion_date")
+    if n == 0:
+        return _quarantine(spark, sf_dir).groupBy("_failure_reason").agg(F.count(F.lit(1)).alias("rows"))
+    return spark.read.parquet(path).groupBy("_failure_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def a5_route_features(spark, sf_dir):
+    return seg.route_features(silver_trips(spark, sf_dir))
+
+
+def k3_overwrite_roundtrip(spark, sf_dir):
+    """K3: route features overwritten twice, unpartitioned, read back."""
+    path = scratch_path(spark, "routes")
+    feats = seg.route_features(silver_trips(spark, sf_dir))
+    sinks.overwrite(feats, path)
+    sinks.overwrite(feats, path)
+    return spark.read.parquet(path)
+
+
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def _lake(spark, sf_dir):
+    """bronze (K1) -> J2 -> silver + quarantine -> J3 -> gold, built once per
+    session and input folder under spark.checkpoint.dir."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        root = scratch_path(spark, "lake")
+        sinks.append_partitioned(bronze_trips(spark, sf_dir), f"{root}/bronze", "_ingestion_date")
+        jobs.refine_job(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", rules=trips_rules())
+        jobs.build_marts(spark, f"{root}/silver", f"{root}/gold")
+        _LAKES[key] = root
+    return _LAKES[key]
+
+
+def j2_refine_job(spark, sf_dir):
+    """J2 end to end: bronze Parquet -> silver files, read back."""
+    return spark.read.parquet(f"{_lake(spark, sf_dir)}/silver")
+
+
+def j2_quarantine_job(spark, sf_dir):
+    """J2's quarantine files: rows per reason and ingestion month."""
+    return (
+        spark.read.parquet(f"{_lake(spark, sf_dir)}/quarantine")
+        .groupBy("_failure_reason", "_ingestion_date")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def j3_gold_job(spark, sf_dir):
+    """The daily KPI mart as written by the gold job."""
+    return spark.read.parquet(f"{_lake(spark, sf_dir)}/gold/gold_daily_kpis")
+
+
+_SERVING: dict[tuple[str, str], str] = {}
+
+
+def _serving(spark, sf_dir):
+    """J7 once per session: gold -> typed serving tables; returns the table
+    name prefix."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SERVING:
+        prefix = f"serving_{uuid.uuid4().hex[:8]}_"
+        jobs.publish_job(spark, f"{_lake(spark, sf_dir)}/gold", scratch_path(spark, "serving"), prefix=prefix)
+        _SERVING[key] = prefix
+    return _SERVING[key]
+
+
+def a9_load_counts(spark, sf_dir):
+    """J7 (K5 + M6 + M7 + A9 + U1): row counts of the loaded tables."""
+    prefix = _serving(spark, sf_dir)
+    names = [f"{prefix}{t}" for t in ("daily_kpis", "route_performance", "cargo_mix", "operator_ranking")]
+    return serve.load_counts(spark, names).withColumn(
+        "table_name", F.regexp_replace("table_name", "^serving_[0-9a-f]+_", "")
+    )
+
+
+def k5_serving_roundtrip(spark, sf_dir):
+    """K5: daily KPIs through the typed serving table (decimals, int)."""
+    return spark.table(f"{_serving(spark, sf_dir)}daily_kpis").drop("loaded_at")
+
+
+def k6_incremental_load(spark, sf_dir):
+    """K6: after the full load, the last 60 days are recomputed and only
+    those partitions replaced; the table still equals a full load."""
+    name = f"{_serving(spark, sf_dir)}route_performance"
+    silver = silver_trips(spark, sf_dir)
+    serve.load(spark, m.route_performance(r.last_days(silver, 60)), name,
+               SERVING_CONTRACTS["route_performance"], full_refresh=False)
+    return spark.table(name).drop("loaded_at")
+
+
+def m4_contract_violations(spark, sf_dir):
+    silver = silver_trips(spark, sf_dir)
+    parts = [
+        serve.contract_violations(m.daily_kpis(silver), SERVING_CONTRACTS["daily_kpis"], "daily_kpis"),
+        serve.contract_violations(m.route_performance(silver), SERVING_CONTRACTS["route_performance"], "route_performance"),
+        serve.contract_violations(m.cargo_mix(silver), SERVING_CONTRACTS["cargo_mix"], "cargo_mix"),
+        serve.contract_violations(m.operator_ranking(silver), SERVING_CONTRACTS["operator_ranking"], "operator_ranking"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def m6_registered_layer(spark, sf_dir):
+    """M6: silver files registered as a catalog table, queried by SQL."""
+    name = f"silver_freight_{uuid.uuid4().hex[:8]}"
+    serve.register_layer(spark, name, f"{_lake(spark, sf_dir)}/silver")
+    return spark.sql(
+        f"SELECT cargo_type, operator, COUNT(*) AS total_trips, COUNT(DISTINCT trip_date) AS days FROM {name} "
+        "GROUP BY cargo_type, operator"
+    )
+
+
+def j4_backfill_job(spark, sf_dir):
+    out = scratch_path(spark, "history")
+    jobs.backfill(spark, f"{_lake(spark, sf_dir)}/silver", out)
+    return spark.read.parquet(out)
+
+
+def j5_score_job(spark, sf_dir):
+    out = scratch_path(spark, "scores")
+    jobs.score_job(spark, f"{_lake(spark, sf_dir)}/silver", out)
+    return spark.read.parquet(out)
+
+
+def f2_model_score(spark, sf_dir):
+    """F2: logistic model trained with MLlib, scored through the iterator
+    pandas UDF (Arrow batches)."""
+    silver = silver_trips(spark, sf_dir)
+    model = sc.to_numpy_model(sc.fit_delay_model(silver))
+    return sc.score(silver, model=model)
+
+
+def f2_spark_model_score(spark, sf_dir):
+    """F2 on the JVM: the MLlib PipelineModel transforms directly."""
+    silver = silver_trips(spark, sf_dir)
+    return sc.spark_model_score(silver, sc.fit_delay_model(silver)).select(*sc.SCORED_COLUMNS)
+
+
+def f7_clusters(spark, sf_dir):
+    """Route clusters (k-means labels depend on partitioning)."""
+    clusters, _ = seg.segment_routes(silver_trips(spark, sf_dir))
+    return clusters
+
+
 QUERIES: dict[str, Query] = {
     "p_refine": p_refine,
     "q_split_clean": q_split_clean,
@@ -212,4 +439,26 @@ QUERIES: dict[str, Query] = {
     "f1_scalar_features": f1_scalar_features,
     "f3_heuristic": f3_heuristic,
     "f3_heuristic_compat": f3_heuristic_compat,
+    "f2_model_score": f2_model_score,
+    "f2_spark_model_score": f2_spark_model_score,
+    "a5_route_features": a5_route_features,
+    "f7_clusters": f7_clusters,
+    "s1_csv_roundtrip": s1_csv_roundtrip,
+    "s2_landing_partitions": s2_landing_partitions,
+    "m1_expected_columns": m1_expected_columns,
+    "m2_lineage": m2_lineage,
+    "k1_append_roundtrip": k1_append_roundtrip,
+    "k2_overwrite_roundtrip": k2_overwrite_roundtrip,
+    "k3_overwrite_roundtrip": k3_overwrite_roundtrip,
+    "k4_conditional_write": k4_conditional_write,
+    "k5_serving_roundtrip": k5_serving_roundtrip,
+    "k6_incremental_load": k6_incremental_load,
+    "m4_contract_violations": m4_contract_violations,
+    "m6_registered_layer": m6_registered_layer,
+    "j2_refine_job": j2_refine_job,
+    "j2_quarantine_job": j2_quarantine_job,
+    "j3_gold_job": j3_gold_job,
+    "j4_backfill_job": j4_backfill_job,
+    "j5_score_job": j5_score_job,
+    "a9_load_counts": a9_load_counts,
 }
