@@ -387,6 +387,14 @@ FROM ty""",
 FROM silver GROUP BY cargo_type, operator"""
             ),
             "j2_refine_job": with_silver("SELECT * FROM silver"),
+            "t1_stream_ingest": f"""WITH {_TRIPS_YM}
+SELECT trip_id, CAST(departure_time AS VARCHAR) AS departure_time, l_partkey, l_suppkey,
+       'stream' AS _pipeline_run_id,
+       'year=' || CAST(year AS VARCHAR) || '/month=' || CAST(month AS VARCHAR) AS source_partition
+FROM ty""",
+            "t2_stream_silver": with_silver("SELECT * FROM silver"),
+            "t3_stream_dedup": f"WITH {TRIPS}\nSELECT DISTINCT trip_id, departure_time FROM trips",
+            "t4_late_days": with_silver(a1),
             "j2_quarantine_job": with_silver(
                 "SELECT _failure_reason, _ingestion_date, COUNT(*) AS rows FROM quarantine GROUP BY 1, 2"
             ),
