@@ -393,6 +393,22 @@ SELECT trip_id, CAST(departure_time AS VARCHAR) AS departure_time, l_partkey, l_
        'year=' || CAST(year AS VARCHAR) || '/month=' || CAST(month AS VARCHAR) AS source_partition
 FROM ty""",
             "t2_stream_silver": with_silver("SELECT * FROM silver"),
+            "s5_events": f"""WITH {TRIPS},
+files AS (SELECT CAST(year(departure_time) AS INTEGER) AS y, CAST(month(departure_time) AS INTEGER) AS m,
+                 COUNT(*) AS n, SUM(l_partkey) AS s FROM trips GROUP BY 1, 2),
+acc AS (
+  SELECT 'raw-freight' AS bucket,
+         'freight/year=' || CAST(y AS VARCHAR) || '/month=' || lpad(CAST(m AS VARCHAR), 2, '0')
+           || '/freight ' || CAST(y AS VARCHAR) || '-' || lpad(CAST(m AS VARCHAR), 2, '0') || '.csv' AS key,
+         CASE WHEN m % 3 = 0 THEN substring('req-' || CAST(y AS VARCHAR) || '-0000000000000000', 1, 20)
+              ELSE md5(CAST(n AS VARCHAR) || ':' || CAST(s AS VARCHAR)) END AS etag,
+         CAST(CASE WHEN m % 3 = 0 THEN 0 ELSE n * 100 END AS BIGINT) AS size_bytes
+  FROM files WHERE m % 4 IN (2, 3))
+SELECT *, 'dev-' || substring(replace(etag, '-', ''), 1, 20) AS execution_name FROM acc""",
+            "s6_ledger": f"""WITH {_TRIPS_YM}
+SELECT 'year=' || CAST(year AS VARCHAR) || '/month=' || CAST(month AS VARCHAR) AS source_partition,
+       COUNT(*) AS rows
+FROM ty WHERE year > 1997 GROUP BY 1""",
             "t3_stream_dedup": f"WITH {TRIPS}\nSELECT DISTINCT trip_id, departure_time FROM trips",
             "t4_late_days": with_silver(a1),
             "j2_quarantine_job": with_silver(

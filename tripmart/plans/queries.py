@@ -33,7 +33,9 @@ from tripmart.plans import jobs
 from tripmart.schema import SERVING_CONTRACTS
 from tripmart.session import scratch_path
 from tripmart.sources.landing import expected_columns_report, read_landing
-from tripmart.sources.tables import trips
+from tripmart.sources import events as ev
+from tripmart.sources.synth import synthesize
+from tripmart.sources.tables import table, trips
 from tripmart.streaming import incremental as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -412,6 +414,80 @@ def f7_clusters(spark, sf_dir):
     return clusters
 
 
+# ── file arrivals, ledger, synthetic trips (S5-S8) ───────────────────────────
+
+
+def _notifications(spark, sf_dir):
+    """Notification bodies for the monthly landing files of ``trips``: one
+    event per year with one record per month (at most 12).  Keys arrive
+    URL-encoded; some are outside ``freight/`` or not CSV; a third of the
+    files lack ETag and size (S7 fallback)."""
+    t = trips(spark, sf_dir)
+    files = t.groupBy(
+        F.year("departure_time").alias("y"), F.month("departure_time").alias("m")
+    ).agg(F.count(F.lit(1)).alias("n"), F.sum("l_partkey").alias("s"))
+    y = F.col("y").cast("string")
+    mm = F.lpad(F.col("m").cast("string"), 2, "0")
+    prefix = F.when(F.col("m") % 4 == 0, F.lit("other-prefix/")).otherwise(F.lit("freight/"))
+    suffix = F.when(F.col("m") % 4 == 1, F.lit(".parquet")).otherwise(F.lit(".csv"))
+    raw_key = F.concat(prefix, F.lit("year%3D"), y, F.lit("/month%3D"), mm, F.lit("/freight+"), y, F.lit("-"), mm, suffix)
+    missing = F.col("m") % 3 == 0
+    etag = F.when(~missing, F.concat(F.lit('"'), F.md5(F.concat_ws(":", F.col("n").cast("string"), F.col("s").cast("string"))), F.lit('"')))
+    size = F.when(~missing, F.col("n") * 100)
+    rec = F.struct(
+        F.struct(
+            F.struct(F.lit("raw-freight").alias("name")).alias("bucket"),
+            F.struct(raw_key.alias("key"), size.alias("size"), etag.alias("eTag")).alias("object"),
+        ).alias("s3")
+    )
+    events = files.groupBy("y").agg(F.collect_list(rec).alias("Records"))
+    return events.select(
+        F.concat(F.lit("req-"), F.col("y").cast("string"), F.lit("-0000000000000000")).alias("request_id"),
+        F.to_json(F.struct("Records")).alias("body"),
+    )
+
+
+def s5_events(spark, sf_dir):
+    """S5 + S7: notification JSON -> accepted freight CSV files."""
+    return ev.file_arrivals(_notifications(spark, sf_dir))
+
+
+def _copy_first_file(spark, src_dir, dst_dir):
+    """Byte copy of one landing file under another name (a re-upload)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(src_dir)
+    fs = src.getFileSystem(conf)
+    first = sorted(
+        (st_.getPath().toString() for st_ in fs.listStatus(src) if st_.getPath().getName().endswith(".csv"))
+    )[0]
+    dst = jvm.org.apache.hadoop.fs.Path(f"{dst_dir}/copy.csv")
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, jvm.org.apache.hadoop.fs.Path(first), fs, dst, False, conf)
+
+
+def s6_ledger(spark, sf_dir):
+    """Run 1 ingests the files up to 1997 and records their content;
+    run 2 sees every file plus a re-uploaded copy of a known file and lets
+    through only unseen content."""
+    landing = _landing(spark, sf_dir)
+    _copy_first_file(spark, f"{landing}/year=1995/month=1", f"{landing}/year=1995/month=13")
+    raw = read_landing(spark, landing, base_path=landing).withColumn("_source_path", F.col("_metadata.file_path"))
+    data_cols = [c for c in raw.columns if c not in ("year", "month", "_source_path")]
+    ledger = scratch_path(spark, "ledger")
+    first = raw.filter((F.col("year") <= 1997) & (F.col("month") <= 12))
+    ev.record(ev.content_fingerprints(first, data_cols), ledger)
+    new = ev.unseen_files(ev.content_fingerprints(raw, data_cols), spark.read.parquet(ledger))
+    return new.groupBy(
+        F.regexp_extract("_source_path", r"year=[0-9]+/month=[0-9]+", 0).alias("source_partition")
+    ).agg(F.sum("rows").alias("rows"))
+
+
+def s8_synth(spark, sf_dir):
+    """One synthetic raw trip per lineitem row."""
+    keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return synthesize(keys, ["l_orderkey", "l_linenumber"])
+
+
 # ── streaming (T1-T4) ────────────────────────────────────────────────────────
 
 
@@ -528,6 +604,9 @@ QUERIES: dict[str, Query] = {
     "j4_backfill_job": j4_backfill_job,
     "j5_score_job": j5_score_job,
     "a9_load_counts": a9_load_counts,
+    "s5_events": s5_events,
+    "s6_ledger": s6_ledger,
+    "s8_synth": s8_synth,
     "t1_stream_ingest": t1_stream_ingest,
     "t2_stream_silver": t2_stream_silver,
     "t3_stream_dedup": t3_stream_dedup,
