@@ -27,7 +27,6 @@ FREIGHT_CARGO_TYPES = ["GRAIN", "FUEL", "IRON_ORE", "CONTAINER", "SUGAR", "SOYBE
 STATUS = "_dq_status"
 CLEAN, QUARANTINE, DROPPED = "clean", "quarantine", "dropped"
 PASSED = "_dq_passed"
-FAILED = "_dq_failed"
 REASON = "_failure_reason"
 
 
@@ -98,9 +97,18 @@ def _warnings(rules):
     return [r for r in rules if r.severity == WARNING]
 
 
+def passed_column(rules=None) -> Column:
+    """TRUE when every error rule is TRUE (unknown counts as not passed)."""
+    rules = default_rules() if rules is None else rules
+    passed = F.lit(True)
+    for r in _errors(rules):
+        passed = passed & F.coalesce(r.column(), F.lit(False))
+    return passed
+
+
 def evaluate_rules(df: DataFrame, rules=None, on_unknown: str = QUARANTINE) -> DataFrame:
     """Q4: add ``_dq_<rule>`` (raw result) per error rule, ``_dq_passed``
-    (all TRUE), ``_dq_failed`` (names counted as failed) and ``_dq_status``."""
+    (all TRUE) and ``_dq_status`` (clean / quarantine / dropped)."""
     if on_unknown not in (QUARANTINE, "drop"):
         raise ValueError("on_unknown must be 'quarantine' or 'drop'")
     rules = default_rules() if rules is None else rules
@@ -108,35 +116,31 @@ def evaluate_rules(df: DataFrame, rules=None, on_unknown: str = QUARANTINE) -> D
     flags = {f"_dq_{r.name}": r.column() for r in errors}
     df = df.withColumns(flags)
     passed = F.lit(True)
-    for name in flags:
-        passed = passed & F.coalesce(F.col(name), F.lit(False))
-    if on_unknown == QUARANTINE:
-        failed = [F.when(~F.coalesce(F.col(f"_dq_{r.name}"), F.lit(False)), F.lit(r.name)) for r in errors]
-    else:
-        failed = [F.when(~F.col(f"_dq_{r.name}"), F.lit(r.name)) for r in errors]
-    failed_arr = F.filter(F.array(*failed), lambda x: x.isNotNull()) if failed else F.array().cast("array<string>")
     any_false = F.lit(False)
     for name in flags:
+        passed = passed & F.coalesce(F.col(name), F.lit(False))
         any_false = any_false | F.coalesce(~F.col(name), F.lit(False))
     status = (
         F.when(passed, F.lit(CLEAN))
         .when(any_false | F.lit(on_unknown == QUARANTINE), F.lit(QUARANTINE))
         .otherwise(F.lit(DROPPED))
     )
-    return df.withColumns({PASSED: passed, FAILED: failed_arr}).withColumn(STATUS, status)
+    return df.withColumns({PASSED: passed, STATUS: status})
 
 
-def failure_reason(df: DataFrame, rules=None, compat: bool = False) -> DataFrame:
-    """Q6: ``_failure_reason``.  Compact: failed names joined by ', '.
+def failure_reason(df: DataFrame, rules=None, compat: bool = False, on_unknown: str = QUARANTINE) -> DataFrame:
+    """Q6: ``_failure_reason``.  Compact: failed names joined by ', ' (an
+    unknown result counts as failed under ``on_unknown="quarantine"``).
     ``compat=True``: one slot per error rule, empty when the rule passed or
     was unknown, joined by ', ' (``'positive_weight, , , , , '``)."""
     rules = default_rules() if rules is None else rules
-    if not compat:
-        return df.withColumn(REASON, F.array_join(F.col(FAILED), ", "))
-    slots = [
-        F.when(~F.col(f"_dq_{r.name}"), F.lit(r.name)).otherwise(F.lit(""))
-        for r in _errors(rules)
-    ]
+    errors = _errors(rules)
+    if compat:
+        slots = [F.when(~F.col(f"_dq_{r.name}"), F.lit(r.name)).otherwise(F.lit("")) for r in errors]
+    elif on_unknown == QUARANTINE:
+        slots = [F.when(~F.coalesce(F.col(f"_dq_{r.name}"), F.lit(False)), F.lit(r.name)) for r in errors]
+    else:
+        slots = [F.when(~F.col(f"_dq_{r.name}"), F.lit(r.name)) for r in errors]
     return df.withColumn(REASON, F.concat_ws(", ", *slots))
 
 
@@ -157,18 +161,18 @@ def clean_side(flagged: DataFrame, rules=None) -> DataFrame:
     return drop_dq_columns(warning_flags(clean, rules))
 
 
-def quarantine_side(flagged: DataFrame, rules=None, compat: bool = False) -> DataFrame:
+def quarantine_side(flagged: DataFrame, rules=None, compat: bool = False, on_unknown: str = QUARANTINE) -> DataFrame:
     """Q5 (quarantine half): rows failing a rule, with ``_failure_reason``;
     the per-rule ``_dq_*`` flags stay for auditing."""
     q = flagged.filter(F.col(STATUS) == QUARANTINE)
-    q = failure_reason(q, rules, compat=compat)
-    return q.drop(PASSED, FAILED, STATUS)
+    q = failure_reason(q, rules, compat=compat, on_unknown=on_unknown)
+    return q.drop(PASSED, STATUS)
 
 
 def split(df: DataFrame, rules=None, on_unknown: str = QUARANTINE, compat: bool = False):
     """Q4-Q7: returns ``(clean, quarantine)``."""
     flagged = evaluate_rules(df, rules, on_unknown)
-    return clean_side(flagged, rules), quarantine_side(flagged, rules, compat)
+    return clean_side(flagged, rules), quarantine_side(flagged, rules, compat, on_unknown)
 
 
 def quarantine_audit(quarantine: DataFrame, reason: str = REASON, date_col: str = "_ingestion_date") -> DataFrame:

@@ -76,7 +76,7 @@ def refine_job(
     )
     flagged = _stage(flagged, stage)
     try:
-        clean, quar = split_silver(flagged, rules, compat)
+        clean, quar = split_silver(flagged, rules, compat, on_unknown)
         n_quarantine = sinks.overwrite_partitioned(quar, quarantine, "_ingestion_date")
         n_clean = sinks.overwrite_partitioned(clean, silver, "trip_date")
     finally:

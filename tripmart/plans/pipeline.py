@@ -21,17 +21,18 @@ def simulated_lineage(df: DataFrame, arrival: str = "arrival_time") -> DataFrame
     """Test fixture only: lineage columns as if each trip arrived on its
     arrival day in the monthly landing file, ingested on the first day of
     that month."""
-    a = F.col(arrival)
+    a = F.col(arrival).cast("timestamp_ntz").cast("string")  # 'yyyy-MM-dd HH:mm:ss'
+    day, month = F.substring(a, 1, 10), F.substring(a, 1, 7)
     return df.withColumns(
         {
-            "_ingestion_timestamp": F.date_format(a, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
-            "_pipeline_run_id": F.concat(F.lit("run-"), F.date_format(a, "yyyyMMdd")),
+            "_ingestion_timestamp": F.concat(day, F.lit("T"), F.substring(a, 12, 8), F.lit("+00:00")),
+            "_pipeline_run_id": F.concat(F.lit("run-"), F.regexp_replace(day, "-", "")),
             "_source_path": F.concat(
-                F.lit("freight/year="), F.date_format(a, "yyyy"),
-                F.lit("/month="), F.date_format(a, "MM"),
-                F.lit("/freight_"), F.date_format(a, "yyyy-MM"), F.lit(".csv"),
+                F.lit("freight/year="), F.substring(a, 1, 4),
+                F.lit("/month="), F.substring(a, 6, 2),
+                F.lit("/freight_"), month, F.lit(".csv"),
             ),
-            "_ingestion_date": F.trunc(F.to_date(a), "month"),
+            "_ingestion_date": F.concat(month, F.lit("-01")).cast("date"),
         }
     )
 
@@ -59,8 +60,11 @@ def flag_and_dedup(
     if prefilter_nulls:
         df = require_times(df)
     df = derive_columns(df)
-    df = q.evaluate_rules(df, rules, on_unknown)
-    return dd.dedup(df) if deduplicate else df
+    if deduplicate:
+        # only the pass/fail outcome orders the copies; the per-rule flags
+        # are computed after the shuffle, on the surviving rows
+        df = dd.dedup(df.withColumn(q.PASSED, q.passed_column(rules)))
+    return q.evaluate_rules(df, rules, on_unknown)
 
 
 def drop_metadata(df: DataFrame) -> DataFrame:
@@ -68,10 +72,10 @@ def drop_metadata(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_") and not c.startswith("_warn")])
 
 
-def split_silver(flagged: DataFrame, rules=None, compat: bool = False):
+def split_silver(flagged: DataFrame, rules=None, compat: bool = False, on_unknown: str = q.QUARANTINE):
     """(silver, quarantine): silver without lineage, quarantine with it."""
     clean = q.clean_side(flagged, rules)
-    return drop_metadata(clean), q.quarantine_side(flagged, rules, compat=compat)
+    return drop_metadata(clean), q.quarantine_side(flagged, rules, compat=compat, on_unknown=on_unknown)
 
 
 def silver_trips(spark: SparkSession, sf_dir: str, on_unknown: str = q.QUARANTINE) -> DataFrame:

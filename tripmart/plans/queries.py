@@ -50,7 +50,7 @@ def _clean(spark, sf_dir):
 
 
 def _quarantine(spark, sf_dir, compat=False, on_unknown=q.QUARANTINE):
-    return q.quarantine_side(_flagged(spark, sf_dir, on_unknown), trips_rules(), compat=compat)
+    return q.quarantine_side(_flagged(spark, sf_dir, on_unknown), trips_rules(), compat=compat, on_unknown=on_unknown)
 
 
 def p_refine(spark, sf_dir):
