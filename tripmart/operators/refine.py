@@ -65,7 +65,7 @@ def derive_columns(
 ) -> DataFrame:
     """trip_date, departure_hour, trip_duration_hours (may be <= 0),
     revenue_per_ton (NULL unless weight > 0), margin_brl, is_delayed."""
-    seconds = F.timestamp_diff("SECOND", F.col(departure), F.col(arrival))
+    seconds = wall_clock_seconds(departure, arrival)
     return df.withColumns(
         {
             "trip_date": F.to_date(departure),
@@ -78,6 +78,18 @@ def derive_columns(
     )
 
 
+def wall_clock_seconds(start: str, end: str):
+    """Whole seconds from ``start`` to ``end`` on the wall clock: day
+    difference plus time-of-day difference, so the result does not depend on
+    the session time zone (no DST hour) for ``timestamp_ntz`` values."""
+
+    def tod(c):
+        return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+    days = F.datediff(F.to_date(end), F.to_date(start)).cast("bigint")
+    return days * 86400 + tod(end) - tod(start)
+
+
 def refine(df: DataFrame) -> DataFrame:
     """Cast then derive: the typed, enriched silver candidate rows."""
     return derive_columns(cast_types(df))
