@@ -104,7 +104,7 @@ RULES = (
     Rule("repeated_words", lambda m: 100 * m("n_repeat_words") > 50 * m("n_words")),
     Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words")),
     Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 20 * m("n_words"))),
-    Rule("repeated_lines", lambda m: 100 * m("n_dup_lines") > 30 * m("n_lines")),
+    Rule("repeated_lines", lambda m: (m("n_dup_lines") >= 5) & (100 * m("n_dup_lines") > 30 * m("n_lines"))),
 )
 
 

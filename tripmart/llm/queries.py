@@ -29,7 +29,8 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
     text = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     base = F.filter("spans", lambda s: s["rule"] < len(secrets.BASE_RULES))
-    counts = [F.size(F.filter("spans", lambda s, r=r: s["kind"] == r.kind)).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE_RULES]
+    of_kind = lambda r: F.filter("spans", lambda s: s["kind"] == r.kind)
+    counts = [F.size(of_kind(r)).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE_RULES]
     return found.select(
         "doc_id", *counts, F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", text), ",").alias("spans"),
@@ -96,6 +97,6 @@ m AS (SELECT w.doc_id, cast(len(ws) AS bigint) AS n_words, cast(length(array_to_
   FROM w JOIN lines USING (r) LEFT JOIN rep USING (r)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 100 * n_dup_lines > 30 * n_lines) AS kept
+  NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR n_dup_lines >= 5 AND 100 * n_dup_lines > 30 * n_lines) AS kept
 FROM b""",
 }
