@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import minhash, mixing, packing, quality, secrets
+from tripmart.llm import lm, minhash, mixing, packing, quality, recompress, secrets, suffix, vectors, warc
 from tripmart.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -37,18 +41,39 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.fixity(read_table(spark, sf_dir, "pages"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read_table(spark, sf_dir, "documents"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
+        op2_embedding_dedup,
         op3_mix_sources,
         op4_quality_rules,
         op5_secret_scan,
+        op6_warc_fixity,
         op7_minhash,
+        op8_substring_dedup,
+        op9_lm_scoring,
+        op10_suffix_dedup,
     )
 }
 
@@ -99,4 +124,14 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR n_dup_lines >= 5 AND 100 * n_dup_lines > 30 * n_lines) AS kept
 FROM b""",
+    "op6_warc_fixity": f"""
+WITH c AS (SELECT chr(13) || chr(10) AS nl),
+r AS (SELECT page_id, 'WARC/1.0' || nl || 'WARC-Type: response' || nl || 'WARC-Target-URI: ' || coalesce(url, '') || nl || 'Content-Type: text/html' || nl
+  || 'Content-Length: ' || strlen(coalesce(html, '')) || nl || nl || coalesce(html, '') || nl || nl AS rec FROM pages, c),
+k AS (SELECT page_id, sha256(rec) AS sha256, cast(strlen(rec) AS bigint) AS length,
+  row_number() OVER (ORDER BY md5(coalesce(cast(page_id AS varchar), '')), page_id NULLS FIRST, sha256(rec)) - 1 AS rk FROM r),
+f AS (SELECT *, cast(rk // {warc.PER_FILE} AS bigint) AS file, cast(rk % {warc.PER_FILE} AS bigint) AS seq FROM k)
+SELECT page_id, file, seq, cast(coalesce(sum(length) OVER (PARTITION BY file ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bigint) AS "offset",
+  length, sha256, substring(md5('rot' || coalesce(cast(page_id AS varchar), '')), 1, 2) IN ('00', '01', '02', '03') AS corrupt
+FROM f""",
 }
