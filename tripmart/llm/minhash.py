@@ -112,7 +112,7 @@ def sketch_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shin
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc, shingles): the sets of the documents in ``wanted(doc)``, as bytes.
+    """(doc, shingles): the sets of the documents in ``wanted(doc)``.
 
     A bitmap of fixed size picks the texts inside the scan, so texts are never
     shuffled; the exact join on the few sets follows."""
@@ -124,28 +124,21 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> Dat
             keep = np.flatnonzero(bitmap.value.has_slots(batch.column("_slot").to_numpy()))
             if len(keep):
                 sets = shingle_sets(batch.column("text").take(pa.array(keep)), shingle)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(keep)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc", "shingles"])
+                bounds = np.cumsum([0, *map(len, sets)])
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(keep)), lists], names=["doc", "shingles"])
 
-    rows = docs.filter("doc_id is not null").select("doc_id", "text", Bitmap.slot("doc_id", _FILTER_BITS)).mapInArrow(run, "doc long, shingles binary")
+    rows = docs.filter("doc_id is not null").select("doc_id", "text", Bitmap.slot("doc_id", _FILTER_BITS)).mapInArrow(run, "doc long, shingles array<long>")
     return stage(rows.join(wanted.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]), "sets")
 
 
 def verified(edges: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """The edges (a, b) whose sets are similar enough, on full sets."""
+    """The edges (a, b) whose sets are similar enough, on full sets.  Sets are
+    compared where the join puts them: a row at a time, whatever their length."""
     first = edges.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa")), "a")
-    both = first.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"))):
-                p, q = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                both_n = len(np.intersect1d(p, q, assume_unique=True))
-                if 100 * both_n >= similarity * (len(p) + len(q) - both_n):
-                    keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
-    return both.mapInArrow(run, "a long, b long")
+    both = first.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
+    counted = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), (F.size("sa") + F.size("sb")).alias("total"))
+    return counted.filter(100 * F.col("common") >= similarity * (F.col("total") - F.col("common"))).select("a", "b")
 
 
 def bucket_links(members: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
