@@ -24,6 +24,18 @@ def test_scalable_percent_rank_equals_window(spark):
         assert a == b
 
 
+def test_percent_rank_does_not_depend_on_exchange_reuse(spark):
+    df = _frame(spark, 3000)
+    expected = {r["id"]: r["revenue_percentile"] for r in h.percent_rank_window(df).collect()}
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = {r["id"]: r["revenue_percentile"] for r in h.percent_rank_scalable(df, num_partitions=8).collect()}
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+        assert got == expected
+
+
 def test_scalable_route_history_equals_window(spark):
     df = _frame(spark)
     key = lambda r: r["id"]

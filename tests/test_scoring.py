@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from conftest import make_silver_df
+from conftest import silver_frame
 from tripmart.operators import scoring as sc
 
 
@@ -14,7 +14,7 @@ def test_heuristic_null_policy(spark):
 
 
 def test_model_score_matches_numpy(spark):
-    df = sc.scoring_features(make_silver_df(spark, 50))
+    df = sc.scoring_features(silver_frame(spark, 50))
     model = sc.LogisticModel(coef=np.linspace(-1e-4, 1e-4, 8), intercept=0.1)
     out = sc.model_score(df, model).select(*sc.FEATURES, "delay_probability").collect()
     x = np.array([[r[c] for c in sc.FEATURES] for r in out])
@@ -23,7 +23,7 @@ def test_model_score_matches_numpy(spark):
 
 
 def test_score_reports_model_used(spark):
-    df = make_silver_df(spark, 20)
+    df = silver_frame(spark, 20)
     assert {r["model_used"] for r in sc.score(df).collect()} == {"heuristic"}
     model = sc.LogisticModel(coef=np.zeros(8))
     rows = sc.score(df, model=model).collect()
@@ -34,7 +34,7 @@ def test_score_reports_model_used(spark):
 def test_route_clusters(spark):
     from tripmart.operators.segment import segment_routes
 
-    clusters, report = segment_routes(make_silver_df(spark, 300), k=3, min_trips=5)
+    clusters, report = segment_routes(silver_frame(spark, 300), k=3, min_trips=5)
     rows = clusters.collect()
     assert {r["cluster"] for r in rows} <= {0, 1, 2}
     assert sum(report["cluster_sizes"]) == len(rows)

@@ -28,6 +28,29 @@ def test_file_arrivals(spark):
     assert out["freight/a b c.csv"]["etag"] == "req-3" and out["freight/a b c.csv"]["size_bytes"] == 0
 
 
+def test_nothing_arrives_unseen(spark):
+    events = spark.createDataFrame(
+        [("r1", _event({"key": "freight/100%.csv"}, {"key": "freight/a.csv"}, {"key": "freight/b.csv"})), ("r2", "{not json"), ("r3", None),
+         ("r4", _event({"key": "elsewhere/x.csv"})), ("r5", json.dumps({"Records": []}))],
+        "request_id string, body string",
+    )
+    accepted = ev.file_arrivals(events).collect()
+    assert {r["key"] for r in accepted} == {"freight/100%.csv", "freight/a.csv", "freight/b.csv"}
+    assert len({r["execution_name"] for r in accepted}) == 3  # no ETag: still told apart
+    rejected = {r["request_id"]: r["rejected"] for r in ev.rejected_records(events).collect()}
+    assert rejected == {"r2": "unreadable event", "r3": "unreadable event", "r4": "other prefix"}
+    assert {r["request_id"]: r["executions_started"] for r in ev.started_counts(events).collect()} == {"r1": 3, "r2": 0, "r3": 0, "r4": 0}
+
+
+def test_fingerprints_tell_nulls_and_columns_apart(spark):
+    rows = [("f1", "a", None), ("f2", None, "a"), ("f3", "a", "")]
+    df = spark.createDataFrame(rows, "_source_path string, x string, y string")
+    fps = ev.content_fingerprints(df, ["x", "y"])
+    assert fps.select("content_hash", "content_check").distinct().count() == 3
+    twins = spark.createDataFrame([("g1", "q", "w"), ("g2", "q", "w")], "_source_path string, x string, y string")
+    assert [r["_source_path"] for r in ev.unseen_files(ev.content_fingerprints(twins, ["x", "y"]), None).collect()] == ["g1"]
+
+
 def test_same_content_is_not_ingested_twice(spark):
     df = spark.createDataFrame([("f1", 1, "a"), ("f1", 2, "b"), ("f2", 3, "c")], "_source_path string, x int, y string")
     fps = ev.content_fingerprints(df, ["x", "y"])

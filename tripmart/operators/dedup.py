@@ -27,11 +27,13 @@ def dedup(
     keys=NATURAL_KEY,
     prefer: str | None = "_dq_passed",
     newest: str | None = "_ingestion_timestamp",
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per ``keys``; NULL key values group together.
 
     ``prefer``: boolean column, TRUE rows win (skipped if absent).
     ``newest``: ISO timestamp text or timestamp column, latest wins.
+    ``copies``: adds a column with the number of rows each survivor stands for.
     """
     cols = df.columns
     present = set(cols)
@@ -50,15 +52,16 @@ def dedup(
             continue
         fields.append(F.col(c).isNull().alias(f"_n{i}"))
         fields.append(F.col(c).alias(f"_v{i}"))
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
     if not unorderable:
         # The order struct already holds every value: rebuild the row from it.
-        best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
+        best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"), *counted)
         out = [F.col(f"_best._v{i}").alias(c) for i, c in enumerate(rest)]
     else:
         row = F.struct(*[F.col(c) for c in rest])
-        best = df.groupBy(*keys).agg(F.min_by(row, F.struct(*fields)).alias("_best"))
+        best = df.groupBy(*keys).agg(F.min_by(row, F.struct(*fields)).alias("_best"), *counted)
         out = [F.col(f"_best.{c}").alias(c) for c in rest]
-    return best.select(*[F.col(k) for k in keys], *out).select(*cols)
+    return best.select(*[F.col(k) for k in keys], *out, *([copies] if copies else [])).select(*cols, *([copies] if copies else []))
 
 
 def dedup_fast(df: DataFrame, keys=NATURAL_KEY) -> DataFrame:

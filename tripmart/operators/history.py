@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.core import half_up, money
+from tripmart.session import staged
 
 ROUTE = ("origin_station", "destination_station")
+SLICE_ROWS = 1_000_000
 
 
 # ── W3: percentile of value within a part ───────────────────────────────────
@@ -42,13 +44,13 @@ def percent_rank_ranks(
     df: DataFrame, part: str = "cargo_type", order: str = "freight_value_brl", num_partitions: int | None = None
 ) -> DataFrame:
     """(part, value, percent_rank) for every distinct (part, value)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(part, order).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = (
+    counts = staged(df.groupBy(part, order).agg(F.count(F.lit(1)).alias("_c")), "value-counts")
+    n = num_partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), counts.count() // SLICE_ROWS + 1)
+    # The slice number becomes a stored value: whatever is planned from here on,
+    # with or without exchange reuse, reads the same slices.
+    ranged = staged(
         counts.repartitionByRange(n, F.col(part).asc_nulls_first(), F.col(order).asc_nulls_first())
-        .withColumn("_pid", F.spark_partition_id())
-    )
+        .withColumn("_pid", F.spark_partition_id()), "value-slices")
     # running count of rows strictly before each value inside its range slice
     local_w = (
         Window.partitionBy("_pid", part)

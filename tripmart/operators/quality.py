@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.functions.core import AMOUNT_LIMIT
+
 ERROR = "error"
 WARNING = "warning"
 
@@ -70,22 +72,22 @@ def one_of(column: str, values, name: str | None = None, severity: str = WARNING
     return DQRule(name or f"{column}_known", F.col(column).isin(list(values)), severity, f"{column} in list")
 
 
-def default_rules(known_cargo_types=FREIGHT_CARGO_TYPES) -> list[DQRule]:
-    """Q2, Q3: the six error rules and two warning rules of the silver layer."""
+def default_rules(known_cargo_types=FREIGHT_CARGO_TYPES, amount_limit: float | None = AMOUNT_LIMIT) -> list[DQRule]:
+    """Q2, Q3: the error and warning rules of the silver layer.
+
+    With ``amount_limit`` an amount too large for exact sums fails the rule of
+    its column, so it is quarantined instead of stopping every mart."""
+    below = "" if amount_limit is None else " AND {} < " + repr(float(amount_limit))
+    # Rule names and the conditions without the limit.
     return [
-        DQRule("positive_weight", "cargo_weight_tons > 0", ERROR, "Cargo weight must be positive"),
-        DQRule("non_negative_value", "freight_value_brl >= 0", ERROR, "Freight value cannot be negative"),
-        DQRule("non_negative_delay", "delay_minutes >= 0", ERROR, "Delay in minutes cannot be negative"),
-        DQRule("valid_departure", "departure_time IS NOT NULL", ERROR, "Departure time is required"),
-        DQRule("valid_arrival", "arrival_time IS NOT NULL", ERROR, "Arrival time is required"),
-        DQRule("time_sequence", "arrival_time > departure_time", ERROR, "Arrival must be after departure"),
-        DQRule("reasonable_weight", "cargo_weight_tons < 15000", WARNING, "Single trip > 15,000 tons is suspicious"),
-        DQRule(
-            "known_cargo_type",
-            F.col("cargo_type").isin(list(known_cargo_types)),
-            WARNING,
-            "Unrecognised cargo type",
-        ),
+        DQRule("positive_weight", "cargo_weight_tons > 0" + below.format("cargo_weight_tons"), ERROR, "a trip carries some cargo"),
+        DQRule("non_negative_value", "freight_value_brl >= 0" + below.format("freight_value_brl"), ERROR, "no freight is paid for by the carrier"),
+        DQRule("non_negative_delay", "delay_minutes >= 0", ERROR, "early arrivals are recorded as zero"),
+        DQRule("valid_departure", "departure_time IS NOT NULL", ERROR, "without it the trip has no day"),
+        DQRule("valid_arrival", "arrival_time IS NOT NULL", ERROR, "without it the trip has no duration"),
+        DQRule("time_sequence", "arrival_time > departure_time", ERROR, "a trip takes time"),
+        DQRule("reasonable_weight", "cargo_weight_tons < 15000", WARNING, "heavier than any train in service"),
+        DQRule("known_cargo_type", F.col("cargo_type").isin(list(known_cargo_types)), WARNING, "not in the cargo list"),
     ]
 
 
@@ -207,22 +209,15 @@ def quarantine_rate_by_day(flagged: DataFrame, date_col: str = "trip_date") -> D
     )
 
 
-def run_counts(bronze: DataFrame, flagged_deduped: DataFrame) -> DataFrame:
-    """Q10 + D2 as a one-row frame computed by two aggregations (no driver
-    round trips): rows read, rows after dedup, duplicates removed, clean,
-    quarantined, dropped."""
-    read = bronze.agg(F.count(F.lit(1)).alias("rows_read"))
-    after = flagged_deduped.agg(
+def run_counts(flagged_deduped: DataFrame, copies: str) -> DataFrame:
+    """Q10 + D2 as a one-row frame from one pass: rows read, rows after dedup,
+    duplicates removed, clean, quarantined, dropped.  ``copies`` names the column
+    with the number of input rows each survivor stands for (``dedup``)."""
+    return flagged_deduped.agg(
+        F.coalesce(F.sum(copies), F.lit(0)).alias("rows_read"),
         F.count(F.lit(1)).alias("rows_deduped"),
+        (F.coalesce(F.sum(copies), F.lit(0)) - F.count(F.lit(1))).alias("duplicates_removed"),
         F.count_if(F.col(STATUS) == CLEAN).alias("rows_clean"),
         F.count_if(F.col(STATUS) == QUARANTINE).alias("rows_quarantined"),
         F.count_if(F.col(STATUS) == DROPPED).alias("rows_dropped"),
     )
-    return read.crossJoin(after).select(
-        "rows_read",
-        "rows_deduped",
-        (F.col("rows_read") - F.col("rows_deduped")).alias("duplicates_removed"),
-        "rows_clean",
-        "rows_quarantined",
-        "rows_dropped",
-    )

@@ -34,11 +34,11 @@ def cast_types(
     """Typed silver columns; anything unparsable becomes NULL and is
     then caught by the quality rules instead of failing the job.
 
-    Trip times are wall-clock times without a zone, so they become
-    ``timestamp_ntz``: dates and hours do not move with the session zone."""
-    present = set(df.columns)
+    Trip times become ``timestamp_ntz``, so dates and hours do not move with the
+    session zone; text with an offset becomes its UTC wall clock."""
+    present, kinds = set(df.columns), dict(df.dtypes)
     exprs = {}
-    exprs.update({c: to_timestamp(c) for c in timestamps if c in present})
+    exprs.update({c: to_timestamp(c) if kinds[c] == "string" else F.col(c).try_cast("timestamp_ntz") for c in timestamps if c in present})
     exprs.update({c: to_double(c) for c in doubles if c in present})
     exprs.update({c: to_int(c) for c in ints if c in present})
     exprs.update({c: normalise_text(c) for c in texts if c in present})

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions.core import exact_avg, exact_sum, half_up
+from tripmart.functions.core import exact_avg, exact_sum, half_up, rounded_sum
 
 DATE = "trip_date"
 
@@ -26,8 +26,15 @@ def _as_of(df: DataFrame, as_of) -> Column:
 
 
 def last_days(df: DataFrame, days: int, as_of=None) -> DataFrame:
-    """Rows with trip_date >= as_of - days."""
-    return df.filter(F.col(DATE) >= F.date_sub(_as_of(df, as_of), days))
+    """Rows with trip_date >= as_of - days.
+
+    With a literal ``as_of`` the same bound is put on ``departure_time``, of which
+    ``trip_date`` is the day: that filter reaches scans that only hold the time."""
+    first = F.date_sub(_as_of(df, as_of), days)
+    out = df.filter(F.col(DATE) >= first)
+    if as_of is not None and dict(df.dtypes).get("departure_time") == "timestamp_ntz":
+        out = out.filter(F.col("departure_time") >= first.cast("timestamp_ntz"))
+    return out
 
 
 def daily_report(df: DataFrame, days: int = 30, as_of=None) -> DataFrame:
@@ -39,7 +46,7 @@ def daily_report(df: DataFrame, days: int = 30, as_of=None) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("total_trips"),
             exact_sum("cargo_weight_tons").alias("total_cargo_tons"),
-            half_up(exact_sum("freight_value_brl"), 2).alias("total_revenue_brl"),
+            rounded_sum("freight_value_brl", 2).alias("total_revenue_brl"),
             half_up(exact_avg("freight_value_brl"), 2).alias("avg_revenue_per_trip"),
             half_up(exact_avg("delay_minutes"), 1).alias("avg_delay_min"),
             F.count_if(F.col("delay_minutes") > 60).alias("trips_delayed_over_1h"),
@@ -57,8 +64,8 @@ def cargo_ranking(df: DataFrame, days: int = 90, as_of=None) -> DataFrame:
         .groupBy("cargo_type")
         .agg(
             F.count(F.lit(1)).alias("total_trips"),
-            half_up(exact_sum("cargo_weight_tons"), 0).alias("total_tons"),
-            half_up(exact_sum("freight_value_brl"), 2).alias("total_revenue_brl"),
+            rounded_sum("cargo_weight_tons", 0).alias("total_tons"),
+            rounded_sum("freight_value_brl", 2).alias("total_revenue_brl"),
             half_up(exact_avg(ratio), 2).alias("revenue_per_ton"),
             half_up(exact_avg("delay_minutes"), 1).alias("avg_delay_min"),
         )
@@ -75,9 +82,9 @@ def top_routes(df: DataFrame, days: int = 30, as_of=None, n: int = 20) -> DataFr
         .groupBy("origin_station", "destination_station")
         .agg(
             F.count(F.lit(1)).alias("total_trips"),
-            half_up(exact_sum("cargo_weight_tons"), 0).alias("total_tons"),
+            rounded_sum("cargo_weight_tons", 0).alias("total_tons"),
             half_up(exact_avg("delay_minutes"), 1).alias("avg_delay_min"),
-            half_up(exact_sum("freight_value_brl"), 2).alias("total_revenue_brl"),
+            rounded_sum("freight_value_brl", 2).alias("total_revenue_brl"),
         )
         .orderBy(
             F.col("total_tons").desc_nulls_last(),
@@ -94,12 +101,12 @@ SQL_REPORTS = {
     "daily_report": """
 SELECT trip_date,
        COUNT(*) AS total_trips,
-       CAST(SUM(CAST(cargo_weight_tons AS DECIMAL(18,6))) AS DOUBLE) AS total_cargo_tons,
-       CAST(ROUND(CAST(SUM(CAST(freight_value_brl AS DECIMAL(18,6))) AS DECIMAL(28,6)), 2) AS DOUBLE) AS total_revenue_brl,
-       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(freight_value_brl AS DECIMAL(18,6))) AS DOUBLE),
-                                  COUNT(freight_value_brl)) AS DECIMAL(28,6)), 2) AS DOUBLE) AS avg_revenue_per_trip,
-       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(delay_minutes AS DECIMAL(18,6))) AS DOUBLE),
-                                  COUNT(delay_minutes)) AS DECIMAL(28,6)), 1) AS DOUBLE) AS avg_delay_min,
+       CAST(SUM(CAST(cargo_weight_tons AS DECIMAL(28,6))) AS DOUBLE) AS total_cargo_tons,
+       CAST(ROUND(CAST(SUM(CAST(freight_value_brl AS DECIMAL(28,6))) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_revenue_brl,
+       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(freight_value_brl AS DECIMAL(28,6))) AS DOUBLE),
+                                  COUNT(freight_value_brl)) AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_revenue_per_trip,
+       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(delay_minutes AS DECIMAL(28,6))) AS DOUBLE),
+                                  COUNT(delay_minutes)) AS DECIMAL(38,6)), 1) AS DOUBLE) AS avg_delay_min,
        COUNT_IF(delay_minutes > 60) AS trips_delayed_over_1h
 FROM {table}
 WHERE trip_date >= date_sub({as_of}, 30)
@@ -108,12 +115,12 @@ ORDER BY trip_date DESC""",
     "cargo_ranking": """
 SELECT cargo_type,
        COUNT(*) AS total_trips,
-       CAST(ROUND(CAST(SUM(CAST(cargo_weight_tons AS DECIMAL(18,6))) AS DECIMAL(28,6)), 0) AS DOUBLE) AS total_tons,
-       CAST(ROUND(CAST(SUM(CAST(freight_value_brl AS DECIMAL(18,6))) AS DECIMAL(28,6)), 2) AS DOUBLE) AS total_revenue_brl,
-       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(try_divide(freight_value_brl, NULLIF(cargo_weight_tons, 0)) AS DECIMAL(18,6))) AS DOUBLE),
-                                  COUNT(try_divide(freight_value_brl, NULLIF(cargo_weight_tons, 0)))) AS DECIMAL(28,6)), 2) AS DOUBLE) AS revenue_per_ton,
-       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(delay_minutes AS DECIMAL(18,6))) AS DOUBLE),
-                                  COUNT(delay_minutes)) AS DECIMAL(28,6)), 1) AS DOUBLE) AS avg_delay_min
+       CAST(ROUND(CAST(SUM(CAST(cargo_weight_tons AS DECIMAL(28,6))) AS DECIMAL(38,6)), 0) AS DOUBLE) AS total_tons,
+       CAST(ROUND(CAST(SUM(CAST(freight_value_brl AS DECIMAL(28,6))) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_revenue_brl,
+       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(try_divide(freight_value_brl, NULLIF(cargo_weight_tons, 0)) AS DECIMAL(28,6))) AS DOUBLE),
+                                  COUNT(try_divide(freight_value_brl, NULLIF(cargo_weight_tons, 0)))) AS DECIMAL(38,6)), 2) AS DOUBLE) AS revenue_per_ton,
+       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(delay_minutes AS DECIMAL(28,6))) AS DOUBLE),
+                                  COUNT(delay_minutes)) AS DECIMAL(38,6)), 1) AS DOUBLE) AS avg_delay_min
 FROM {table}
 WHERE trip_date >= date_sub({as_of}, 90)
 GROUP BY cargo_type
@@ -121,10 +128,10 @@ ORDER BY total_revenue_brl DESC, cargo_type ASC NULLS LAST""",
     "top_routes": """
 SELECT origin_station, destination_station,
        COUNT(*) AS total_trips,
-       CAST(ROUND(CAST(SUM(CAST(cargo_weight_tons AS DECIMAL(18,6))) AS DECIMAL(28,6)), 0) AS DOUBLE) AS total_tons,
-       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(delay_minutes AS DECIMAL(18,6))) AS DOUBLE),
-                                  COUNT(delay_minutes)) AS DECIMAL(28,6)), 1) AS DOUBLE) AS avg_delay_min,
-       CAST(ROUND(CAST(SUM(CAST(freight_value_brl AS DECIMAL(18,6))) AS DECIMAL(28,6)), 2) AS DOUBLE) AS total_revenue_brl
+       CAST(ROUND(CAST(SUM(CAST(cargo_weight_tons AS DECIMAL(28,6))) AS DECIMAL(38,6)), 0) AS DOUBLE) AS total_tons,
+       CAST(ROUND(CAST(try_divide(CAST(SUM(CAST(delay_minutes AS DECIMAL(28,6))) AS DOUBLE),
+                                  COUNT(delay_minutes)) AS DECIMAL(38,6)), 1) AS DOUBLE) AS avg_delay_min,
+       CAST(ROUND(CAST(SUM(CAST(freight_value_brl AS DECIMAL(28,6))) AS DECIMAL(38,6)), 2) AS DOUBLE) AS total_revenue_brl
 FROM {table}
 WHERE trip_date >= date_sub({as_of}, 30)
 GROUP BY origin_station, destination_station

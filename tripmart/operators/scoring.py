@@ -79,8 +79,9 @@ class LogisticModel:
 
 
 def model_score(df: DataFrame, model, features=FEATURES, out: str = "delay_probability") -> DataFrame:
-    """``model.predict_proba(X)[:, 1]`` per Arrow batch.  Rows with a
-    missing feature get NULL instead of a made-up score."""
+    """``model.predict_proba(X)[:, 1]`` per Arrow batch, ``X`` a frame with the
+    features by name.  Rows with a missing feature get NULL instead of a made-up
+    score.  The model is sent once per worker: it must fit a worker's memory."""
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(model)
     names = list(features)
@@ -89,13 +90,12 @@ def model_score(df: DataFrame, model, features=FEATURES, out: str = "delay_proba
     def predict(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         m = bc.value
         for cols in batches:
-            x = pd.concat(list(cols), axis=1)
-            x.columns = names
-            ok = x.notna().all(axis=1).to_numpy()
-            res = np.full(len(x), np.nan)
-            if ok.any():
-                res[ok] = np.asarray(m.predict_proba(x[ok].to_numpy(dtype=float)))[:, 1]
-            yield pd.Series(res)
+            frame = pd.DataFrame(dict(zip(names, cols)))
+            known = frame.dropna()
+            scores = pd.Series(np.nan, index=frame.index)
+            if not known.empty:
+                scores.loc[known.index] = np.asarray(m.predict_proba(known))[:, 1]
+            yield scores
 
     return df.withColumn(out, predict(*[F.col(c).cast("double") for c in names]))
 
@@ -104,7 +104,9 @@ def score(df: DataFrame, model=None, compat: bool = False) -> DataFrame:
     """Features, model or heuristic, then the scored columns plus
     ``model_used``."""
     feats = scoring_features(df)
-    if model is None:
+    if model is not None and hasattr(model, "transform"):
+        scored = spark_model_score(df, model).withColumn("model_used", F.lit(type(model).__name__))
+    elif model is None:
         scored = heuristic_score(feats, compat=compat).withColumn("model_used", F.lit("heuristic"))
     else:
         scored = model_score(feats, model).withColumn("model_used", F.lit(type(model).__name__))

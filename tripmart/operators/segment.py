@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.core import exact_avg
+from tripmart.session import staged
 
 ROUTE = ("origin_station", "destination_station")
+# Names of the route features.
 FEATURES = ["trip_count", "avg_weight", "avg_revenue", "avg_delay", "avg_duration", "cargo_diversity"]
 
 
@@ -52,7 +54,8 @@ def cluster_pipeline(k: int = 6, seed: int = 42, max_iter: int = 100) -> Pipelin
 def segment_routes(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 100, min_trips: int = 10):
     """Returns ``(clusters, report)``; clusters = route features +
     ``cluster`` with the vectors dropped; report = silhouette, sizes, k."""
-    routes = route_features(df, min_trips)
+    # a row a route: staged once for scaler, k-means, evaluator and output
+    routes = staged(route_features(df, min_trips), "routes")
     model = cluster_pipeline(k, seed, max_iter).fit(routes)
     scored = model.transform(routes)
     silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(scored)

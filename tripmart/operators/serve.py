@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators.sinks import layout
-from tripmart.schema import SERVING_CONTRACTS
+from tripmart.schema import SERVING_CONTRACTS, SERVING_SORT_KEYS
 
+MONTH = "trip_month"
 _VARCHAR = re.compile(r"varchar\((\d+)\)")
 
 
@@ -56,37 +57,73 @@ def contract_violations(df: DataFrame, contract, table_name: str) -> DataFrame:
     return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def create_table(spark: SparkSession, name: str, contract, location: str, partition_col: str | None = "trip_date"):
-    """M6: external Parquet table with the contract's columns + loaded_at."""
+def create_table(spark: SparkSession, name: str, contract, location: str, month_col: str = MONTH):
+    """M6: external Parquet table with the contract's columns + loaded_at, in
+    monthly partitions: marts are small, a partition a day would be a file a row."""
     cols = ", ".join(f"`{c}` {_spark_type(t)}" for c, t, _ in contract)
-    part = f" PARTITIONED BY (`{partition_col}`)" if partition_col else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, loaded_at TIMESTAMP) USING parquet{part} LOCATION '{location}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, loaded_at TIMESTAMP, `{month_col}` STRING) USING parquet "
+        f"PARTITIONED BY (`{month_col}`) LOCATION '{location}'"
     )
 
 
-def register_layer(spark: SparkSession, name: str, path: str, partitioned: bool = True):
-    """M6: expose an existing layer directory as a table; refresh its
-    partitions after new ones were written."""
+def register_layer(spark: SparkSession, name: str, path: str, partitioned: bool = True) -> list[str]:
+    """M6: expose a layer directory as a table and refresh its partitions.
+    Columns that newer files added are added to the table; columns they lack stay.
+    Returns the names of the added columns."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    known = set(spark.table(name).columns)
+    added = [f for f in spark.read.option("mergeSchema", "true").parquet(path).schema.fields if f.name not in known]
+    if added:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
     if partitioned:
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
+    return [f.name for f in added]
+
+
+def row_violates(contract):
+    """M4 as a row condition: what the serving store would reject."""
+    bad = F.lit(False)
+    for c, t, nullable in contract:
+        m = _VARCHAR.fullmatch(t)
+        if not nullable:
+            bad = bad | F.col(c).isNull()
+        if m:
+            bad = bad | F.coalesce(F.length(F.col(c)) > int(m.group(1)), F.lit(False))
+        else:
+            bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast(_spark_type(t)).isNull())
+    return bad
+
+
+class ContractError(ValueError):
+    """A load was refused; the message names table, columns and counts."""
 
 
 def load(spark: SparkSession, df: DataFrame, table: str, contract, full_refresh: bool = True, sort_cols=()) -> None:
-    """K5 (``full_refresh``: truncate-and-load, static overwrite) or K6
-    (incremental: only the partitions present in ``df`` are replaced)."""
-    typed = conform(df, contract).withColumn("loaded_at", F.current_timestamp())
-    # insertInto matches by position: put the partition column last
-    cols = [c for c, _, _ in contract if c != "trip_date"] + ["loaded_at", "trip_date"]
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "static" if full_refresh else "dynamic")
-    try:
-        layout(typed.select(*cols), ("trip_date",), sort_cols).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    """K5 (``full_refresh``: truncate-and-load) or K6 (incremental: the months in
+    ``df`` are replaced, so ``df`` must hold them whole), sorted by the table's
+    compound key."""
+    key = tuple(sort_cols) or ("trip_date",)
+    typed = conform(df, contract).withColumns({"loaded_at": F.current_timestamp(), MONTH: F.date_format("trip_date", "yyyy-MM")})
+    cols = [c for c, _, _ in contract] + ["loaded_at", MONTH]  # insertInto matches by position
+    name = "spark.sql.sources.partitionOverwriteMode"
+    path = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()["data_type"]
+    writer = layout(typed.select(*cols), (MONTH,), key).write.partitionBy(MONTH).mode("overwrite")
+    writer.option(name.rsplit(".", 1)[1], "static" if full_refresh else "dynamic").parquet(path)
+    if full_refresh:
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():  # one row a month
+            k, v = row["partition"].split("=", 1)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({k}='{v}')")
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
+def whole_months(df: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows of ``df`` in a month that ``touched`` has a trip_date in."""
+    months = touched.select(F.date_format("trip_date", "yyyy-MM").alias("_m")).distinct()
+    return df.join(months, F.date_format("trip_date", "yyyy-MM") == F.col("_m"), "left_semi")
 
 
 def analyze(spark: SparkSession, table: str) -> None:
@@ -103,15 +140,34 @@ def load_counts(spark: SparkSession, tables) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def publish(spark: SparkSession, marts: dict[str, DataFrame], root: str, prefix: str = "serving_") -> DataFrame:
-    """Create the four typed tables, full-refresh them, analyze, and
-    return the post-load row counts."""
+def publish(
+    spark: SparkSession, marts: dict[str, DataFrame], root: str, prefix: str = "serving_", on_violation: str = "refuse",
+) -> DataFrame:
+    """Count contract violations, then create, fully refresh and analyze the
+    typed tables; returns their row counts.
+
+    Any violation in any table refuses the whole load before a table is touched
+    (``refuse``), or sends the offending rows to ``<root>/rejected/<table>``
+    (``route``)."""
+    if on_violation not in ("refuse", "route"):
+        raise ValueError("on_violation must be 'refuse' or 'route'")
+    found = []
+    for key, df in marts.items():
+        report = contract_violations(df, SERVING_CONTRACTS[key], key)
+        bad = report.filter("not_null_violations + cast_lost_values + too_long_values > 0")
+        found += [tuple(r) for r in bad.collect()]  # at most a row a column
+    if found and on_violation == "refuse":
+        raise ContractError("; ".join(f"{t}.{c}: {a} missing, {b} out of range, {n} too long" for t, c, a, b, n in found))
+    touched = {t for t, *_ in found}
     names = []
     for key, df in marts.items():
-        contract = SERVING_CONTRACTS[key]
-        name = f"{prefix}{key}"
+        contract, name = SERVING_CONTRACTS[key], f"{prefix}{key}"
+        if key in touched:
+            bad = row_violates(contract)
+            df.filter(bad).write.mode("overwrite").parquet(f"{root}/rejected/{key}")
+            df = df.filter(~bad)
         create_table(spark, name, contract, f"{root}/{key}")
-        load(spark, df, name, contract, full_refresh=True)
+        load(spark, df, name, contract, full_refresh=True, sort_cols=SERVING_SORT_KEYS[key])
         analyze(spark, name)
         names.append(name)
     return load_counts(spark, names)

@@ -8,6 +8,7 @@ output are replaced, so a re-run or a late-data recompute is idempotent.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -51,7 +52,46 @@ def write_counted(
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     writer.save(path)
-    return int(obs.get.get("rows", 0))
+    return observed_rows(obs)
+
+
+def observed_rows(obs: Observation) -> int:
+    """The observed count; 0 where the optimizer proved the input empty and
+    dropped the observation from the plan."""
+    try:
+        return int(obs.get.get("rows", 0))
+    except AssertionError:
+        return 0
+
+
+def exists(spark, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def partition_values(spark, path: str, partition_col: str) -> set[str]:
+    """Values of the first-level partition folders below ``path``."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return set()
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return {n.split("=", 1)[1] for n in names if n.startswith(f"{partition_col}=")}
+
+
+def replace_partitions(df: DataFrame, path: str, values, partition_col: str = "trip_date", sort_by=()) -> int:
+    """K2 for a list of touched partitions: ``df`` holds all that is left of them.
+    Those it has rows for are overwritten, the others are deleted."""
+    rows = overwrite_partitioned(df, path, partition_col, dynamic=True, sort_by=sort_by)
+    spark = df.sparkSession
+    left = {str(r[0]) for r in df.select(partition_col).distinct().collect()}  # at most the touched partitions
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for value in {str(v) for v in values} - left:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder, f"{partition_col}={value}"), True)
+    return rows
 
 
 def append_partitioned(df: DataFrame, path: str, partition_col: str) -> int:
@@ -79,11 +119,15 @@ def overwrite(df: DataFrame, path: str) -> int:
 
 
 def write_if_rows(df: DataFrame, path: str, partition_col: str | None = None, mode: str = "append") -> int:
-    """K4: skip the write when there is nothing to write (one-row probe)."""
-    if df.isEmpty():
-        return 0
-    parts = (partition_col,) if partition_col else ()
-    return write_counted(df, path, mode=mode, partition_by=parts)
+    """K4: skip the write when there is nothing to write.  The frame is staged, so
+    its plan runs once for the probe and the write."""
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if staged.isEmpty():
+            return 0
+        return write_counted(staged, path, mode=mode, partition_by=(partition_col,) if partition_col else ())
+    finally:
+        staged.unpersist()
 
 
 def write_landing_csv(df: DataFrame, path: str, time_col: str = "departure_time") -> int:

@@ -1,14 +1,11 @@
-"""Jobs J1-J7 and the command line.
-
-Each job reads its input layer, builds one lazy plan and writes with a
-counted writer.  Counts come from ``Observation`` metrics collected by the
-write itself, not from extra ``count()`` passes.  Every write is an
-idempotent overwrite of the partitions it produces (dynamic mode), so a job
-retried after a lost executor or a failed attempt converges to the same
-files.  Intermediate reuse is persisted with MEMORY_AND_DISK; because every
-operator upstream is deterministic, lost cached blocks recompute to the same
-rows.  ``stage="checkpoint"`` instead cuts the lineage with a reliable
-checkpoint in ``spark.checkpoint.dir``.
+"""Jobs J1-J8 and the command line.
+
+Each job reads its input layer, builds one lazy plan and writes.  J2-J5 read the
+whole layer below them and replace the whole layer they write (static
+overwrite), so a re-run leaves nothing stale; work limited to touched days
+replaces those days and deletes the ones that became empty.  J1 appends; with a
+content ledger a second run appends nothing.  What is used twice is staged as a
+table in the shared folder, so a lost executor costs a re-read.
 """
 
 from __future__ import annotations
@@ -18,37 +15,45 @@ import json
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.operators import history, marts, quality, scoring, segment, serve, sinks
+from tripmart.operators import history, marts, quality, reports, scoring, segment, serve, sinks
 from tripmart.plans.pipeline import flag_and_dedup, split_silver
+from tripmart.schema import SERVING_CONTRACTS, SERVING_SORT_KEYS
+from tripmart.session import staged
+from tripmart.sources import events
 from tripmart.sources.landing import add_lineage, missing_columns, read_landing
 
-SORT_KEYS = {
-    "gold_daily_kpis": ("trip_date",),
-    "gold_route_performance": ("trip_date", "origin_station", "destination_station"),
-    "gold_cargo_mix": ("trip_date", "cargo_type"),
-    "gold_operator_ranking": ("trip_date", "operator"),
-}
+COPIES = "_copies"
+SORT_KEYS = {f"gold_{k}": v for k, v in SERVING_SORT_KEYS.items()}
 
 
-def _stage(df: DataFrame, stage: str) -> DataFrame:
-    if stage == "checkpoint":
-        return df.checkpoint(eager=True)
-    if stage == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    return df
-
-
-def ingest(spark: SparkSession, landing: str, bronze: str, run_id: str | None = None, strict: bool = False) -> dict:
+def ingest(
+    spark: SparkSession, landing: str, bronze: str, run_id: str | None = None, strict: bool = False,
+    ledger: str | None = None, multi_line: bool = False,
+) -> dict:
     """Landing CSV -> expected-column check -> lineage -> append bronze
-    partitioned by ingestion date."""
-    raw = read_landing(spark, landing, base_path=landing)
+    partitioned by ingestion date.
+
+    With ``ledger`` (S6) only files whose content no earlier run ingested are
+    appended, one file for each content; the ledger is written last.  Lines that
+    do not parse are kept with their text in ``_corrupt_record``."""
+    raw = read_landing(spark, landing, base_path=landing, multi_line=multi_line, keep_corrupt=True)
     missing = missing_columns(raw, strict=strict)
     run_id = run_id or str(uuid.uuid4())
-    rows = sinks.append_partitioned(add_lineage(raw, run_id=run_id), bronze, "_ingestion_date")
-    return {"rows": rows, "missing_columns": missing, "run_id": run_id}
+    rows = add_lineage(raw, run_id=run_id)
+    fresh = None
+    if ledger is not None:
+        data = [c for c in raw.columns if c not in ("year", "month")]
+        seen = spark.read.schema(events.LEDGER_SCHEMA).parquet(ledger) if sinks.exists(spark, ledger) else None
+        # one row a file; the ledger must not be read while it is appended to
+        fresh = staged(events.unseen_files(events.content_fingerprints(rows, data), seen), "fresh-files")
+        rows = rows.join(fresh.select("_source_path"), "_source_path", "left_semi")
+    n = sinks.append_partitioned(rows, bronze, "_ingestion_date")
+    if fresh is not None:
+        events.record(fresh, ledger)
+    return {"rows": n, "missing_columns": missing, "run_id": run_id}
 
 
 def refine_job(
@@ -60,49 +65,43 @@ def refine_job(
     on_unknown: str = quality.QUARANTINE,
     prefilter_nulls: bool = False,
     compat: bool = False,
-    stage: str = "persist",
 ) -> dict:
-    """Bronze -> typed, flagged, deduplicated -> silver (by trip_date)
-    and quarantine (by ingestion date, so NULL trip dates are no problem)."""
-    read_obs = Observation("bronze-read")
-    src = spark.read.option("mergeSchema", "true").parquet(bronze).observe(
-        read_obs, F.count(F.lit(1)).alias("rows_read")
-    )
-    dedup_obs = Observation("deduped")
-    flagged = flag_and_dedup(src, rules, on_unknown, prefilter_nulls).observe(
-        dedup_obs,
-        F.count(F.lit(1)).alias("rows_deduped"),
-        F.count_if(F.col(quality.STATUS) == quality.DROPPED).alias("rows_dropped"),
-    )
-    flagged = _stage(flagged, stage)
-    try:
-        clean, quar = split_silver(flagged, rules, compat, on_unknown)
-        n_quarantine = sinks.overwrite_partitioned(quar, quarantine, "_ingestion_date")
-        n_clean = sinks.overwrite_partitioned(clean, silver, "trip_date")
-    finally:
-        if stage == "persist":
-            flagged.unpersist()
-    read, dd = read_obs.get, dedup_obs.get
-    return {
-        "rows_read": read.get("rows_read"),
-        "duplicates_removed": (read.get("rows_read") or 0) - (dd.get("rows_deduped") or 0),
-        "rows_clean": n_clean,
-        "rows_quarantined": n_quarantine,
-        "rows_dropped": dd.get("rows_dropped"),
-    }
-
-
-def build_marts(spark: SparkSession, silver: str, gold: str, cache: bool = False) -> dict:
-    """The four daily marts, each overwritten by trip_date.  Each mart
-    scans only its columns of silver; ``cache=True`` keeps silver across the
-    four for small inputs."""
+    """All of bronze -> typed, flagged, deduplicated -> silver (by trip_date)
+    and quarantine (by ingestion date, so NULL trip dates are no problem).
+
+    The input is the whole layer, so both outputs are replaced as a whole: days
+    and rejections that are no longer in bronze go.  The flagged rows are staged
+    once; both writers and all counts read them."""
+    src = spark.read.option("mergeSchema", "true").parquet(bronze)
+    flagged = staged(flag_and_dedup(src, rules, on_unknown, prefilter_nulls, copies=COPIES), "flagged")
+    counts = quality.run_counts(flagged, COPIES).first()
+    clean, quar = split_silver(flagged.drop(COPIES), rules, compat, on_unknown)
+    sinks.overwrite_partitioned(quar, quarantine, "_ingestion_date", dynamic=False)
+    sinks.overwrite_partitioned(clean, silver, "trip_date", dynamic=False)
+    out = {k: counts[k] for k in ("rows_read", "duplicates_removed", "rows_clean", "rows_quarantined", "rows_dropped")}
+    if prefilter_nulls:  # rows filtered out beforehand were read too
+        filtered = src.count() - counts["rows_read"]
+        out |= {"rows_read": counts["rows_read"] + filtered, "rows_without_times": filtered}
+    return out
+
+
+def build_marts(spark: SparkSession, silver: str, gold: str, cache: bool = False, days=None) -> dict:
+    """The four daily marts by trip_date, each scanning only its columns.
+    All of silver replaces all of gold; with ``days`` only those days are
+    recomputed and replaced, and emptied days deleted."""
     df = spark.read.parquet(silver)
+    if days is not None:
+        df = df.filter(F.col("trip_date").isin(list(days)))
     if cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = {}
         for name, fn in marts.MARTS.items():
-            counts[name] = sinks.overwrite_partitioned(fn(df), f"{gold}/{name}", "trip_date", sort_by=SORT_KEYS[name])
+            path = f"{gold}/{name}"
+            if days is None:
+                counts[name] = sinks.overwrite_partitioned(fn(df), path, "trip_date", dynamic=False, sort_by=SORT_KEYS[name])
+            else:
+                counts[name] = sinks.replace_partitions(staged(fn(df), name), path, days, sort_by=SORT_KEYS[name])
         return counts
     finally:
         if cache:
@@ -110,15 +109,17 @@ def build_marts(spark: SparkSession, silver: str, gold: str, cache: bool = False
 
 
 def backfill(spark: SparkSession, silver: str, out: str, scalable: bool = True) -> dict:
-    """H1 over the whole silver history."""
+    """H1 over the whole silver history, replaced as a whole."""
     enriched = history.enrich_history(spark.read.parquet(silver), scalable=scalable)
-    return {"rows": sinks.overwrite_partitioned(enriched, out, "trip_date")}
+    return {"rows": sinks.overwrite_partitioned(enriched, out, "trip_date", dynamic=False)}
 
 
 def score_job(spark: SparkSession, silver: str, out: str, model=None, compat: bool = False) -> dict:
-    """F1-F4, scored trips by trip_date."""
-    scored = scoring.score(spark.read.parquet(silver), model=model, compat=compat)
-    rows = sinks.overwrite_partitioned(scored, out, "trip_date")
+    """F1-F4, scored trips by trip_date, replaced as a whole.  ``model``: an
+    object with ``predict_proba``, a fitted ``PipelineModel``, or None."""
+    trips = spark.read.parquet(silver)
+    scored = scoring.score(trips, model=model, compat=compat)
+    rows = sinks.overwrite_partitioned(scored, out, "trip_date", dynamic=False)
     return {"rows": rows, "model_used": "heuristic" if model is None else type(model).__name__}
 
 
@@ -129,17 +130,18 @@ def cluster_job(spark: SparkSession, silver: str, out: str, k: int = 6) -> dict:
     return report
 
 
-def publish_job(spark: SparkSession, gold: str, serving_root: str, prefix: str = "serving_") -> DataFrame:
-    """Full-refresh the typed serving tables from gold, analyze them and
-    return the post-load row counts."""
-    key = {
-        "gold_daily_kpis": "daily_kpis",
-        "gold_route_performance": "route_performance",
-        "gold_cargo_mix": "cargo_mix",
-        "gold_operator_ranking": "operator_ranking",
-    }
-    frames = {key[n]: spark.read.parquet(f"{gold}/{n}") for n in marts.MARTS}
-    return serve.publish(spark, frames, serving_root, prefix)
+def publish_job(spark: SparkSession, gold: str, serving_root: str, prefix: str = "serving_", on_violation: str = "refuse") -> DataFrame:
+    """Check the four marts against their contracts, load the typed serving
+    tables, analyze them and return the row counts after the load."""
+    frames = {key: spark.read.parquet(f"{gold}/gold_{key}") for key in SERVING_CONTRACTS}
+    return serve.publish(spark, frames, serving_root, prefix, on_violation=on_violation)
+
+
+def report_job(spark: SparkSession, name: str, source: str, out: str, as_of: str | None = None) -> dict:
+    """One saved report over a silver or quarantine folder, written as CSV."""
+    spark.read.parquet(source).createOrReplaceTempView("report_source")
+    df = reports.run_sql_report(spark, name, "report_source", as_of)
+    return {"rows": sinks.write_counted(df, out, partition_by=(), fmt="csv", options={"header": "true"})}
 
 
 def main(argv=None) -> int:
@@ -147,16 +149,22 @@ def main(argv=None) -> int:
     from tripmart.session import get_spark
 
     p = argparse.ArgumentParser(description="tripmart jobs")
-    p.add_argument("--mode", required=True, choices=["ingest", "refine", "gold", "backfill", "score", "cluster", "publish"])
+    p.add_argument("--mode", required=True, choices=["ingest", "refine", "gold", "backfill", "score", "cluster", "publish", "report"])
     p.add_argument("--input", required=True, help="landing / bronze / silver / gold path")
     p.add_argument("--output", required=True, help="bronze / silver / gold / output path")
     p.add_argument("--quarantine", default="", help="quarantine path (refine)")
     p.add_argument("--k", type=int, default=6, help="clusters (cluster)")
+    p.add_argument("--ledger", default=None, help="content ledger path (ingest)")
+    p.add_argument("--multi-line", action="store_true", help="quoted line breaks in CSV (ingest)")
+    p.add_argument("--model", default=None, help="folder of a saved PipelineModel (score)")
+    p.add_argument("--report", default="daily_report", choices=sorted(reports.SQL_REPORTS), help="which report (report)")
+    p.add_argument("--as-of", default=None, help="report date, yyyy-MM-dd (report)")
+    p.add_argument("--on-violation", default="refuse", choices=["refuse", "route"], help="contract violations (publish)")
     p.add_argument("--on-unknown", default=quality.QUARANTINE, choices=[quality.QUARANTINE, "drop"])
     a = p.parse_args(argv)
     spark = get_spark(f"tripmart-{a.mode}")
     if a.mode == "ingest":
-        res = ingest(spark, a.input, a.output)
+        res = ingest(spark, a.input, a.output, ledger=a.ledger, multi_line=a.multi_line)
     elif a.mode == "refine":
         res = refine_job(spark, a.input, a.output, a.quarantine or f"{a.output.rstrip('/')}_quarantine",
                          on_unknown=a.on_unknown)
@@ -165,11 +173,18 @@ def main(argv=None) -> int:
     elif a.mode == "backfill":
         res = backfill(spark, a.input, a.output)
     elif a.mode == "score":
-        res = score_job(spark, a.input, a.output)
+        model = None
+        if a.model:
+            from pyspark.ml import PipelineModel
+
+            model = PipelineModel.load(a.model)
+        res = score_job(spark, a.input, a.output, model=model)
     elif a.mode == "cluster":
         res = cluster_job(spark, a.input, a.output, k=a.k)
+    elif a.mode == "report":
+        res = report_job(spark, a.report, a.input, a.output, a.as_of)
     else:
-        res = {r["table_name"]: r["row_count"] for r in publish_job(spark, a.input, a.output).collect()}
+        res = {r["table_name"]: r["row_count"] for r in publish_job(spark, a.input, a.output, on_violation=a.on_violation).collect()}
     print(json.dumps(res, default=str))
     return 0
 

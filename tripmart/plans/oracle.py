@@ -11,7 +11,7 @@ from tripmart.sources.tables import TRIPS_KNOWN_CARGO
 
 ERROR_RULES = [
     ("positive_weight", "cargo_weight_tons > 0"),
-    ("non_negative_value", "freight_value_brl >= 0"),
+    ("non_negative_value", "freight_value_brl >= 0 AND freight_value_brl < 1e15"),
     ("non_negative_delay", "delay_minutes >= 0"),
     ("valid_departure", "departure_time IS NOT NULL"),
     ("valid_arrival", "arrival_time IS NOT NULL"),
@@ -149,14 +149,17 @@ def clean(src: str = "deduped") -> str:
 )"""
 
 
-def silver_ctes(on_unknown: str = "quarantine", prefilter_nulls: bool = False, compat: bool = False) -> str:
+def silver_ctes(
+    on_unknown: str = "quarantine", prefilter_nulls: bool = False, compat: bool = False, change: str = "SELECT * FROM bronze"
+) -> str:
     """WITH-list ending in ``silver`` (clean rows, lineage dropped) and
-    ``quarantine``."""
+    ``quarantine``; ``change`` is what becomes of bronze before."""
     return ",\n".join(
         [
             TRIPS,
             BRONZE,
-            typed("bronze", prefilter_nulls),
+            f"changed AS ({change})",
+            typed("changed", prefilter_nulls),
             flagged(on_unknown),
             dedup(),
             clean(),
@@ -169,8 +172,8 @@ def silver_ctes(on_unknown: str = "quarantine", prefilter_nulls: bool = False, c
     )
 
 
-def with_silver(body: str, on_unknown: str = "quarantine", prefilter_nulls: bool = False, compat: bool = False) -> str:
-    return f"WITH {silver_ctes(on_unknown, prefilter_nulls, compat)}\n{body}"
+def with_silver(body: str, **options) -> str:
+    return f"WITH {silver_ctes(**options)}\n{body}"
 
 
 # ── per-query oracle SQL ─────────────────────────────────────────────────────
@@ -293,11 +296,12 @@ SELECT * EXCLUDE (_rn) FROM (
   FROM typed) WHERE _rn = 1"""
 
 
-def _contract_select(contract) -> str:
+def _contract_select(contract, wide: bool = False) -> str:
     cols = []
     for c, t, _ in contract:
         dt = "VARCHAR" if t.startswith("varchar") else t.upper().replace("INT", "INTEGER") if t == "int" else t.upper()
-        cols.append(f"TRY_CAST({c} AS {dt}) AS {c}")
+        value = f"TRY_CAST({c} AS {dt})"
+        cols.append(f"CAST({value} AS DOUBLE) AS {c}" if wide and t.startswith("decimal") else f"{value} AS {c}")
     return ", ".join(cols)
 
 
@@ -344,6 +348,14 @@ def oracle_queries() -> dict[str, str]:
     out = _oracle_base()
     a1 = A1_BODY.replace("ORDER BY trip_date", "")
     heuristic = out["f3_heuristic"]
+    four = "\nUNION ALL BY NAME\n".join(
+        f"SELECT *, '{name}' AS mart FROM ({body})"
+        for name, body in (("gold_daily_kpis", a1), ("gold_route_performance", A2_BODY), ("gold_cargo_mix", A3_BODY), ("gold_operator_ranking", A4_BODY))
+    )
+    clusters = with_silver(
+        f"""SELECT COUNT(*) AS rows, true AS labels_from_0, true AS labels_below_k, true AS sizes_add_up, true AS silhouette_in_range
+FROM ({A5_BODY})"""
+    )
     out.update(
         {
             "a5_route_features": with_silver(A5_BODY),
@@ -367,7 +379,10 @@ FROM ty""",
                 "SELECT _failure_reason, COUNT(*) AS rows FROM quarantine GROUP BY _failure_reason"
             ),
             "k5_serving_roundtrip": with_silver(
-                f"SELECT {_contract_select(SERVING_CONTRACTS['daily_kpis'])} FROM ({a1})"
+                "\nUNION ALL BY NAME\n".join(
+                    f"SELECT {_contract_select(SERVING_CONTRACTS[t], wide=True)}, '{t}' AS mart FROM ({body})"
+                    for t, body in (("daily_kpis", a1), ("route_performance", A2_BODY), ("cargo_mix", A3_BODY), ("operator_ranking", A4_BODY))
+                )
             ),
             "k6_incremental_load": with_silver(
                 f"SELECT {_contract_select(SERVING_CONTRACTS['route_performance'])} FROM ({A2_BODY})"
@@ -402,19 +417,75 @@ acc AS (
            || '/freight ' || CAST(y AS VARCHAR) || '-' || lpad(CAST(m AS VARCHAR), 2, '0') || '.csv' AS key,
          CASE WHEN m % 3 = 0 THEN substring('req-' || CAST(y AS VARCHAR) || '-0000000000000000', 1, 20)
               ELSE md5(CAST(n AS VARCHAR) || ':' || CAST(s AS VARCHAR)) END AS etag,
-         CAST(CASE WHEN m % 3 = 0 THEN 0 ELSE n * 100 END AS BIGINT) AS size_bytes
+         CAST(CASE WHEN m % 3 = 0 THEN 0 ELSE n * 100 END AS BIGINT) AS size_bytes, m % 3 <> 0 AS own
   FROM files WHERE m % 4 IN (2, 3))
-SELECT *, 'dev-' || substring(replace(etag, '-', ''), 1, 20) AS execution_name FROM acc""",
+SELECT * EXCLUDE (own), 'dev-' || substring(replace(etag, '-', ''), 1, 20) || CASE WHEN own THEN '' ELSE '-' || substring(md5(key), 1, 8) END AS execution_name FROM acc""",
             "s6_ledger": f"""WITH {_TRIPS_YM}
 SELECT 'year=' || CAST(year AS VARCHAR) || '/month=' || CAST(month AS VARCHAR) AS source_partition,
        COUNT(*) AS rows
 FROM ty WHERE year > 1997 GROUP BY 1""",
-            "t3_stream_dedup": f"WITH {TRIPS}\nSELECT DISTINCT trip_id, departure_time FROM trips",
-            "t4_late_days": with_silver(a1),
+            "t3_stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
+            "t4_late_days": with_silver(four),
+            "t2_stream_quarantine": with_silver(
+                "SELECT _failure_reason, _ingestion_date, COUNT(*) AS rows FROM quarantine GROUP BY 1, 2"
+            ),
             "j2_quarantine_job": with_silver(
                 "SELECT _failure_reason, _ingestion_date, COUNT(*) AS rows FROM quarantine GROUP BY 1, 2"
             ),
-            "j3_gold_job": with_silver(a1),
+            "j3_gold_job": with_silver(four),
+            "j2_rerun_shrunk_bronze": with_silver(
+                """SELECT trip_date, COUNT(*) AS rows, 'silver' AS side FROM silver GROUP BY 1
+UNION ALL SELECT trip_date, COUNT(*), 'quarantine' FROM quarantine GROUP BY 1""",
+                change="""SELECT * REPLACE (CASE WHEN l_partkey % 7 = 0 THEN -1 ELSE delay_minutes END AS delay_minutes)
+  FROM bronze WHERE month(departure_time) <> 3""",
+            ),
+            "j2_clean_only": with_silver(
+                """SELECT COUNT(*) AS rows_read, COUNT(*) - COUNT(DISTINCT (trip_id, departure_time)) AS duplicates_removed,
+       COUNT(DISTINCT (trip_id, departure_time)) AS rows_clean, CAST(0 AS BIGINT) AS rows_quarantined FROM flagged WHERE _dq_passed"""
+            ),
+            "p5_prefilter_nulls": with_silver(
+                _rate_by_day(), prefilter_nulls=True,
+                change="SELECT * REPLACE (CASE WHEN l_partkey % 5 <> 0 THEN departure_time END AS departure_time) FROM bronze",
+            ),
+            "q_amount_limit": with_silver(
+                a1,
+                change="""SELECT * REPLACE (CASE WHEN l_partkey % 11 = 0 THEN 1e15 + freight_value_brl ELSE freight_value_brl END AS freight_value_brl)
+  FROM bronze""",
+            ),
+            "k8_write_counts": with_silver(
+                f"""SELECT 'routes' AS name, COUNT(*) AS written, COUNT(*) AS read FROM ({A5_BODY})
+UNION ALL SELECT 'none', CAST(0 AS BIGINT), CAST(0 AS BIGINT)"""
+            ),
+            "m5_sorted_files": with_silver(f"SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM ({A2_BODY})"),
+            "j7_gate": with_silver(
+                f"""SELECT true AS refused, COUNT_IF(day(trip_date) > 3) AS loaded, COUNT_IF(day(trip_date) <= 3) AS rejected FROM ({A4_BODY})"""
+            ),
+            "f2_model_score": with_silver(_model_score()),
+            "f2_spark_model_score": with_silver(
+                f"""SELECT COUNT(*) AS rows, COUNT_IF(known) AS scored, COUNT_IF(NOT known) AS unscored, 'PipelineModel' AS model_used
+FROM (SELECT {" AND ".join(f"{x} IS NOT NULL" for x in _MODEL_FEATURES)} AS known FROM silver)"""
+            ),
+            "f7_clusters": clusters,
+            "j6_cluster_job": clusters,
+            "s1_drift": f"""WITH {TRIPS}
+SELECT trip_id, cargo_type, CASE WHEN l_partkey % 2 = 1 THEN operator END AS operator, CAST(l_partkey AS VARCHAR) AS l_partkey FROM trips""",
+            "s1_corrupt": f"WITH {TRIPS}\nSELECT COUNT(*) AS rows, COUNT_IF(l_partkey % 9 = 0) AS corrupt FROM trips",
+            "j1_ingest_twice": f"WITH {TRIPS}\nSELECT 'run-13' AS _pipeline_run_id, COUNT(*) AS rows, CAST(0 AS BIGINT) AS corrupt FROM trips",
+            "s5_rejected": f"""WITH {TRIPS},
+files AS (SELECT DISTINCT year(departure_time) AS y, month(departure_time) AS m FROM trips),
+named AS (SELECT *, 'req-' || y || '-0000000000000000' AS request_id,
+  CASE WHEN m % 4 = 0 THEN 'other-prefix/' ELSE 'freight/' END AS a, CASE WHEN m % 4 = 1 THEN '.parquet' ELSE '.csv' END AS z, lpad(CAST(m AS VARCHAR), 2, '0') AS mm FROM files)
+SELECT DISTINCT request_id, '' AS key, 'unreadable event' AS rejected FROM named WHERE y = 1996
+UNION ALL
+SELECT request_id, CASE WHEN y = 1997 THEN a || 'year%3D' || y || '/month%3D' || mm || '/100%zz' || y || '-' || mm || z
+  ELSE a || 'year=' || y || '/month=' || mm || '/freight ' || y || '-' || mm || z END,
+  CASE WHEN m % 4 = 0 THEN 'other prefix' ELSE 'other suffix' END
+FROM named WHERE y <> 1996 AND m % 4 IN (0, 1)""",
+            "s5_started": f"""WITH {TRIPS},
+files AS (SELECT DISTINCT year(departure_time) AS y, month(departure_time) AS m FROM trips)
+SELECT 'req-' || y || '-0000000000000000' AS request_id, COUNT_IF(m % 4 IN (2, 3)) AS executions_started FROM files GROUP BY y""",
+            "s8_synth": _synth(),
+            "m7_statistics": "",
             "j4_backfill_job": out["h1_history"],
             "j5_score_job": heuristic,
             "a9_load_counts": with_silver(
@@ -425,9 +496,63 @@ UNION ALL SELECT 'operator_ranking', COUNT(*) FROM ({A4_BODY})"""
             ),
         }
     )
+    out["m7_statistics"] = out["a9_load_counts"]
     return out
 
 
+_MODEL_FEATURES = [
+    "cargo_weight_tons", "freight_value_brl", "fuel_cost_brl", "trip_duration_hours",
+    "sin(CAST(3.14159 AS DOUBLE) * 2 * departure_hour / 24)", "cos(CAST(3.14159 AS DOUBLE) * 2 * departure_hour / 24)",
+    "ln(1 + cargo_weight_tons)", "ln(1 + freight_value_brl)",
+]
+
+
+def _model_score() -> str:
+    from tripmart.plans.queries import FIXED_MODEL
+
+    z = " + ".join(f"({w!r}) * {x}" for w, x in zip(FIXED_MODEL, _MODEL_FEATURES))
+    return f"""SELECT trip_id, trip_date, origin_station, destination_station, cargo_type,
+       round(1 / (1 + exp(-({z} + 0.2))), 9) AS delay_probability, 'LogisticModel' AS model_used FROM silver"""
+
+
+def _synth() -> str:
+    from tripmart.sources import synth as s
+
+    n = len(s.STATIONS)
+    stations = "[" + ", ".join(f"'{x}'" for x in s.STATIONS) + "]"
+    us = ", ".join(
+        f"CAST('0x' || substring(md5('42|{i}|' || l_orderkey || '|' || l_linenumber), 1, 13) AS BIGINT) / {float(2**52)!r} AS u{i}" for i in range(1, 18)
+    )
+
+    def pick(u: str, options) -> str:
+        out, total = "CASE", 0.0
+        for value, p in options:
+            total += p
+            out += f" WHEN {u} < {total!r} THEN {value!r}"
+        return f"{out} ELSE {options[-1][0]!r} END"
+
+    column = lambda k: pick("u3", [(c[k], c[1]) for c in s.CARGO])
+    return f"""WITH u AS (SELECT md5('42|' || l_orderkey || '|' || l_linenumber) AS h, {us} FROM lineitem),
+v AS (SELECT *, CAST(floor(u1 * {n}) AS INTEGER) AS o, {column(0)} AS cargo, CAST({column(2)} AS DOUBLE) AS lo, CAST({column(3)} AS DOUBLE) AS hi,
+  CAST({column(4)} AS DOUBLE) AS rate, 300 + u5 * 2200 AS dist, 50 + u6 * 30 AS speed,
+  TIMESTAMP '2024-01-01' + to_seconds(CAST(floor(u7 * 180) * 86400 + floor(u8 * 23 * 3600) AS BIGINT)) AS dep,
+  u15 < {s.DIRTY_SHARE} AS dirty FROM u),
+w AS (SELECT *, {R("lo + u4 * (hi - lo)", 2)} AS weight FROM v)
+SELECT concat_ws('-', substring(h, 1, 8), substring(h, 9, 4), substring(h, 13, 4), substring(h, 17, 4), substring(h, 21, 12)) AS trip_id,
+  {stations}[o + 1] AS origin_station,
+  {stations}[(o + 1 + CAST(floor(u2 * {n - 1}) AS INTEGER)) % {n} + 1] AS destination_station,
+  cargo AS cargo_type,
+  CASE WHEN dirty AND u16 < 1 / 3 THEN -1.0 ELSE weight END AS cargo_weight_tons,
+  CASE WHEN dirty AND u16 >= 2 / 3 THEN NULL ELSE strftime(dep, '%Y-%m-%d %H:%M:%S') END AS departure_time,
+  strftime(dep + to_seconds(CAST(floor(dist / speed * 3600) AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS arrival_time,
+  'BR-' || CAST(1000 + floor(u13 * 8999) AS INTEGER) AS train_id,
+  {pick("u14", s.OPERATORS)} AS operator,
+  CASE WHEN dirty AND u16 >= 1 / 3 AND u16 < 2 / 3 THEN -100.0 ELSE {R("weight * rate * dist / 1000 * (0.8 + 0.4 * u11)", 2)} END AS freight_value_brl,
+  {R("dist * (8 + 6 * u12)", 2)} AS fuel_cost_brl,
+  CAST(CASE WHEN u9 < {s.DELAYED_SHARE} THEN floor(-{s.MEAN_DELAY_MIN} * ln(1 - u10)) ELSE 0 END AS INTEGER) AS delay_minutes
+FROM w"""
+
+
 def _oracle_base() -> dict[str, str]:
     feats = ", ".join(
         [
@@ -472,10 +597,13 @@ FROM deduped"""
         "a8_top20_routes": with_silver(A8_SELECT),
         "j8_sql_reports": with_silver(
             f"""SELECT 'top_routes' AS report, origin_station || '->' || destination_station AS item,
-       total_trips, total_revenue_brl FROM ({A8_SELECT})
+       total_trips AS rows, total_revenue_brl FROM ({A8_SELECT})
+UNION ALL
+SELECT 'cargo_ranking', cargo_type, total_trips, total_revenue_brl FROM ({A7_BODY})
+UNION ALL
+SELECT 'daily_report', CAST(trip_date AS VARCHAR), total_trips, total_revenue_brl FROM ({A6_BODY})
 UNION ALL
-SELECT 'cargo_ranking' AS report, cargo_type AS item, total_trips, total_revenue_brl FROM (
-{A7_BODY})"""
+SELECT 'quarantine_audit', _failure_reason, COUNT(*), NULL FROM quarantine GROUP BY _failure_reason"""
         ),
         "w3_percent_rank": with_silver(f"SELECT *, {_PCT} AS revenue_percentile FROM silver"),
         "w3_percent_rank_scalable": with_silver(f"SELECT *, {_PCT} AS revenue_percentile FROM silver"),

@@ -52,19 +52,21 @@ def flag_and_dedup(
     on_unknown: str = q.QUARANTINE,
     prefilter_nulls: bool = False,
     deduplicate: bool = True,
+    copies: str | None = None,
 ) -> DataFrame:
-    """Refine, evaluate the rules and keep one row per natural key, preferring
-    a copy that passes.  ``prefilter_nulls=True`` drops rows without
-    departure or arrival before the rules, as the original job did."""
+    """Type, keep one row per natural key (preferring a copy that passes the
+    rules), derive, evaluate the rules.  ``prefilter_nulls=True`` drops rows
+    without departure or arrival before the rules, as the original job did.
+
+    Only raw columns and the pass/fail outcome go through the dedup shuffle;
+    everything derived, ``trip_date`` included, is computed on the survivors.
+    A date filter on the result therefore reaches the scan through the key."""
     df = cast_types(bronze)
     if prefilter_nulls:
         df = require_times(df)
-    df = derive_columns(df)
     if deduplicate:
-        # only the pass/fail outcome orders the copies; the per-rule flags
-        # are computed after the shuffle, on the surviving rows
-        df = dd.dedup(df.withColumn(q.PASSED, q.passed_column(rules)))
-    return q.evaluate_rules(df, rules, on_unknown)
+        df = dd.dedup(df.withColumn(q.PASSED, q.passed_column(rules)), copies=copies)
+    return q.evaluate_rules(derive_columns(df), rules, on_unknown)
 
 
 def drop_metadata(df: DataFrame) -> DataFrame:

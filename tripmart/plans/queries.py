@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.operators import history as h
@@ -30,8 +30,8 @@ from tripmart.plans.pipeline import (
     trips_rules,
 )
 from tripmart.plans import jobs
-from tripmart.schema import SERVING_CONTRACTS
-from tripmart.session import scratch_path
+from tripmart.schema import SERVING_CONTRACTS, SERVING_SORT_KEYS
+from tripmart.session import scratch_path, staged
 from tripmart.sources.landing import expected_columns_report, read_landing
 from tripmart.sources import events as ev
 from tripmart.sources.synth import synthesize
@@ -92,8 +92,25 @@ def q_rate_by_day(spark, sf_dir):
 
 
 def q10_run_counts(spark, sf_dir):
+    return q.run_counts(flag_and_dedup(bronze_trips(spark, sf_dir), trips_rules(), copies="_copies"), "_copies")
+
+
+def p5_prefilter_nulls(spark, sf_dir):
+    """P5: rows without a time filtered before the rules (as the original job
+    did); every fifth part's trips lose their departure time here."""
+    bronze = bronze_trips(spark, sf_dir)
+    gone = F.when(F.col("l_partkey") % 5 != 0, F.col("departure_time"))
+    flagged = flag_and_dedup(bronze.withColumn("departure_time", gone), trips_rules(), prefilter_nulls=True)
+    return q.quarantine_rate_by_day(flagged)
+
+
+def q_amount_limit(spark, sf_dir):
+    """Amounts beyond exact sums are quarantined and the marts still run: here
+    every eleventh part's trips are worth 1e15 or more."""
     bronze = bronze_trips(spark, sf_dir)
-    return q.run_counts(bronze, flag_and_dedup(bronze, trips_rules()))
+    huge = F.when(F.col("l_partkey") % 11 == 0, F.lit(1e15) + F.col("freight_value_brl")).otherwise(F.col("freight_value_brl"))
+    flagged = flag_and_dedup(bronze.withColumn("freight_value_brl", huge), trips_rules())
+    return m.daily_kpis(split_silver(flagged, trips_rules())[0])
 
 
 def d_dedup(spark, sf_dir):
@@ -136,20 +153,19 @@ def a8_top20_routes(spark, sf_dir):
 def j8_sql_reports(spark, sf_dir):
     """The saved reports as SQL text over a temp view, stacked."""
     silver_trips(spark, sf_dir).createOrReplaceTempView("silver_freight")
-    top = r.run_sql_report(spark, "top_routes", "silver_freight")
-    return top.select(
-        F.lit("top_routes").alias("report"),
-        F.concat_ws("->", "origin_station", "destination_station").alias("item"),
-        F.col("total_trips"),
-        F.col("total_revenue_brl"),
-    ).unionByName(
-        r.run_sql_report(spark, "cargo_ranking", "silver_freight").select(
-            F.lit("cargo_ranking").alias("report"),
-            F.col("cargo_type").alias("item"),
-            F.col("total_trips"),
-            F.col("total_revenue_brl"),
-        )
-    )
+    _quarantine(spark, sf_dir).createOrReplaceTempView("quarantine_freight")
+    items = {
+        "top_routes": ("silver_freight", F.concat_ws("->", "origin_station", "destination_station"), "total_trips"),
+        "cargo_ranking": ("silver_freight", F.col("cargo_type"), "total_trips"),
+        "daily_report": ("silver_freight", F.col("trip_date").cast("string"), "total_trips"),
+        "quarantine_audit": ("quarantine_freight", F.col("failure_reason"), "rejected_rows"),
+    }
+    parts = []
+    for name, (view, item, n) in items.items():
+        report = r.run_sql_report(spark, name, view)
+        revenue = F.col("total_revenue_brl") if "total_revenue_brl" in report.columns else F.lit(None).cast("double")
+        parts.append(report.select(F.lit(name).alias("report"), item.alias("item"), F.col(n).alias("rows"), revenue.alias("total_revenue_brl")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def w3_percent_rank(spark, sf_dir):
@@ -258,14 +274,26 @@ def k1_append_roundtrip(spark, sf_dir):
 
 
 def k2_overwrite_roundtrip(spark, sf_dir):
-    """K2: the shared silver was written by J2 with a partitioned overwrite;
-    its last 90 days are overwritten again (dynamic mode replaces only those
-    days) and the table read back still equals silver once."""
-    path = f"{_lake(spark, sf_dir)}/silver"
-    sinks.overwrite_partitioned(r.last_days(silver_trips(spark, sf_dir), 90), path)
+    """K2: silver written with a partitioned overwrite; its last 90 days are
+    overwritten again (dynamic mode replaces only those days) and the table read
+    back still equals silver once."""
+    path = scratch_path(spark, "silver")
+    silver = spark.read.parquet(f"{_lake(spark, sf_dir)}/silver")
+    sinks.overwrite_partitioned(silver, path, dynamic=False)
+    sinks.overwrite_partitioned(r.last_days(silver, 90), path)
     return spark.read.parquet(path)
 
 
+def k8_write_counts(spark, sf_dir):
+    """K8: rows as counted by the writers, next to rows read back."""
+    feats = seg.route_features(silver_trips(spark, sf_dir))
+    rows = []
+    for name, frame in (("routes", feats), ("none", feats.filter("trip_count < 0"))):
+        path = scratch_path(spark, name)
+        rows.append((name, sinks.overwrite(frame, path), spark.read.schema(frame.schema).parquet(path).count()))
+    return spark.createDataFrame(rows, "name string, written long, read long")
+
+
 def k4_conditional_write(spark, sf_dir):
     """K4: the quarantine is written only when it has rows."""
     path = scratch_path(spark, "quarantine")
@@ -318,9 +346,43 @@ def j2_quarantine_job(spark, sf_dir):
     )
 
 
+def _stacked_marts(spark, gold):
+    """The four marts as written, one below the other (columns by name)."""
+    parts = [spark.read.parquet(f"{gold}/{name}").withColumn("mart", F.lit(name)) for name in m.MARTS]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def j3_gold_job(spark, sf_dir):
-    """The daily KPI mart as written by the gold job."""
-    return spark.read.parquet(f"{_lake(spark, sf_dir)}/gold/gold_daily_kpis")
+    """All four marts as written by the gold job."""
+    return _stacked_marts(spark, f"{_lake(spark, sf_dir)}/gold")
+
+
+def _shrunk(bronze):
+    """A later state of bronze: March is gone, every seventh part's trips have
+    turned bad."""
+    bad = F.when(F.col("l_partkey") % 7 == 0, F.lit(-1)).otherwise(F.col("delay_minutes"))
+    return bronze.filter(F.month("departure_time") != 3).withColumn("delay_minutes", bad)
+
+
+def j2_rerun_shrunk_bronze(spark, sf_dir):
+    """J2 run again after bronze shrank: no day and no rejection of the first run is
+    left in silver or quarantine."""
+    root = scratch_path(spark, "rerun")
+    bronze = bronze_trips(spark, sf_dir)
+    for i, state in enumerate((bronze, _shrunk(bronze))):
+        sinks.overwrite(state, f"{root}/bronze{i}")
+        jobs.refine_job(spark, f"{root}/bronze{i}", f"{root}/silver", f"{root}/quarantine", rules=trips_rules())
+    return spark.read.parquet(f"{root}/silver").groupBy("trip_date").agg(F.count(F.lit(1)).alias("rows")).withColumn("side", F.lit("silver")).unionByName(
+        spark.read.parquet(f"{root}/quarantine").groupBy("trip_date").agg(F.count(F.lit(1)).alias("rows")).withColumn("side", F.lit("quarantine")))
+
+
+def j2_clean_only(spark, sf_dir):
+    """J2 on input without a bad row: counts of the run, nothing quarantined."""
+    root = scratch_path(spark, "clean")
+    sinks.overwrite(bronze_trips(spark, sf_dir).filter(q.passed_column(trips_rules())), f"{root}/bronze")
+    counts = jobs.refine_job(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", rules=trips_rules())
+    names = ["rows_read", "duplicates_removed", "rows_clean", "rows_quarantined"]
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
 
 
 _SERVING: dict[tuple[str, str], str] = {}
@@ -347,18 +409,61 @@ def a9_load_counts(spark, sf_dir):
 
 
 def k5_serving_roundtrip(spark, sf_dir):
-    """K5: daily KPIs through the typed serving table (decimals, int)."""
-    return spark.table(f"{_serving(spark, sf_dir)}daily_kpis").drop("loaded_at")
+    """K5: all four marts through their typed serving tables (decimals, int)."""
+    prefix = _serving(spark, sf_dir)
+    parts = [spark.table(f"{prefix}{t}").drop("loaded_at", serve.MONTH).withColumn("mart", F.lit(t)) for t in SERVING_CONTRACTS]
+    wide = [p.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in p.dtypes]) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), wide)
+
+
+def m7_statistics(spark, sf_dir):
+    """M7: row counts that ANALYZE left in the catalog."""
+    prefix, rows = _serving(spark, sf_dir), []
+    for t in SERVING_CONTRACTS:
+        found = spark.sql(f"DESCRIBE EXTENDED {prefix}{t}").filter("col_name = 'Statistics'").first()["data_type"]
+        rows.append((t, int(found.split(",")[1].split()[0])))
+    return spark.createDataFrame(rows, "table_name string, row_count long")
+
+
+def m5_sorted_files(spark, sf_dir):
+    """M5: rows of the serving files that break the compound sort key: none."""
+    t = spark.table(f"{_serving(spark, sf_dir)}route_performance").withColumns({"_f": F.input_file_name(), "_i": F.monotonically_increasing_id()})
+    key = F.struct("trip_date", "origin_station", "destination_station")
+    before = F.lag(key).over(Window.partitionBy("_f").orderBy("_i"))
+    return t.select((before > key).alias("bad")).agg(F.count(F.lit(1)).alias("rows"), F.count_if("bad").alias("out_of_order"))
 
 
 def k6_incremental_load(spark, sf_dir):
-    """K6: after the full load, the last 60 days are recomputed and only
-    those partitions replaced; the table still equals a full load."""
-    name = f"{_serving(spark, sf_dir)}route_performance"
-    silver = silver_trips(spark, sf_dir)
-    serve.load(spark, m.route_performance(r.last_days(silver, 60)), name,
-               SERVING_CONTRACTS["route_performance"], full_refresh=False)
-    return spark.table(name).drop("loaded_at")
+    """K6: a table loaded without the newest 60 days gets them by an incremental
+    load of the months they touch; it then equals a full load."""
+    name, contract = f"incremental_{uuid.uuid4().hex[:8]}", SERVING_CONTRACTS["route_performance"]
+    mart = staged(m.route_performance(silver_trips(spark, sf_dir)), "mart")
+    keys = SERVING_SORT_KEYS["route_performance"]
+    serve.create_table(spark, name, contract, scratch_path(spark, "serving"))
+    fresh = r.last_days(mart, 60)
+    serve.load(spark, mart.join(fresh.select("trip_date").distinct(), "trip_date", "left_anti"), name, contract, sort_cols=keys)
+    serve.load(spark, serve.whole_months(mart, fresh), name, contract, full_refresh=False, sort_cols=keys)
+    return spark.table(name).drop("loaded_at", serve.MONTH)
+
+
+def j7_gate(spark, sf_dir):
+    """Rows that break the contract (a text too long, an overflow, a missing
+    key) are refused or routed out before anything is loaded."""
+    mart = staged(m.operator_ranking(silver_trips(spark, sf_dir)), "mart")
+    day = F.dayofmonth("trip_date")
+    broken = mart.withColumns({
+        "operator": F.when(day == 1, F.repeat("operator", F.lit(40))).when(day == 2, F.lit(None).cast("string")).otherwise(F.col("operator")),
+        "total_revenue_brl": F.when(day == 3, F.lit(1e17)).otherwise(F.col("total_revenue_brl")),
+    })
+    root, prefix = scratch_path(spark, "gate"), f"gate_{uuid.uuid4().hex[:8]}_"
+    try:
+        serve.publish(spark, {"operator_ranking": broken}, root, prefix)
+        refused = False
+    except serve.ContractError:
+        refused = not spark.catalog.tableExists(f"{prefix}operator_ranking")
+    loaded = serve.publish(spark, {"operator_ranking": broken}, root, prefix, on_violation="route").first()["row_count"]
+    rejected = spark.read.parquet(f"{root}/rejected/operator_ranking").count()
+    return spark.createDataFrame([(refused, loaded, rejected)], "refused boolean, loaded long, rejected long")
 
 
 def m4_contract_violations(spark, sf_dir):
@@ -394,24 +499,46 @@ def j5_score_job(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+#: Coefficients of the model whose scores are held against SQL.
+FIXED_MODEL = (1e-5, -2e-6, 3e-6, 1e-3, 0.5, -0.25, 0.1, -0.05)
+
+
 def f2_model_score(spark, sf_dir):
-    """F2: logistic model trained with MLlib, scored through the iterator
-    pandas UDF (Arrow batches)."""
-    silver = silver_trips(spark, sf_dir)
-    model = sc.to_numpy_model(sc.fit_delay_model(silver))
-    return sc.score(silver, model=model)
+    """a model with fixed coefficients through the pandas UDF (Arrow batches);
+    rounded to 9 digits for comparison across engines."""
+    scored = sc.score(silver_trips(spark, sf_dir), model=sc.LogisticModel(FIXED_MODEL, 0.2))
+    return scored.withColumn("delay_probability", F.round("delay_probability", 9))
 
 
 def f2_spark_model_score(spark, sf_dir):
-    """F2 on the JVM: the MLlib PipelineModel transforms directly."""
-    silver = silver_trips(spark, sf_dir)
-    return sc.spark_model_score(silver, sc.fit_delay_model(silver)).select(*sc.SCORED_COLUMNS)
+    """F2 on the JVM, with a model trained here: the trained numbers differ by
+    machine, so what must hold is returned (rows, probabilities, unscored rows)."""
+    silver = staged(silver_trips(spark, sf_dir), "silver")
+    scored = sc.score(silver, model=sc.fit_delay_model(silver))
+    p = F.col("delay_probability")
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(p.between(0, 1)).alias("scored"), F.count_if(p.isNull()).alias("unscored"),
+        F.max("model_used").alias("model_used"))
+
+
+def _cluster_invariants(clusters, report):
+    return clusters.agg(
+        F.count(F.lit(1)).alias("rows"),
+        (F.min("cluster") >= 0).alias("labels_from_0"), (F.max("cluster") < report["k"]).alias("labels_below_k"),
+        (F.lit(sum(report["cluster_sizes"])) == F.count(F.lit(1))).alias("sizes_add_up"),
+        F.lit(-1.0 <= report["silhouette"] <= 1.0).alias("silhouette_in_range"))
 
 
 def f7_clusters(spark, sf_dir):
-    """Route clusters (k-means labels depend on partitioning)."""
-    clusters, _ = seg.segment_routes(silver_trips(spark, sf_dir))
-    return clusters
+    """K-means labels depend on partitioning, so what must hold is returned."""
+    return _cluster_invariants(*seg.segment_routes(silver_trips(spark, sf_dir)))
+
+
+def j6_cluster_job(spark, sf_dir):
+    """Clusters as written by the job."""
+    out = scratch_path(spark, "clusters")
+    report = jobs.cluster_job(spark, f"{_lake(spark, sf_dir)}/silver", out)
+    return _cluster_invariants(spark.read.parquet(out), report)
 
 
 # ── file arrivals, ledger, synthetic trips (S5-S8) ───────────────────────────
@@ -452,6 +579,56 @@ def s5_events(spark, sf_dir):
     return ev.file_arrivals(_notifications(spark, sf_dir))
 
 
+def s5_rejected(spark, sf_dir):
+    """Records that are not ingested, with the reason; two years' events are
+    broken here (an unreadable body, a key that does not decode)."""
+    events = _notifications(spark, sf_dir)
+    body = F.when(F.col("request_id").contains("-1996-"), F.lit("{broken")).when(
+        F.col("request_id").contains("-1997-"), F.regexp_replace("body", "freight\\+", "100%zz")).otherwise(F.col("body"))
+    return ev.rejected_records(events.withColumn("body", body)).select("request_id", F.coalesce("key", F.lit("")).alias("key"), "rejected")
+
+
+def s5_started(spark, sf_dir):
+    """Executions started for each event."""
+    return ev.started_counts(_notifications(spark, sf_dir))
+
+
+def j1_ingest_twice(spark, sf_dir):
+    """J1 with the content ledger, run twice, with a copy of one file put in before
+    each run: every row is in bronze once."""
+    landing, root = _landing(spark, sf_dir), scratch_path(spark, "twice")
+    for i in (13, 14):
+        _copy_first_file(spark, f"{landing}/year=1995/month=1", f"{landing}/year=1995/month={i}")
+        jobs.ingest(spark, landing, f"{root}/bronze", run_id=f"run-{i}", ledger=f"{root}/ledger")
+    df = spark.read.parquet(f"{root}/bronze")
+    return df.groupBy("_pipeline_run_id").agg(F.count(F.lit(1)).alias("rows"), F.count("_corrupt_record").alias("corrupt"))
+
+
+def s1_drift(spark, sf_dir):
+    """Files with their columns in another order, and one column more, are bound
+    by name."""
+    path = scratch_path(spark, "drift")
+    t = trips(spark, sf_dir).select("trip_id", "cargo_type", "operator", F.col("l_partkey").cast("string").alias("l_partkey"))
+    halves = {"a": t.filter("l_partkey % 2 = 0").drop("operator"), "b": t.filter("l_partkey % 2 = 1").select("operator", "cargo_type", "l_partkey", "trip_id")}
+    for name, half in halves.items():
+        sinks.write_counted(half, f"{path}/part={name}", partition_by=(), fmt="csv", options={"header": "true"})
+    return read_landing(spark, f"{path}/*", by_name=True)
+
+
+def s1_corrupt(spark, sf_dir):
+    """Lines with a field too many are kept with their text, none is cut off
+    in silence."""
+    path = scratch_path(spark, "corrupt")
+    last = F.when(F.col("l_partkey") % 9 == 0, F.lit("x,y")).otherwise(F.col("operator"))
+    rows = trips(spark, sf_dir).select(F.concat_ws(",", "trip_id", "cargo_type", last).alias("value"), F.pmod("l_partkey", F.lit(4)).alias("part"), F.lit(1).alias("_o"))
+    heads = spark.range(4).select(F.lit("trip_id,cargo_type,operator").alias("value"), F.col("id").alias("part"), F.lit(0).alias("_o"))
+    # the header leads each file
+    lines = heads.unionByName(rows).repartition(4, "part").sortWithinPartitions("part", "_o")
+    lines.select("value", "part").write.partitionBy("part").text(path)
+    raw = read_landing(spark, f"{path}/*", keep_corrupt=True)
+    return raw.agg(F.count("trip_id").alias("rows"), F.count("_corrupt_record").alias("corrupt"))
+
+
 def _copy_first_file(spark, src_dir, dst_dir):
     """Byte copy of one landing file under another name (a re-upload)."""
     jvm = spark.sparkContext._jvm
@@ -514,22 +691,20 @@ _STREAMS: dict[tuple[str, str], str] = {}
 
 
 def _stream_lake(spark, sf_dir):
-    """Bronze arrives in two chunks (by ingestion time, each key's copies in
-    one file); T2 + T4 refine them in two micro-batches."""
+    """Bronze arrives in two chunks, the newer rows first and copies of a key on
+    both sides; T2 + T4 refine them in two micro-batches."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAMS:
         root = scratch_path(spark, "stream")
         bronze = bronze_trips(spark, sf_dir)
         ts = F.col("_ingestion_timestamp")
-        chunks = [ts < "1998", ts >= "1998"]
-        for cond in chunks:
-            part = bronze.filter(cond).repartition(4, "trip_id", "departure_time")
+        for cond in (ts >= "1998", ts < "1998"):
+            part = bronze.filter(cond).repartition(4)
             part.write.mode("append").parquet(f"{root}/bronze")
         schema = spark.read.parquet(f"{root}/bronze").schema
         st.stream_refine(
             spark, f"{root}/bronze", schema, f"{root}/silver", f"{root}/quarantine", f"{root}/ckpt",
-            gold=f"{root}/gold", rules=trips_rules(), max_files_per_trigger=4,
-            mart_names=("gold_daily_kpis",),
+            state=f"{root}/state", gold=f"{root}/gold", rules=trips_rules(), max_files_per_trigger=4,
         )
         _STREAMS[key] = root
     return _STREAMS[key]
@@ -540,18 +715,27 @@ def t2_stream_silver(spark, sf_dir):
     return spark.read.parquet(f"{_stream_lake(spark, sf_dir)}/silver")
 
 
+def t2_stream_quarantine(spark, sf_dir):
+    """The quarantine kept by the stream equals that of the batch job."""
+    return (
+        spark.read.parquet(f"{_stream_lake(spark, sf_dir)}/quarantine")
+        .groupBy("_failure_reason", "_ingestion_date")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
 def t4_late_days(spark, sf_dir):
-    """T4: daily KPIs recomputed only for the days each batch touched."""
-    return spark.read.parquet(f"{_stream_lake(spark, sf_dir)}/gold/gold_daily_kpis")
+    """T4: all four marts, recomputed only for the months each batch touched."""
+    return _stacked_marts(spark, f"{_stream_lake(spark, sf_dir)}/gold").drop(st.MONTH)
 
 
 def t3_stream_dedup(spark, sf_dir):
-    """Watermark dedup of the bronze stream; one row per natural key."""
+    """Watermark dedup (60 days) of the event stream; one row per user and type."""
     root = scratch_path(spark, "stream")
-    sinks.append_partitioned(bronze_trips(spark, sf_dir), f"{root}/bronze", "_ingestion_date")
-    schema = spark.read.parquet(f"{root}/bronze").schema
-    st.stream_dedup(spark, f"{root}/bronze", schema, f"{root}/dedup", f"{root}/ckpt", delay="36500 days")
-    return spark.read.parquet(f"{root}/dedup").select("trip_id", "departure_time")
+    events = table(spark, sf_dir, "events")
+    sinks.overwrite(events, f"{root}/events")
+    st.stream_dedup(spark, f"{root}/events", events.schema, f"{root}/dedup", f"{root}/ckpt", event_time="ts", keys=["user_id", "event_type"])
+    return spark.read.parquet(f"{root}/dedup").select("user_id", "event_type")
 
 
 QUERIES: dict[str, Query] = {
@@ -564,6 +748,8 @@ QUERIES: dict[str, Query] = {
     "q_audit": q_audit,
     "q_rate_by_day": q_rate_by_day,
     "q10_run_counts": q10_run_counts,
+    "p5_prefilter_nulls": p5_prefilter_nulls,
+    "q_amount_limit": q_amount_limit,
     "d_dedup": d_dedup,
     "j2_silver": j2_silver,
     "a1_daily_kpis": a1_daily_kpis,
@@ -594,21 +780,34 @@ QUERIES: dict[str, Query] = {
     "k2_overwrite_roundtrip": k2_overwrite_roundtrip,
     "k3_overwrite_roundtrip": k3_overwrite_roundtrip,
     "k4_conditional_write": k4_conditional_write,
+    "k8_write_counts": k8_write_counts,
     "k5_serving_roundtrip": k5_serving_roundtrip,
     "k6_incremental_load": k6_incremental_load,
     "m4_contract_violations": m4_contract_violations,
     "m6_registered_layer": m6_registered_layer,
     "j2_refine_job": j2_refine_job,
     "j2_quarantine_job": j2_quarantine_job,
+    "j2_rerun_shrunk_bronze": j2_rerun_shrunk_bronze,
+    "j2_clean_only": j2_clean_only,
+    "j6_cluster_job": j6_cluster_job,
+    "j7_gate": j7_gate,
+    "m5_sorted_files": m5_sorted_files,
+    "m7_statistics": m7_statistics,
     "j3_gold_job": j3_gold_job,
     "j4_backfill_job": j4_backfill_job,
     "j5_score_job": j5_score_job,
     "a9_load_counts": a9_load_counts,
     "s5_events": s5_events,
+    "s5_rejected": s5_rejected,
+    "s5_started": s5_started,
+    "s1_drift": s1_drift,
+    "s1_corrupt": s1_corrupt,
+    "j1_ingest_twice": j1_ingest_twice,
     "s6_ledger": s6_ledger,
     "s8_synth": s8_synth,
     "t1_stream_ingest": t1_stream_ingest,
     "t2_stream_silver": t2_stream_silver,
+    "t2_stream_quarantine": t2_stream_quarantine,
     "t3_stream_dedup": t3_stream_dedup,
     "t4_late_days": t4_late_days,
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The 12 expected columns of a raw trip file, in file order.
 EXPECTED_COLUMNS = [
     "trip_id",
@@ -20,14 +18,8 @@ EXPECTED_COLUMNS = [
     "delay_minutes",
 ]
 
-# Landing files are read as text; typing happens in refine (no inference pass).
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in EXPECTED_COLUMNS])
-
 NATURAL_KEY = ["trip_id", "departure_time"]
 
-# Lineage columns added at ingest.
-LINEAGE_COLUMNS = ["_ingestion_timestamp", "_pipeline_run_id", "_source_path", "_ingestion_date"]
-
 # Serving contracts (decimal precision, varchar length, NOT NULL keys).
 # Each entry: (column, spark type, nullable).
 SERVING_CONTRACTS: dict[str, list[tuple[str, str, bool]]] = {
@@ -80,3 +72,11 @@ SERVING_CONTRACTS: dict[str, list[tuple[str, str, bool]]] = {
         ("on_time_rate_pct", "decimal(5,2)", True),
     ],
 }
+
+# Compound sort keys of the serving tables.
+SERVING_SORT_KEYS = {
+    "daily_kpis": ("trip_date",),
+    "route_performance": ("trip_date", "origin_station", "destination_station"),
+    "cargo_mix": ("trip_date", "cargo_type"),
+    "operator_ranking": ("trip_date", "operator"),
+}

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  ANSI stays on (Spark 4 default); operators
 # use try_cast / try_divide where the reference relied on NULL-on-error.
@@ -46,12 +46,14 @@ def get_spark(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (tests, laptops) create a
-    fresh one."""
+    ``spark.checkpoint.dir``; only when it is unset in local mode (tests,
+    laptops) create a fresh one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(base)
     else:
@@ -63,6 +65,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tripmart", f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{base.rstrip('/')}/tripmart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and a lost
+    executor costs a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,57 +1,33 @@
 """File-arrival events and idempotent ingest.
 
-S5: notification bodies (JSON text) -> one row per accepted file: parse with
-an explicit schema, explode the records, URL-decode the key ('+' is a space),
-keep keys under the prefix with the suffix.  S7: a missing ETag falls back to
-the first 20 characters of the request id, a missing size to 0.
-
-S6: "the same content is not processed twice" keyed on content, not on
-names or wall-clock time: per file, (row count, sum of xxhash64 over all data
-columns as decimal) is the fingerprint; files whose fingerprint is already
-in the ledger are skipped with a left-anti join, and the ledger is appended
-only after the ingest succeeded.
+S5: notification bodies (JSON text) -> one row per record: parse with an
+explicit schema, explode, URL-decode the key ('+' is a space; a key that does
+not decode is taken as it is).  Every record is either accepted (key under the
+prefix, with the suffix) or rejected with a reason, bodies that do not parse
+included.  S7: a missing ETag falls back to the first 20 characters of the
+request id, a missing size to 0; the execution name then also holds a hash of
+the key, so that files of one event stay apart.
+
+S6: "the same content is not processed twice" keyed on content, not on names or
+wall-clock time: per file, the row count and two order-independent sums of
+NULL-safe row hashes.  Files whose fingerprint is in the ledger are skipped, one
+file for each content goes through, and the ledger is appended only after the
+ingest succeeded.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-EVENT_SCHEMA = T.StructType(
-    [
-        T.StructField(
-            "Records",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField(
-                            "s3",
-                            T.StructType(
-                                [
-                                    T.StructField("bucket", T.StructType([T.StructField("name", T.StringType())])),
-                                    T.StructField(
-                                        "object",
-                                        T.StructType(
-                                            [
-                                                T.StructField("key", T.StringType()),
-                                                T.StructField("size", T.LongType()),
-                                                T.StructField("eTag", T.StringType()),
-                                            ]
-                                        ),
-                                    ),
-                                ]
-                            ),
-                        )
-                    ]
-                )
-            ),
-        )
-    ]
+
+EVENT_SCHEMA = (
+    "Records array<struct<eventTime:string,s3:struct<bucket:struct<name:string>,"
+    "object:struct<key:string,size:bigint,eTag:string>>>>"
 )
+LEDGER_SCHEMA = "_source_path string, rows bigint, content_hash decimal(38,0), content_check decimal(38,0)"
 
 
-def file_arrivals(
+def event_records(
     events: DataFrame,
     body: str = "body",
     request_id: str = "request_id",
@@ -59,43 +35,76 @@ def file_arrivals(
     suffix: str = ".csv",
     environment: str = "dev",
 ) -> DataFrame:
-    """S5 + S7: accepted files with bucket, key, etag, size and a
-    content-keyed execution name (same content -> same name)."""
-    parsed = events.select(F.col(request_id).alias("_request_id"), F.from_json(F.col(body), EVENT_SCHEMA).alias("e"))
-    recs = parsed.select("_request_id", F.explode("e.Records").alias("r"))
-    key = F.try_url_decode(F.col("r.s3.object.key"))
-    etag = F.coalesce(
-        F.nullif(F.regexp_replace(F.col("r.s3.object.eTag"), '"', ""), F.lit("")),
-        F.substring(F.col("_request_id"), 1, 20),
+    """S5 + S7: all records with bucket, key, etag, size, time, execution name, and
+    ``rejected`` (NULL when accepted)."""
+    parsed = events.select(
+        F.col(request_id).alias("request_id"), F.col(body).alias("_body"),
+        F.from_json(F.col(body), EVENT_SCHEMA).getField("Records").alias("_records"),
     )
+    recs = parsed.select("request_id", (F.size("_records") < 0).alias("_broken"), F.explode_outer("_records").alias("r"), F.col("_records").alias("_all"))
+    # an event with an empty list of records has nothing to report
+    recs = recs.filter(F.col("_all").isNull() | (F.size("_all") > 0))
+    raw = F.col("r.s3.object.key")
+    key = F.coalesce(F.try_url_decode(raw), raw)
+    own = F.nullif(F.regexp_replace(F.col("r.s3.object.eTag"), '"', ""), F.lit(""))
     out = recs.select(
+        "request_id",
         F.col("r.s3.bucket.name").alias("bucket"),
         key.alias("key"),
-        etag.alias("etag"),
+        F.coalesce(own, F.substring("request_id", 1, 20)).alias("etag"),
         F.coalesce(F.col("r.s3.object.size"), F.lit(0).cast("bigint")).alias("size_bytes"),
+        F.col("r.eventTime").alias("event_time"),
+        own.isNull().alias("_shared"),
+        F.col("_all").isNull().alias("_broken"),
     )
-    out = out.filter(F.col("key").startswith(prefix) & F.col("key").endswith(suffix))
-    return out.withColumn(
-        "execution_name",
-        F.concat(F.lit(f"{environment}-"), F.substring(F.regexp_replace("etag", "-", ""), 1, 20)),
+    name = F.concat(F.lit(f"{environment}-"), F.substring(F.regexp_replace("etag", "-", ""), 1, 20))
+    apart = F.when(F.col("_shared"), F.concat(F.lit("-"), F.substring(F.md5(F.coalesce("key", F.lit(""))), 1, 8))).otherwise(F.lit(""))
+    reason = (
+        F.when(F.col("_broken"), F.lit("unreadable event"))
+        .when(F.col("key").isNull(), F.lit("no key"))
+        .when(~F.col("key").startswith(prefix), F.lit("other prefix"))
+        .when(~F.col("key").endswith(suffix), F.lit("other suffix"))
     )
+    return out.select("request_id", "bucket", "key", "etag", "size_bytes", "event_time", F.concat(name, apart).alias("execution_name"), reason.alias("rejected"))
+
+
+def file_arrivals(events: DataFrame, **options) -> DataFrame:
+    """S5 + S7: accepted files (same content -> same execution name)."""
+    return event_records(events, **options).filter(F.col("rejected").isNull()).select("bucket", "key", "etag", "size_bytes", "execution_name")
+
+
+def rejected_records(events: DataFrame, **options) -> DataFrame:
+    """What was not accepted, with the reason."""
+    return event_records(events, **options).filter(F.col("rejected").isNotNull()).select("request_id", "bucket", "key", "rejected")
+
+
+def started_counts(events: DataFrame, **options) -> DataFrame:
+    """Executions started for each event."""
+    return event_records(events, **options).groupBy("request_id").agg(F.count_if(F.col("rejected").isNull()).alias("executions_started"))
 
 
 def content_fingerprints(df: DataFrame, columns, path_col: str = "_source_path") -> DataFrame:
-    """Per source file, row count and order-independent content hash."""
-    h = F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(38,0)")
+    """Per source file, row count and two order-independent content sums.
+
+    Each value is hashed with its position and whether it is there, so NULLs and
+    swapped columns change the sums."""
+    parts = [F.struct(F.lit(i).alias("i"), F.col(c).isNull().alias("n"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)]
+    one = F.xxhash64(*parts)
+    two = F.xxhash64(F.lit("second"), *reversed(parts))
     return df.groupBy(path_col).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum(h).alias("content_hash"),
+        F.sum(one.cast("decimal(38,0)")).alias("content_hash"),
+        F.sum(two.cast("decimal(38,0)")).alias("content_check"),
     )
 
 
-def unseen_files(fingerprints: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    """Fingerprints whose content is not in the ledger yet (and one file
-    per content within this run)."""
-    fresh = fingerprints
+def unseen_files(fingerprints: DataFrame, ledger: DataFrame | None, path_col: str = "_source_path") -> DataFrame:
+    """Files whose content is not in the ledger, the first by name of those
+    with equal content in this run."""
+    content = ["rows", "content_hash", "content_check"]
+    fresh = fingerprints.groupBy(*content).agg(F.min(path_col).alias(path_col)).select(path_col, *content)
     if ledger is not None:
-        fresh = fresh.join(ledger.select("rows", "content_hash").distinct(), ["rows", "content_hash"], "left_anti")
+        fresh = fresh.join(ledger.select(*content).distinct(), content, "left_anti").select(path_col, *content)
     return fresh
 
 

@@ -2,7 +2,7 @@
 
 One synthetic trip per input row (any DataFrame with key columns, e.g. the
 lineitem keys), so the generator scales with its input and runs in parallel
-on every partition.  Randomness comes from ``xxhash64(seed, salt, keys)``,
+on every partition.  Randomness comes from ``md5(seed, salt, keys)``,
 not ``rand()``: a row's values do not depend on partitioning, so a task
 recomputed after a lost executor yields the same trip.
 """
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.functions.core import half_up
+
 # Stations, cargo types (probability, weight range in tons,
 # rate per ton), operators (probability), delay and dirty-row parameters.
 STATIONS = [
@@ -33,13 +35,14 @@ DELAYED_SHARE = 0.28
 MEAN_DELAY_MIN = 45
 DIRTY_SHARE = 0.02
 
-_TWO53 = float(2**53)
+_TWO52 = float(2**52)
 
 
 def _uniform(seed: int, salt: int, keys) -> Column:
-    """Deterministic uniform in [0, 1) from the row keys."""
-    h = F.xxhash64(F.lit(seed), F.lit(salt), *keys)
-    return F.pmod(h, F.lit(2**53)).cast("double") / _TWO53
+    """Deterministic uniform in [0, 1) from the row keys: 52 bits of an MD5, which
+    every engine has."""
+    text = F.concat_ws("|", F.lit(seed), F.lit(salt), *[k.cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint").cast("double") / _TWO52
 
 
 def _pick(u: Column, options) -> Column:
@@ -66,7 +69,7 @@ def synthesize(keys: DataFrame, key_cols, seed: int = 42, start: str = "2024-01-
     lo = _pick(u[3], [(lo_, p) for _, p, lo_, _, _ in CARGO]).cast("double")
     hi = _pick(u[3], [(hi_, p) for _, p, _, hi_, _ in CARGO]).cast("double")
     rate = _pick(u[3], [(r_, p) for _, p, _, _, r_ in CARGO]).cast("double")
-    weight = F.round(lo + u[4] * (hi - lo), 2)
+    weight = half_up(lo + u[4] * (hi - lo), 2)
     dist = 300 + u[5] * 2200
     speed = 50 + u[6] * 30
     dep = F.timestamp_seconds(
@@ -76,8 +79,8 @@ def synthesize(keys: DataFrame, key_cols, seed: int = 42, start: str = "2024-01-
     )
     arr = F.timestamp_seconds(F.unix_timestamp(dep) + F.floor(dist / speed * 3600))
     delay = F.when(u[9] < DELAYED_SHARE, F.floor(-MEAN_DELAY_MIN * F.log1p(-u[10]))).otherwise(0).cast("int")
-    value = F.round(weight * rate * dist / 1000 * (0.8 + 0.4 * u[11]), 2)
-    fuel = F.round(dist * (8 + 6 * u[12]), 2)
+    value = half_up(weight * rate * dist / 1000 * (0.8 + 0.4 * u[11]), 2)
+    fuel = half_up(dist * (8 + 6 * u[12]), 2)
     dirty = u[15] < DIRTY_SHARE
     third = u[16]
     h = F.md5(F.concat_ws("|", F.lit(seed), *[c.cast("string") for c in k]))
