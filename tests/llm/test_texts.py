@@ -139,8 +139,9 @@ def test_stars_lose_no_link(spark):
     """In one bucket: the centre links with nothing, the others form a chain."""
     chain = [list(range(k, k + 40)) for k in range(0, 24, 4)]
     sets = spark.createDataFrame([(0, list(range(900, 940)))] + [(k + 1, s) for k, s in enumerate(chain)], "doc long, shingles array<long>")
-    members = sets.select(F.lit(5).cast("long").alias("key"), "doc", F.lit(40).cast("long").alias("n"))
-    links = minhash.bucket_links(members, sets).collect()
+    members = sets.select(F.lit(5).cast("long").alias("key"), "doc", F.lit(40).cast("long").alias("n"), F.lit(7).cast("long").alias("c"))
+    sketches = sets.select("doc", F.array(F.lit(0).cast("long")).alias("bits"))
+    links = minhash.bucket_links(members, sketches, sets, 64).collect()
     root = cases.unions([(r["a"], r["b"]) for r in links])
     assert {root(k) for k in range(1, 7)} == {1} and root(0) == 0
 

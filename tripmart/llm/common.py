@@ -79,27 +79,30 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows (node, root) for every
     node, ``root`` being the smallest node of its component.
 
-    Alternates large-star and small-star rounds; every round is an aggregate
-    with a map-side part and a join, staged so that lineage stays short.  The
-    only values on the driver are one count and one checksum a round.
+    First every node keeps the edge to its smallest neighbour below it, and hands
+    its other lower neighbours over to that one, until the edges are a forest; a
+    round never has more edges than the one before.  Then nodes skip to their
+    parent's parent until they point to roots.  A round is an aggregate with a
+    map-side part and a join, staged; the driver sees one count a round.
     """
-    both = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    current, seen = stage(both, "cc"), None
+    current = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = stage(current, "forest")
     while True:
-        sym = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = sym.groupBy("a").agg(F.min("b").alias("_m")).select(F.col("a").alias("_u"), F.least("a", "_m").alias("_m"))
-        large = sym.join(least, sym.a == least._u).filter("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b"))
-        large = large.distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("_m"))
-        pulled = large.join(low.withColumnRenamed("a", "_u"), large.a == F.col("_u")).filter("b <> _m")
-        small = low.select("a", F.col("_m").alias("b")).unionByName(pulled.select(F.col("b").alias("a"), F.col("_m").alias("b")))
-        current = stage(small.filter("a <> b").distinct(), "cc")
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
+        low = current.groupBy("a").agg(F.min("b").alias("m"), F.max("b").alias("_high"))
+        torn = low.filter("m <> _high").select(F.col("a").alias("_a"), F.col("m").alias("_m"))
+        handed = current.join(torn, F.col("a") == F.col("_a")).filter("b <> _m").select(F.col("b").alias("a"), F.col("_m").alias("b"), F.lit(True).alias("new"))
+        current = stage(low.select("a", F.col("m").alias("b"), F.lit(False).alias("new")).unionByName(handed), "forest")
+        if not current.filter("new").count():
             break
-        seen = state
-    roots = current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return roots.unionByName(current.select(F.col("a").alias("node"), F.col("b").alias("root")))
+    roots = current.select("a", "b")
+    while True:
+        above = roots.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+        jumped = roots.join(above, F.col("b") == F.col("_a"), "left").select("a", F.coalesce("_b", "b").alias("b"), F.col("_b").isNotNull().alias("moved"))
+        jumped = stage(jumped, "roots")
+        roots = jumped.select("a", "b")
+        if not jumped.filter("moved").count():
+            break
+    return roots.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct().unionByName(roots.select(F.col("a").alias("node"), F.col("b").alias("root")))
 
 
 class Bitmap:

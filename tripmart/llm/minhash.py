@@ -5,16 +5,19 @@
    optimal densification (each probes its own sequence of bins until it finds
    one that is filled).  Bands of ``rows`` bins are the buckets.
 2. Equal sets collapse to one representative, so copies meet no bucket at all.
-3. Candidate edges are stars: every member of a bucket with its smallest
-   document, a number linear in the bucket.  All are verified on full sets.
+3. Candidate edges are stars: every member of a bucket with the one that meets
+   most others in all its buckets, a number linear in the bucket.  All are
+   verified on full sets.
 4. A star can miss a link between two members that both differ from the centre.
    So buckets whose members are still in different components get further
-   stars, around members outside the first one's component (twice as many each
-   round), until every such member has been a centre.  No link between two
-   members of a bucket is lost, and nothing is capped.
-
-With 24 bands of 3 rows a pair at similarity 0.75 shares no bucket with
-probability (1 - 0.75^3)^24 = 2e-6.
+   stars, around members outside the largest one's component (sixteen times as
+   many each round), until every such member has been a centre.  Nothing is capped.
+   Pairs whose sketches differ too much for the similarity asked for are passed
+   over: one bit of each bin, compared as numbers inside the join.
+
+With 44 bands of 5 rows a pair at similarity 0.75 shares no bucket with
+probability (1 - 0.75^5)^44 = 7e-6; two of its sketches of 220 bits differ in 28 bits
+on average, with a deviation of 5, and are passed over beyond 56.
 """
 
 from __future__ import annotations
@@ -31,9 +34,11 @@ from tripmart.llm.common import (
     LOWER, Bitmap, Roller, U, components, mix, row_bounds, slices, stage, text_bytes, word_hashes, word_spans,
 )
 
-SHINGLE, SIMILARITY, BANDS, ROWS = 5, 75, 24, 3
+SHINGLE, SIMILARITY, BANDS, ROWS = 5, 75, 44, 5
 _PROBES = 64
 _FILTER_BITS = 24
+#: Below so many shingles the bins of a sketch repeat each other: no pair is passed over.
+_SKETCH_LEAST = 60
 
 
 @lru_cache(maxsize=8)
@@ -67,8 +72,9 @@ def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
-    """One-permutation sketches with optimal densification: (sets, bands) bucket keys."""
+def signatures(sets: list[np.ndarray], bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """One-permutation sketches with optimal densification: (sets, bands) bucket
+    keys, and one bit of each bin, 64 to a number."""
     bins, n = bands * rows, len(sets)
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(n), sizes)
@@ -92,23 +98,25 @@ def signatures(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
     keys = np.broadcast_to(mix(np.arange(1, bands + 1).astype(U)), (n, bands)).copy()
     for r in range(rows):
         keys = mix(keys * U(0x9E3779B97F4A7C15) + grouped[:, :, r])
-    return keys
+    flags = np.zeros((n, -(-bins // 64) * 64), bool)
+    flags[:, :bins] = (sketch >> U(17)) & U(1)
+    return keys, np.packbits(flags, axis=1, bitorder="little").view(U)
 
 
 def sketch_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, bands): k1 and k2 name the whole set."""
+    """(doc_id, n_shingles, k1, k2, bands, bits): k1 and k2 name the whole set."""
 
     def run(batches):
         for batch in slices(batches):
             sets = shingle_sets(batch.column("text"), shingle)
-            keys = signatures(sets, bands, rows).view(np.int64)
+            keys, bits = signatures(sets, bands, rows)
             sizes = np.array([len(s) for s in sets], np.int64)
             k1 = np.array([int(mix(s).sum(dtype=U)) for s in sets], U).view(np.int64)
             k2 = np.array([int(mix(s ^ U(0xD1B54A32D192ED03)).sum(dtype=U)) for s in sets], U).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(k1), pa.array(k2), lists], names=["doc_id", "n_shingles", "k1", "k2", "bands"])
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * x.shape[1], pa.int32()), pa.array(x.view(np.int64).ravel())) for x in (keys, bits)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(k1), pa.array(k2), *lists], names=["doc_id", "n_shingles", "k1", "k2", "bands", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, bits array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -141,34 +149,59 @@ def verified(edges: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) ->
     return counted.filter(100 * F.col("common") >= similarity * (F.col("total") - F.col("common"))).select("a", "b")
 
 
-def bucket_links(members: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+def _too_different(bins: int, similarity: int):
+    """Condition on (bits, hub_bits): more differing bits than a similar pair has,
+    by over five and a half deviations."""
+    words = -(-bins // 64)
+    differ = sum((F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("hub_bits", F.lit(k)))) for k in range(words)), F.lit(0))
+    share = (1 - similarity / 100) / 2
+    most = bins * share + 5.75 * (bins * share * (1 - share)) ** 0.5
+    return (F.least("n", "hub_n") >= _SKETCH_LEAST) & (differ > int(most))
+
+
+def bucket_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, bins: int, similarity: int = SIMILARITY) -> DataFrame:
     """Verified links (a, b) that give every bucket's links the same components.
 
-    ``members``: (key, doc, n) of buckets with two documents or more, staged."""
+    ``members``: (key, doc, n, c) of buckets with c >= 2 documents, staged;
+    ``sketches``: (doc, bits), staged."""
 
     def pairs(hubs: DataFrame, others: DataFrame) -> DataFrame:
-        met = hubs.join(others, "key").filter("hub <> doc")
-        met = met.filter((100 * F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n")) & ((F.col("comp") != F.col("hub_comp")) if "comp" in others.columns else F.lit(True)))
+        may = (F.col("hub") != F.col("doc")) & (100 * F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n"))
+        if "bits" in others.columns:
+            may = may & (F.col("comp") != F.col("hub_comp")) & ~_too_different(bins, similarity)
+        met = hubs.join(others.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & may)
         return met.select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
 
-    first = members.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("h")).select("key", F.col("h.doc").alias("hub"), F.col("h.n").alias("hub_n"))
+    weight = members.groupBy("doc").agg(F.sum("c").alias("w")).withColumnRenamed("doc", "_d")
+    weighed = members.join(weight, F.col("doc") == F.col("_d"))
+    first = weighed.groupBy("key").agg(F.max(F.struct("w", (-F.col("doc")).alias("_neg"), "doc", "n")).alias("h"))
+    first = stage(first.select("key", F.col("h.doc").alias("hub"), F.col("h.n").alias("hub_n")), "centres")
     tested = stage(pairs(first, members), "star")
     links = stage(verified(tested, sets, similarity), "links")
-    used, centres = first.select("key", "hub"), 1
+    several = members.filter("c > 2").select("key", "doc", "n")  # a bucket of two is one pair, tested
+    used, centres, more, open_ = first.select("key", "hub"), 4, links, None
     while True:
-        comp = components(links)
-        placed = members.join(comp, members.doc == comp.node, "left").select("key", "doc", "n", F.coalesce("root", "doc").alias("comp"))
-        mixed = placed.groupBy("key").agg(F.min(F.struct("doc", "comp")).alias("h"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-        open_ = stage(placed.join(mixed.select("key", F.col("h.comp").alias("home")), "key"), "open")
-        strays = open_.filter("comp <> home").select("key", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
-        fresh = strays.join(used, ["key", "hub"], "left_anti")
+        if open_ is None or not more.isEmpty():
+            open_ = _open_buckets(several, components(links), sketches)
+        strays = open_.filter("comp <> home").select("key", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"), F.col("bits").alias("hub_bits"))
         rank = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("hub"), "hub"))
-        hubs = stage(fresh.withColumn("_r", rank).filter(F.col("_r") <= centres).drop("_r"), "centres")
+        hubs = stage(strays.join(used, ["key", "hub"], "left_anti").withColumn("_r", rank).filter(F.col("_r") <= centres).drop("_r"), "centres")
         if hubs.isEmpty():
             return links
         new = stage(pairs(hubs, open_).join(tested, ["a", "b"], "left_anti"), "star")
-        links = stage(links.unionByName(verified(new, sets, similarity)), "links")
-        tested, used, centres = tested.unionByName(new), used.unionByName(hubs.select("key", "hub")), 2 * centres
+        more = stage(verified(new, sets, similarity), "links")
+        links = links.unionByName(more)
+        tested, used, centres = tested.unionByName(new), used.unionByName(hubs.select("key", "hub")), 16 * centres
+
+
+def _open_buckets(members: DataFrame, comp: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Members (key, doc, n, comp, home, bits) of buckets that hold several components;
+    ``home`` is the component with most of the bucket."""
+    placed = members.join(comp, members.doc == comp.node, "left").select("key", "doc", "n", F.coalesce("root", "doc").alias("comp"))
+    counts = placed.groupBy("key", "comp").agg(F.count("*").alias("k")).groupBy("key").agg(F.max(F.struct("k", "comp")).alias("h"), F.count("*").alias("comps"))
+    mixed = counts.filter("comps > 1").select(F.col("key").alias("_key"), F.col("h.comp").alias("home"))
+    torn = placed.join(mixed, F.col("key") == F.col("_key")).drop("_key")
+    return stage(torn.join(sketches.select(F.col("doc").alias("_d"), "bits"), F.col("doc") == F.col("_d")).drop("_d"), "open")
 
 
 def near_duplicates(
@@ -184,12 +217,12 @@ def near_duplicates(
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketches = stage(sketch_documents(base, bands, rows, shingle), "sketches")
     usable = sketches.filter("n_shingles > 0 and doc_id is not null")
-    classes = stage(usable.groupBy("k1", "k2", "n_shingles").agg(F.min(F.struct("doc_id", "bands")).alias("m")).select("k1", "k2", F.col("n_shingles").alias("n"), F.col("m.doc_id").alias("doc"), F.col("m.bands").alias("bands")), "classes")
+    classes = stage(usable.groupBy("k1", "k2", "n_shingles").agg(F.min(F.struct("doc_id", "bands", "bits")).alias("m")).select("k1", "k2", F.col("n_shingles").alias("n"), "m.bands", "m.bits", F.col("m.doc_id").alias("doc")), "classes")
     spread = classes.select("doc", "n", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    members = stage(spread.join(shared, "key").select("key", "doc", "n"), "buckets")
+    members = stage(spread.join(shared, "key").select("key", "doc", "n", "c"), "buckets")
     sets = full_sets(base, members.select("doc"), shingle)
-    roots = components(bucket_links(members, sets, similarity))
+    roots = components(bucket_links(members, classes.select("doc", "bits"), sets, bands * rows, similarity))
     labels = classes.join(roots, classes.doc == roots.node, "left").select("k1", "k2", F.col("n").alias("_n"), F.coalesce("root", "doc").alias("_root"))
     named = sketches.join(labels, (sketches.k1 == labels.k1) & (sketches.k2 == labels.k2) & (sketches.n_shingles == labels._n) & sketches.doc_id.isNotNull(), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id"))

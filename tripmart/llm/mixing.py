@@ -155,4 +155,4 @@ def in_mixed_order(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id") ->
     order of the mixture.  Rows that share an id stand together."""
     keys = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.struct("slot", "place_in_block")).alias("_at"))
     joined = docs.join(keys, docs[doc_id].eqNullSafe(keys._id))
-    return joined.orderBy("_at").select(*[docs[c] for c in docs.columns])
+    return joined.orderBy(keys["_at"]).select(*[docs[c] for c in docs.columns])
