@@ -110,7 +110,7 @@ def load(spark: SparkSession, df: DataFrame, table: str, contract, full_refresh:
     cols = [c for c, _, _ in contract] + ["loaded_at", MONTH]  # insertInto matches by position
     name = "spark.sql.sources.partitionOverwriteMode"
     path = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()["data_type"]
-    writer = layout(typed.select(*cols), (MONTH,), key).write.partitionBy(MONTH).mode("overwrite")
+    writer = layout(typed.select(*cols), (MONTH,), key, bounded=True).write.partitionBy(MONTH).mode("overwrite")
     writer.option(name.rsplit(".", 1)[1], "static" if full_refresh else "dynamic").parquet(path)
     if full_refresh:
         for row in spark.sql(f"SHOW PARTITIONS {table}").collect():  # one row a month

@@ -13,15 +13,18 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def layout(df: DataFrame, partition_cols=("trip_date",), sort_cols=()) -> DataFrame:
+def layout(df: DataFrame, partition_cols=("trip_date",), sort_cols=(), bounded: bool = False) -> DataFrame:
     """M5: cluster rows by the partition columns (REBALANCE lets AQE split a
     partition that holds a hot day, so no task writes a third of the data,
-    and merge small ones) and sort inside each file by the sort keys."""
+    and merge small ones) and sort inside each file by the sort keys.
+
+    ``bounded``: no partition can be large (a mart's rows a day), so a plain hash
+    keeps many small partitions on many tasks instead of merging them into one."""
     if isinstance(partition_cols, str):
         partition_cols = (partition_cols,)
     partition_cols = tuple(partition_cols or ())
     if partition_cols:
-        df = df.hint("rebalance", *partition_cols)
+        df = df.repartition(*partition_cols) if bounded else df.hint("rebalance", *partition_cols)
     keys = [*partition_cols, *[c for c in sort_cols if c not in partition_cols]]
     return df.sortWithinPartitions(*keys) if keys else df
 
@@ -36,13 +39,14 @@ def write_counted(
     options: dict | None = None,
     cluster: bool = True,
     sort_by=(),
+    bounded: bool = False,
 ) -> int:
     """K1/K2/K3/K8: write and return the row count from the same job.
     Partitioned writes are clustered by the partition columns first
     (``cluster``), so each partition gets few, large files."""
     obs = Observation(f"write-{abs(hash(path)) % 10**8}")
     if partition_by and cluster:
-        df = layout(df, partition_by, sort_by)
+        df = layout(df, partition_by, sort_by, bounded)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)
     if partition_by:
@@ -80,10 +84,10 @@ def partition_values(spark, path: str, partition_col: str) -> set[str]:
     return {n.split("=", 1)[1] for n in names if n.startswith(f"{partition_col}=")}
 
 
-def replace_partitions(df: DataFrame, path: str, values, partition_col: str = "trip_date", sort_by=()) -> int:
+def replace_partitions(df: DataFrame, path: str, values, partition_col: str = "trip_date", sort_by=(), bounded: bool = False) -> int:
     """K2 for a list of touched partitions: ``df`` holds all that is left of them.
     Those it has rows for are overwritten, the others are deleted."""
-    rows = overwrite_partitioned(df, path, partition_col, dynamic=True, sort_by=sort_by)
+    rows = overwrite_partitioned(df, path, partition_col, dynamic=True, sort_by=sort_by, bounded=bounded)
     spark = df.sparkSession
     left = {str(r[0]) for r in df.select(partition_col).distinct().collect()}  # at most the touched partitions
     jvm = spark.sparkContext._jvm
@@ -100,7 +104,7 @@ def append_partitioned(df: DataFrame, path: str, partition_col: str) -> int:
 
 
 def overwrite_partitioned(
-    df: DataFrame, path: str, partition_col: str = "trip_date", dynamic: bool = True, sort_by=()
+    df: DataFrame, path: str, partition_col: str = "trip_date", dynamic: bool = True, sort_by=(), bounded: bool = False
 ) -> int:
     """K2: dynamic (replace touched partitions) or static (full refresh)."""
     return write_counted(
@@ -110,6 +114,7 @@ def overwrite_partitioned(
         partition_by=(partition_col,),
         overwrite_mode="dynamic" if dynamic else "static",
         sort_by=sort_by,
+        bounded=bounded,
     )
 
 

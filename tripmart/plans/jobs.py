@@ -99,9 +99,9 @@ def build_marts(spark: SparkSession, silver: str, gold: str, cache: bool = False
         for name, fn in marts.MARTS.items():
             path = f"{gold}/{name}"
             if days is None:
-                counts[name] = sinks.overwrite_partitioned(fn(df), path, "trip_date", dynamic=False, sort_by=SORT_KEYS[name])
+                counts[name] = sinks.overwrite_partitioned(fn(df), path, "trip_date", dynamic=False, sort_by=SORT_KEYS[name], bounded=True)
             else:
-                counts[name] = sinks.replace_partitions(staged(fn(df), name), path, days, sort_by=SORT_KEYS[name])
+                counts[name] = sinks.replace_partitions(staged(fn(df), name), path, days, sort_by=SORT_KEYS[name], bounded=True)
         return counts
     finally:
         if cache:
