@@ -32,7 +32,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import LOWER, Roller, U, row_bounds, shuffle_partitions, slices, stage, text_bytes, word_hashes, word_spans
+from tripmart.llm.common import (
+    LOWER, Roller, U, pack_sorted, row_bounds, shuffle_partitions, slices, stage, text_bytes, unpack_sorted, word_hashes, word_spans,
+)
 from tripmart.llm.elias_fano import NgramTrie
 
 HOT, MIX = 1_000_000, 0.7
@@ -47,17 +49,6 @@ def roller(seed: int) -> Roller:
     return Roller(seed)
 
 
-def pack_sorted(values: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as compressed differences, byte plane by byte plane."""
-    steps = np.diff(values.astype(U), prepend=U(0))
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(U).ravel(), dtype=U)
-
-
 def pack(values: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
 

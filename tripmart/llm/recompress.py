@@ -79,7 +79,7 @@ def spans_of(texts: pa.Array) -> repeats.Spans:
     bounds = row_bounds(row, len(texts))
     none = np.zeros(0, np.int64)
     if len(words) < WIDTH:
-        return repeats.Spans(words, bounds, none, none, none, none.astype(U), none.astype(U), none.astype(U))
+        return repeats.Spans(words, bounds, none, none, none, none.astype(U), none.astype(U), [none.astype(U)])
     first, names = recompress(words, row)
     group = mix(names[:-2] * U(0x9E3779B97F4A7C15) + mix(names[1:-1] * U(0xC2B2AE3D27D4EB4F) + mix(names[2:])))
     keys = np.full(len(words), U(0xFFFFFFFFFFFFFFFF))
@@ -88,7 +88,7 @@ def spans_of(texts: pa.Array) -> repeats.Spans:
     anchor = repeats.sliding_argmin(keys, reach)[_EDGE:]
     first, count, own = repeats.runs_of_windows(anchor, row, WIDTH)
     one, two = (r.spans(r.prefix(words), first, first + count + WIDTH - 1) for r in rollers())
-    return repeats.Spans(words, bounds, row[first], first, count, mix(keys[own]), one, two)
+    return repeats.Spans(words, bounds, row[first], first, count, one, two, [mix(keys[own])])
 
 
 def covered(ranges: list[tuple[int, int]] | None, n: int) -> np.ndarray:

@@ -5,18 +5,21 @@ operator names one item of every window its *anchor*, from the window's content
 alone, so that equal windows have equal anchors.  Neighbouring windows with one
 anchor form a *span*.  Three steps, each linear in the input:
 
-1. Every span sends 8 bytes: 32 bits of its anchor's key, 32 of its content.
-   Shards of keys find the keys that two documents share and those of them with
-   differing contents ("mixed": where repeats begin and end).  The answer is
-   bitmaps of bounded size (a third marks keys with a great many contents).
-2. A second scan sends the spans of shared keys.  Where all contents of a key are
-   equal the span stands for all its windows; where they differ its single windows
-   go, or its content for the operator to resolve (keys with a great many contents
-   always go as windows, so what is resolved together stays small).  Occurrences inside one
-   slice are compared at once and only the smallest document goes on, so a
-   passage that a third of all documents hold costs a row a slice.  Spans
-   are then sorted by content and document and read as a stream: all after the
-   first document are repeats.  No group is held in memory.
+1. Every span sends 32 bits of each of its keys and 32 of its content.  (A key is a
+   part of the content that equal windows share; an operator may cut a span in two
+   halves with a key each.)  Shards of keys find the keys that two documents share
+   and those of them with differing contents ("mixed": where repeats begin and
+   end).  The answer is bitmaps of fixed size (a third marks keys with a great many
+   contents).
+2. A second scan sends the spans with shared keys.  Where all contents of its keys
+   are equal the span stands for all its windows.  Otherwise its halves go apart:
+   by their content hash where that is the key's only one, else as single windows or
+   with their content for the operator to resolve (keys with a great many contents
+   always go as windows, so what is resolved together stays small).  Occurrences
+   inside one slice are compared at once and only the smallest document goes on, so
+   a passage that a third of all documents hold costs a row a slice.  Rows are
+   then sorted by content and document and read as a stream: all after the first
+   document are repeats.  No group is held in memory.
 3. Documents with repeats, picked by a bitmap of fixed size, are joined with
    their ranges; all others are finished in the scan.
 
@@ -34,9 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Bitmap, Roller, U, shuffle_partitions, slices, stage
+from tripmart.llm.common import Bitmap, Roller, U, pack_sorted, shuffle_partitions, slices, stage, unpack_sorted
 
-MAX_BITS = 29
+#: Bits of the bitmaps of shared, mixed and crowded keys: 32, 8 and 8 MB.
+BITS = (28, 26, 26)
 CROWD = 20_000
 DOC_BITS = 24
 _POS = 40  # low bits of a place; above them a tag of the row's text
@@ -45,16 +49,28 @@ _POS = 40  # low bits of a place; above them a tag of the row's text
 @dataclass
 class Spans:
     """Spans of a slice: row, first window (item place in the slice), number of
-    windows, key, two content hashes; the items, and where each row's start."""
+    windows, two content hashes; the items, and where each row's start.
+
+    ``keys`` has a key for the windows before ``cut`` (a window start) and, if there
+    is a second one, for those from it on."""
 
     items: np.ndarray
     starts: np.ndarray
     row: np.ndarray
     first: np.ndarray
     count: np.ndarray
-    key: np.ndarray
     content: np.ndarray
     check: np.ndarray
+    keys: list[np.ndarray]
+    cut: np.ndarray | None = None
+
+    def halves(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(first window, number of windows, key) of all spans, for each key."""
+        end = self.first + self.count
+        if len(self.keys) == 1:
+            return [(self.first, self.count, self.keys[0])]
+        cut = np.clip(self.cut, self.first, end)
+        return [(self.first, cut - self.first, self.keys[0]), (cut, end - cut, self.keys[1])]
 
 
 def sliding_argmin(keys: np.ndarray, width: int) -> np.ndarray:
@@ -90,9 +106,11 @@ def _summaries(docs: DataFrame, spans_of: Callable[[pa.Array], Spans], shards: i
             s = spans_of(batch.column("text"))
             if not len(s.row):
                 continue
-            packed = (s.key & U(0xFFFFFFFF00000000)) | (s.content >> U(32))
-            order = np.argsort(packed, kind="stable")  # rows ascend already
-            packed, row = packed[order], s.row[order]
+            some = [n > 0 for _, n, _ in s.halves()]
+            packed = np.concatenate([(k[x] & U(0xFFFFFFFF00000000)) | (s.content[x] >> U(32)) for (_, _, k), x in zip(s.halves(), some)])
+            row = np.concatenate([s.row[x] for x in some])
+            order = np.argsort(packed, kind="stable")
+            packed, row = packed[order], row[order]
             key = packed >> U(32)
             head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             # the same key in two rows of this slice
@@ -102,25 +120,22 @@ def _summaries(docs: DataFrame, spans_of: Callable[[pa.Array], Spans], shards: i
             packed, several = packed[fresh], several[fresh]
             shard = (packed >> U(32)).astype(np.int64) * shards >> 32
             cut = np.searchsorted(shard, np.arange(shards + 1))
-            some = np.flatnonzero(np.diff(cut))
+            full = np.flatnonzero(np.diff(cut))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([packed[cut[i] : cut[i + 1]].tobytes() for i in some], pa.binary()),
-                 pa.array([np.packbits(several[cut[i] : cut[i + 1]]).tobytes() for i in some], pa.binary())],
+                [pa.array(full, pa.int32()), pa.array([pack_sorted(packed[cut[i] : cut[i + 1]]) for i in full], pa.binary()),
+                 pa.array([np.packbits(several[cut[i] : cut[i + 1]]).tobytes() for i in full], pa.binary())],
                 names=["shard", "packed", "several"])
 
     return docs.select("text").mapInArrow(run, "shard int, packed binary, several binary")
 
 
-def shared_keys(docs: DataFrame, spans_of: Callable[[pa.Array], Spans], limit: int) -> tuple[list[np.ndarray], int]:
-    """Bitmaps (shared, mixed, crowded) over the high bits of keys, and their bits."""
+def shared_keys(docs: DataFrame, spans_of: Callable[[pa.Array], Spans], limit: int) -> list[np.ndarray]:
+    """Bitmaps (shared, mixed, crowded) over the high bits of keys."""
     shards = 1 << max(5, (2 * shuffle_partitions(docs.sparkSession)).bit_length())
-    parts = stage(_summaries(docs, spans_of, shards, limit), "span-keys")
-    entries = parts.agg(F.sum(F.octet_length("packed"))).first()[0] or 0
-    bits = min(MAX_BITS, max(16, int(entries // 8).bit_length()))
 
     def merge(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
-        blobs = [np.frombuffer(x.as_buffer(), U) for x in table["packed"]]
+        blobs = [unpack_sorted(x.as_py()) for x in table["packed"]]
         flags = [np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=len(b)) for x, b in zip(table["several"], blobs)]
         packed = np.concatenate(blobs)
         order = np.argsort(packed, kind="stable")
@@ -133,26 +148,25 @@ def shared_keys(docs: DataFrame, spans_of: Callable[[pa.Array], Spans], limit: i
         last = np.r_[head[1:], len(key)] - 1
         mixed = shared & (packed[head] != packed[last])
         crowded = mixed & (last - head >= CROWD)
-        slot = (key[head] >> U(32 - bits)).astype(np.int64) - (shard << bits) // shards
         out = []
-        for hits in (shared, mixed, crowded):
+        for hits, bits in zip((shared, mixed, crowded), BITS):
             part = np.zeros((1 << bits) // shards, bool)
-            part[slot[hits]] = True
+            part[(key[head] >> U(32 - bits)).astype(np.int64)[hits] - (shard << bits) // shards] = True
             out.append(np.packbits(part, bitorder="little").tobytes())
         return pa.table({"shard": pa.array([shard], pa.int32()), "maps": pa.array([out], pa.list_(pa.binary()))})
 
-    bits = max(bits, shards.bit_length() + 3)
-    maps = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(3)]
-    size = (1 << bits) // shards // 8
-    # bounded: three bitmaps of 2^bits bits, bits <= MAX_BITS
-    for row in parts.groupBy("shard").applyInArrow(merge, "shard int, maps array<binary>").toLocalIterator():
+    maps = [np.zeros((1 << bits) // 8, np.uint8) for bits in BITS]
+    # bounded: the bitmaps have a fixed size
+    parts = _summaries(docs, spans_of, shards, limit).groupBy("shard").applyInArrow(merge, "shard int, maps array<binary>")
+    for row in parts.toLocalIterator():
         for m, part in zip(maps, row["maps"]):
+            size = len(m) // shards
             m[row["shard"] * size : (row["shard"] + 1) * size] = np.frombuffer(part, np.uint8)
-    return maps, bits
+    return maps
 
 
-def _has(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    slot = (keys >> U(64 - bits)).astype(np.int64)
+def _has(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = (keys >> U(65 - (8 * len(bitmap)).bit_length())).astype(np.int64)
     return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -161,34 +175,45 @@ def _has(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
 ROWS = "kind int, g long, s long, doc long, at long, n long, content binary"
 
 
-def candidate_rows(docs: DataFrame, spans_of: Callable[[pa.Array], Spans], maps: tuple[list[np.ndarray], int], rollers: Callable[[], tuple[Roller, Roller]], limit: int, width: int, resolvable: bool) -> DataFrame:
-    """Spans of shared keys; mixed ones as single windows, or with their content
-    where the operator can resolve them."""
+def candidate_rows(docs: DataFrame, spans_of: Callable[[pa.Array], Spans], maps: list[np.ndarray], rollers: Callable[[], tuple[Roller, Roller]], limit: int, width: int, resolvable: bool) -> DataFrame:
+    """Spans with shared keys; halves with mixed keys as single windows, or with
+    their content where the operator can resolve them."""
     bitmaps = docs.sparkSession.sparkContext.broadcast(maps)
 
     def run(batches):
-        (shared, mixed, crowded), bits = bitmaps.value
+        shared, mixed, crowded = bitmaps.value
         for batch in slices(batches, limit=limit):
             s = spans_of(batch.column("text"))
-            keep = np.flatnonzero(_has(shared, s.key, bits)) if len(s.row) else np.zeros(0, np.int64)
-            if not len(keep):
+            if not len(s.row):
                 continue
             tag, doc = batch.column("_tag").to_numpy(), batch.column("doc_id").to_numpy()
-            torn = _has(mixed, s.key[keep], bits)
-            whole, torn = keep[~torn], keep[torn]
-            single = _has(crowded, s.key[torn], bits) if resolvable else np.ones(len(torn), bool)
-            single, torn = torn[single], torn[~single]
-            reps = s.count[single]
-            at = np.repeat(s.first[single] - (np.cumsum(reps) - reps), reps) + np.arange(int(reps.sum()))
-            one, two = (r.spans(r.prefix(s.items), at, at + width) if len(at) else np.zeros(0, U) for r in rollers())
-            row = np.r_[s.row[whole], np.repeat(s.row[single], reps)]
-            place = np.r_[s.first[whole], at] - s.starts[row] + (tag[row] << _POS)
-            n = np.r_[s.count[whole], np.ones(len(at), np.int64)]
-            yield from _emit(0, np.r_[s.content[whole], one], np.r_[s.check[whole], two], doc[row], place, n, None)
-            if len(torn):
-                row, first = s.row[torn], s.first[torn]
-                content = [s.items[a:b].tobytes() for a, b in zip(first.tolist(), (first + s.count[torn] + width - 1).tolist())]
-                yield from _emit(1, s.key[torn], s.content[torn], doc[row], (tag[row] << _POS) + first - s.starts[row], s.count[torn], content)
+            halves = s.halves()
+            known = [(n > 0) & _has(shared, k) for _, n, k in halves]
+            torn = [x & _has(mixed, k) for x, (_, _, k) in zip(known, halves)]
+            any_torn = np.logical_or.reduce(torn)
+            whole = np.flatnonzero(np.logical_or.reduce(known) & ~any_torn)
+            one, two = ((r, r.prefix(s.items)) for r in rollers())
+            g, h, row, first, count = [s.content[whole]], [s.check[whole]], [s.row[whole]], [s.first[whole]], [s.count[whole]]
+            for (a, n, k), x, t in zip(halves, known, torn):
+                single = t & (_has(crowded, k) if resolvable else True)
+                alone = np.flatnonzero(x & any_torn & ~t)
+                at = [a[alone], a[single]]
+                reps = n[single]
+                at[1] = np.repeat(at[1] - (np.cumsum(reps) - reps), reps) + np.arange(int(reps.sum()))
+                size = [n[alone], np.ones(len(at[1]), np.int64)]
+                at, size = np.concatenate(at), np.concatenate(size)
+                for out, (r, sums) in ((g, one), (h, two)):
+                    out.append(r.spans(sums, at, at + size + width - 1) if len(at) else np.zeros(0, U))
+                row.append(np.r_[s.row[alone], np.repeat(s.row[single], reps)]), first.append(at), count.append(size)
+                open_ = np.flatnonzero(t & ~single)
+                if len(open_):
+                    b = a[open_]
+                    content = [s.items[x:y].tobytes() for x, y in zip(b.tolist(), (b + n[open_] + width - 1).tolist())]
+                    own = one[0].spans(one[1], b, b + n[open_] + width - 1)
+                    r = s.row[open_]
+                    yield from _emit(1, k[open_], own, doc[r], (tag[r] << _POS) + b - s.starts[r], n[open_], content)
+            g, h, row, first, count = (np.concatenate(x) for x in (g, h, row, first, count))
+            yield from _emit(0, g, h, doc[row], (tag[row] << _POS) + first - s.starts[row], count, None)
 
     return docs.filter("doc_id is not null").mapInArrow(run, ROWS)
 

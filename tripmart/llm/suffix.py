@@ -1,10 +1,11 @@
 """Repeated byte passages, from the interval tree of an enhanced suffix array.
 
 The corpus is cut to the places where a suffix array is worth building.  The
-anchor of a 50-byte window is its least 20-byte string; windows next to each
-other with one anchor form a span, and :mod:`tripmart.llm.repeats` finds the
-anchors that documents share.  Spans that are alike in all documents are settled
-by their content.  The others, where a repeat begins or ends, go by anchor into
+anchor of a 50-byte window is its least 10-byte string; windows next to each
+other with one anchor form a span.  A window has 20 bytes before its anchor or 20
+after it, so equal windows share one of two 30-byte keys, and
+:mod:`tripmart.llm.repeats` finds the keys that documents share.  Spans that are
+alike in all documents are settled by their content.  The others, where a repeat begins or ends, go by key into
 tasks that sort all their suffixes with common-prefix lengths (an enhanced suffix
 array), scan them with a stack into the tree of common-prefix intervals, and keep
 the intervals whose occurrences differ in the byte before: the maximal repeats,
@@ -26,8 +27,8 @@ from tripmart.llm.common import Roller, U, text_bytes
 from tripmart.llm.recompress import covered
 
 WIDTH = 50
-GRAM = 20
-_SLICE = 2 << 20
+GRAM, REACH = 10, 20
+_SLICE = 1 << 20
 
 
 @lru_cache(maxsize=8)
@@ -43,7 +44,7 @@ def spans_of(texts: pa.Array) -> repeats.Spans:
     data, offsets = text_bytes(texts)
     none = np.zeros(0, np.int64)
     if len(data) < WIDTH:
-        return repeats.Spans(data, offsets[:-1], none, none, none, none.astype(U), none.astype(U), none.astype(U))
+        return repeats.Spans(data, offsets[:-1], none, none, none, none.astype(U), none.astype(U), [none.astype(U)])
     row = np.repeat(np.arange(len(texts)), np.diff(offsets))
     one, two = rollers()
     sums = one.prefix(data)
@@ -51,7 +52,10 @@ def spans_of(texts: pa.Array) -> repeats.Spans:
     anchor = repeats.sliding_argmin(keys, WIDTH - GRAM + 1)
     first, count, own = repeats.runs_of_windows(anchor, row, WIDTH)
     ends = first + count + WIDTH - 1
-    return repeats.Spans(data, offsets[:-1], row[first], first, count, keys[own], one.spans(sums, first, ends), two.spans(two.prefix(data), first, ends))
+    # at the edge of a text a key may reach into the next one; it is not used then
+    before = one.spans(sums, np.maximum(own - REACH, 0), own + GRAM)
+    after = one.spans(sums, own, np.minimum(own + GRAM + REACH, len(data)))
+    return repeats.Spans(data, offsets[:-1], row[first], first, count, one.spans(sums, first, ends), two.spans(two.prefix(data), first, ends), [before, after], own - REACH + 1)
 
 
 def suffix_array(texts: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
