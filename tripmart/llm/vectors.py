@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import components, local_roots, shuffle_partitions, stage
 
-COSINE, BLOCKS, CELL_AXES, PART_ROWS = 0.9, 8, 2, 4096
+COSINE, BLOCKS, CELL_AXES, PART_ROWS = 0.9, 8, 3, 8192
 _PROBE_ROWS = 256
 _VERIFY = 50_000
 
@@ -101,14 +101,21 @@ class _Part:
         self.ids, self.sizes, self.x = ids, sizes, unit(raw)
         self.t = self.x @ rotation(dims)
         self.own = slice(self.edges[block], self.edges[block + 1])
-        self.square = (self.t[:, self.own] ** 2).sum(axis=1)
+        self.side = self._screen(self.t, False)
+
+    def _screen(self, turned: np.ndarray, probe: bool) -> np.ndarray:
+        """Rows whose product with those of the other side is their squared distance
+        in the block, in single precision."""
+        own = turned[:, self.own]
+        square, one = (own**2).sum(axis=1, keepdims=True), np.ones((len(own), 1))
+        return np.hstack([-2 * own, one, square] if probe else [own, square, one]).astype(np.float32)
 
     def links(self, ids, sizes, raw, among_itself: bool) -> pa.RecordBatch | None:
         """Verified links of a batch with the part: (id, n, root)."""
         x = unit(raw)
         t = x @ rotation(x.shape[1])
-        near = self.square[None, :] + (t[:, self.own] ** 2).sum(axis=1)[:, None] - 2 * t[:, self.own] @ self.t[:, self.own].T
-        i, j = np.nonzero(near <= self.budget[self.block] + 1e-9)
+        near = self._screen(t, True) @ self.side.T
+        i, j = np.divmod(np.flatnonzero(near <= self.budget[self.block] + 1e-5), near.shape[1])
         if among_itself:
             before = ids[i] < self.ids[j]
             i, j = i[before], j[before]
