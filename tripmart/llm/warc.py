@@ -34,21 +34,27 @@ def archive(pages: DataFrame, per_file: int = PER_FILE, page_id: str = "page_id"
     that of a hash of the id.  NULL ids come by their hash, NULL texts are empty;
     rows that share an id stand next to each other, by their text."""
     made = pages.select(F.col(page_id).alias("page_id"), record(F.col(url).cast("string"), F.col(html).cast("string")).alias("record"))
-    key = F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit("")))
-    keyed = made.select("page_id", "record", key.alias("_key"), F.substring(key, 1, 3).alias("_salt"), F.sha2("record", 256).alias("_sha"), F.octet_length("record").cast("long").alias("length"))
-    light = stage(keyed.select("page_id", "_key", "_salt", "_sha", "length"), "warc-keys")
-    ranked = salted_rank(light, [], "_salt", ["_key", "page_id", "_sha"], "_rank")
-    placed = ranked.select("page_id", "_sha", "length", F.floor(F.col("_rank") / per_file).cast("long").alias("file"), (F.col("_rank") % per_file).cast("long").alias("seq"))
-    before = Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    bodies = made.withColumn("_sha", F.sha2("record", 256))
+    at = places(bodies.select("page_id", "_sha", F.octet_length("record").cast("long").alias("length")), per_file)
     # equal rows (id and record) are interchangeable: number them on both sides
     again = Window.partitionBy("page_id", "_sha").orderBy(F.lit(1))
-    offsets = placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).withColumn("_copy", F.row_number().over(Window.partitionBy("page_id", "_sha").orderBy("file", "seq")))
-    bodies = keyed.select("page_id", "_sha", "record").withColumn("_copy", F.row_number().over(again))
-    at = offsets.select(F.col("page_id").alias("_p"), F.col("_sha").alias("_s"), F.col("_copy").alias("_c"), "file", "seq", "offset", "length")
+    at = at.withColumn("_c", F.row_number().over(Window.partitionBy("page_id", "_sha").orderBy("file", "seq"))).withColumnsRenamed({"page_id": "_p", "_sha": "_s"})
+    bodies = bodies.withColumn("_copy", F.row_number().over(again))
     joined = bodies.join(at, bodies.page_id.eqNullSafe(at._p) & (bodies._sha == at._s) & (bodies._copy == at._c))
     return joined.select("page_id", "file", "seq", "offset", "length", "record")
 
 
+def places(records: DataFrame, per_file: int = PER_FILE) -> DataFrame:
+    """``records`` (page_id, _sha, length, more columns) with their place in the
+    archive (file, seq, offset).  Records themselves need not come along."""
+    key = F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    light = stage(records.withColumns({"_key": key, "_salt": F.substring(key, 1, 3)}), "warc-keys")
+    ranked = salted_rank(light, [], "_salt", ["_key", "page_id", "_sha"], "_rank").drop("_key", "_salt")
+    placed = ranked.withColumns({"file": F.floor(F.col("_rank") / per_file).cast("long"), "seq": (F.col("_rank") % per_file).cast("long")}).drop("_rank")
+    before = Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
+
+
 def leaves(replica: DataFrame) -> DataFrame:
     """Level 0 of a replica's trees: (file, level, node, start, size, hash)."""
     return replica.select("file", F.lit(0).alias("level"), F.col("seq").alias("node"), F.col("offset").alias("start"), F.octet_length("record").cast("long").alias("size"), F.sha2("record", 256).alias("hash"))
@@ -65,7 +71,12 @@ def grow(level: DataFrame, fanout: int = FANOUT) -> DataFrame:
 
 def tree(replica: DataFrame, per_file: int = PER_FILE, fanout: int = FANOUT) -> list[DataFrame]:
     """All levels of the trees of a replica (file, seq, offset, record), leaves first."""
-    levels, width = [stage(leaves(replica), "tree")], per_file
+    return tree_of(leaves(replica), per_file, fanout)
+
+
+def tree_of(leaf: DataFrame, per_file: int = PER_FILE, fanout: int = FANOUT) -> list[DataFrame]:
+    """All levels above given leaves, which come first."""
+    levels, width = [stage(leaf, "tree")], per_file
     while width > 1:
         levels.append(stage(grow(levels[-1], fanout), "tree"))
         width = -(-width // fanout)
@@ -105,9 +116,13 @@ def decayed(replica: DataFrame) -> DataFrame:
 def fixity(pages: DataFrame, per_file: int = PER_FILE, fanout: int = FANOUT) -> DataFrame:
     """Archive ``pages``, let a replica decay, audit it: every record with its place,
     its digest and whether the audit found the replica's copy corrupt."""
-    archived = stage(archive(pages, per_file), "warc")
-    mine, other = tree(archived, per_file, fanout), tree(decayed(archived), per_file, fanout)
-    found = audit(mine, other, fanout).select(F.col("file").alias("_f"), F.col("node").alias("_n"), F.lit(True).alias("_bad"))
-    records = archived.select("page_id", "file", "seq", "offset", "length").join(mine[0].select(F.col("file").alias("_lf"), F.col("node").alias("_ln"), "hash"), (F.col("file") == F.col("_lf")) & (F.col("seq") == F.col("_ln")))
-    return records.join(found, (F.col("file") == F.col("_f")) & (F.col("seq") == F.col("_n")), "left").select(
-        "page_id", "file", "seq", "offset", "length", F.col("hash").alias("sha256"), F.coalesce("_bad", F.lit(False)).alias("corrupt"))
+    made = pages.select("page_id", record(F.col("url").cast("string"), F.col("html").cast("string")).alias("record"))
+    # both replicas hash their records where they are; only digests are moved
+    rotten = decayed(made.select("page_id", "record", F.sha2("record", 256).alias("_sha"), F.octet_length("record").cast("long").alias("length")))
+    digests = rotten.select("page_id", "_sha", "length", F.sha2("record", 256).alias("_other"), F.octet_length("record").cast("long").alias("_size"))
+    placed = stage(places(digests, per_file), "warc-places")
+    leaf = lambda size, sha: placed.select("file", F.lit(0).alias("level"), F.col("seq").alias("node"), F.col("offset").alias("start"), F.col(size).alias("size"), F.col(sha).alias("hash"))
+    found = audit(tree_of(leaf("length", "_sha"), per_file, fanout), tree_of(leaf("_size", "_other"), per_file, fanout), fanout)
+    found = found.select(F.col("file").alias("_f"), F.col("node").alias("_n"), F.lit(True).alias("_bad"))
+    return placed.join(found, (F.col("file") == F.col("_f")) & (F.col("seq") == F.col("_n")), "left").select(
+        "page_id", "file", "seq", "offset", "length", F.col("_sha").alias("sha256"), F.coalesce("_bad", F.lit(False)).alias("corrupt"))
