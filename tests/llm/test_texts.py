@@ -1,5 +1,6 @@
 """Operators on documents, against brute force on one awkward corpus."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -170,6 +171,20 @@ def test_byte_repeats(spark, docs, none):
     assert suffix.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("size", [50, 57, 64, 80])
+def test_byte_repeats_at_all_places_of_a_document_that_repeats_itself(spark, size):
+    rng = random.Random(size)
+    rows = []
+    for k in range(6):
+        a, b, c, d, e = (cases.prose(rng, 40) for _ in range(5))
+        passage = cases.prose(rng, 60).encode()[:size].decode(errors="ignore").ljust(size, "x")
+        rows += [(10 * k + 1, a + passage + b, "s"), (10 * k + 2, (c + passage + d) * 2, "s"), (10 * k + 3, ("".join((c, passage, d, e))) * 3, "s")]
+    got = cases.by_id(suffix.remove_repeats(cases.frame(spark, rows)))
+    for i, (data, gone) in cases.repeated(rows, str.encode).items():
+        kept = cases.sha(bytes(x for x, g in zip(data, gone) if not g))
+        assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (int(gone.sum()), kept), i
+
+
 def test_repeats_of_rows_without_id_or_with_one_id(spark):
     text = ROWS[3][1]
     df = cases.frame(spark, [(2, text, "a"), (2, text + " tail", "a"), (5, text, "b"), (None, text, None)])

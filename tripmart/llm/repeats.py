@@ -43,7 +43,7 @@ from tripmart.llm.common import Bitmap, Roller, U, pack_sorted, shuffle_partitio
 BITS = (28, 26, 26)
 CROWD = 20_000
 DOC_BITS = 24
-_POS = 40  # low bits of a place; above them a tag of the row's text
+PLACE_BITS = 40  # low bits of a place; above them a tag of the row's text
 
 
 @dataclass
@@ -211,9 +211,9 @@ def candidate_rows(docs: DataFrame, spans_of: Callable[[pa.Array], Spans], maps:
                     content = [s.items[x:y].tobytes() for x, y in zip(b.tolist(), (b + n[open_] + width - 1).tolist())]
                     own = one[0].spans(one[1], b, b + n[open_] + width - 1)
                     r = s.row[open_]
-                    yield from _emit(1, k[open_], own, doc[r], (tag[r] << _POS) + b - s.starts[r], n[open_], content)
+                    yield from _emit(1, k[open_], own, doc[r], (tag[r] << PLACE_BITS) + b - s.starts[r], n[open_], content)
             g, h, row, first, count = (np.concatenate(x) for x in (g, h, row, first, count))
-            yield from _emit(0, g, h, doc[row], (tag[row] << _POS) + first - s.starts[row], count, None)
+            yield from _emit(0, g, h, doc[row], (tag[row] << PLACE_BITS) + first - s.starts[row], count, None)
 
     return docs.filter("doc_id is not null").mapInArrow(run, ROWS)
 
@@ -288,8 +288,8 @@ def tagged(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def finish(docs: DataFrame, ranges: DataFrame, digest: Callable[[pa.Array, list], list[pa.Array]], fields: str, names: list[str], limit: int) -> DataFrame:
     """Apply ``digest(texts, ranges of each)`` to every row of ``docs`` (tagged)."""
-    place = F.col("at").bitwiseAND((1 << _POS) - 1)
-    by_row = ranges.select("doc", F.shiftright("at", _POS).alias("tag"), place.alias("a"), (place + F.col("size")).alias("b"))
+    place = F.col("at").bitwiseAND((1 << PLACE_BITS) - 1)
+    by_row = ranges.select("doc", F.shiftright("at", PLACE_BITS).alias("tag"), place.alias("a"), (place + F.col("size")).alias("b"))
     found = stage(by_row.groupBy("doc", "tag").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("ranges")), "ranges")
     bitmap = docs.sparkSession.sparkContext.broadcast(Bitmap.of(found, "doc", DOC_BITS))
 

@@ -116,9 +116,23 @@ def left_diverse_intervals(common: np.ndarray, before: np.ndarray, least: int) -
                     stack.append([now, begin, side])
 
 
+def merged(doc: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same bytes as ranges that do not touch."""
+    order = np.lexsort((at, doc))
+    doc, at, size = doc[order], at[order], size[order]
+    tag = at >> repeats.PLACE_BITS
+    text = np.cumsum(np.r_[False, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])][: len(doc)])
+    place = (text << repeats.PLACE_BITS + 1) + (at & (1 << repeats.PLACE_BITS) - 1)
+    end = np.maximum.accumulate(place + size)
+    first = np.flatnonzero(np.r_[True, place[1:] > end[:-1]][: len(doc)])
+    last = np.r_[first[1:], len(doc)][: len(first)] - 1
+    return doc[first], at[first], end[last] - place[first]
+
+
 def resolve(table: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
     """Ranges of the spans of some keys.  Rows come by key, content and document:
-    the first row of a content stands for it, its others are repeats as a whole."""
+    the first row of a content stands for it.  Its rows in larger documents are
+    repeats as a whole; those of the same document lose what the first one loses."""
     g, s, doc, at, n = (table[c].to_numpy() for c in ("g", "s", "doc", "at", "n"))
     head = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (s[1:] != s[:-1])])
     low = doc[head]
@@ -130,13 +144,27 @@ def resolve(table: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
     texts = table["content"].take(pa.array(head[several])).to_pylist()
     owners, places, common = suffix_array(texts, width)
     before = np.fromiter((texts[t][p - 1] if p else -1 for t, p in zip(owners.tolist(), places.tolist())), np.int64, len(owners))
-    first_doc, first_at = low[several][owners], at[head][several][owners] + places
+    first_doc = low[several][owners]
+    # the texts side by side with a gap after each: where ranges begin and end
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    begin = np.cumsum(sizes) - sizes
+    flat = begin[owners] + places
+    edges = np.zeros(int(sizes.sum()) + 1, np.int64)
     for length, a, b in left_diverse_intervals(common, before, width):
         docs = first_doc[a:b]
-        later = docs > docs.min()
-        if later.any():
-            out_doc.append(docs[later]), out_at.append(first_at[a:b][later]), out_n.append(np.full(int(later.sum()), length))
-    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_doc, out_at, out_n)], names=["doc", "at", "size"])
+        later = flat[a:b][docs > docs.min()]
+        np.add.at(edges, later, 1)
+        np.add.at(edges, later + length, -1)
+    inside = np.cumsum(edges) > 0
+    start = np.flatnonzero(inside & ~np.r_[False, inside[:-1]])
+    size = np.flatnonzero(inside & ~np.r_[inside[1:], False]) + 1 - start
+    text = np.searchsorted(begin, start, "right") - 1
+    # every row that the smallest document has of the content
+    own = np.bincount(owner[~again], minlength=len(head))[several][text]
+    row = np.repeat(head[several][text] - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))
+    out_doc.append(doc[row]), out_at.append(at[row] + np.repeat(start - begin[text], own)), out_n.append(np.repeat(size, own))
+    out = merged(*(np.concatenate(x) for x in (out_doc, out_at, out_n)))
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["doc", "at", "size"])
 
 
 def _digest(texts: pa.Array, ranges: list) -> list[pa.Array]:
