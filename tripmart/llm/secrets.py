@@ -46,8 +46,18 @@ BASE_RULES = (
     SecretRule("access", r"AKIA[A-Z0-9]+", 16),
     SecretRule("hex", r"[0-9a-f]{32,}", 32),
 )
+#: A private key with its body: to its END line, or, where that is missing, over its
+#: header fields and the base64 after them.  Line breaks may be written as \\n, lines
+#: be quoted; a short piece counts where it fills its line.
+_BREAK = r"(?:[\n\r]|\\[nr])"
+_BASE64 = r"[A-Za-z0-9+/=]"
+_KEY_BODY = (
+    r"(?:(?:(?!-----)[\x00-\U0010FFFF])*+-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+    rf"|(?:{_BREAK}++[A-Za-z-]+:\x20(?:(?!\\[nr])[^\n\r])*+)*+"
+    rf"""(?:(?:\s|\\[nrt]|["',+>\#])*+(?:{_BASE64}{{16,}}+|(?:(?<=[\n\r])|(?<=\\[nr])|(?<=[\n\r"'>\#\x20][\x20"'>\#])){_BASE64}++(?=["',\x20\t]*+(?:{_BREAK}|\Z))))*+)"""
+)
 MORE_RULES = (
-    SecretRule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    SecretRule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----" + _KEY_BODY),
     SecretRule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     SecretRule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
