@@ -266,6 +266,27 @@ def test_model_is_the_stated_one(spark, docs):
         assert all_[i]["score"] == pytest.approx(expected, abs=1e-6 + 0.02 * len(w)), i
 
 
+def test_the_model_does_not_depend_on_what_is_broadcast(spark, docs):
+    every = cases.by_id(lm.score(docs))
+    for hot, shards in ((1, None), (40, 3), (1000, 50)):
+        some = cases.by_id(lm.score(docs, hot=hot, shards=shards))
+        for i, r in every.items():
+            assert (some[i]["n_known"], some[i]["base_score"], some[i]["score"]) == pytest.approx((r["n_known"], r["base_score"], r["score"]), rel=1e-9), (hot, i)
+
+
+def test_successors_of_one_context_are_spread_over_the_shards():
+    words = np.unique(np.random.default_rng(1).integers(1, 1 << 63, 4000).astype(np.uint64))
+    sizes = [len(at) for _, at in lm.dealt(lm.Grams(words, np.arange(len(words)).astype(np.uint64)), np.arange(len(words)), 16)]
+    assert len(sizes) == 16 and max(sizes) < 2 * len(words) / 16
+
+
+def test_counts_are_coded_closely():
+    counts = np.unique(np.geomspace(1, 1 << 36, 5000).astype(np.int64))
+    got = lm.LEVELS[lm.coded(counts)]
+    assert (got[counts < 25] == counts[counts < 25]).all() and (np.abs(np.log(got / counts)) < 0.06).all()
+    assert lm.coded(counts).max() == 255
+
+
 def test_held_out_text_is_predicted_better_than_by_single_words(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = lm.score(df).filter("held_out").agg(F.sum("base_score"), F.sum("score")).first()

@@ -1,22 +1,23 @@
 """Scoring documents with an n-gram model kept in Elias-Fano tries.
 
-Words (A-Z lower-cased, one end token a document) are counted over all training
-documents.  Those with at least one in ``1 / hot`` of all tokens (at most ``hot``
-words, whatever the corpus) are the vocabulary; the others share one class, in
-which they keep their own smoothed counts.  Bigrams over the vocabulary are
-counted in full, without pruning:
+Words (A-Z lower-cased, one end token a document) are named by 64-bit hashes and
+counted over all training documents, as are all their bigrams, without pruning:
 
     p(t | h) = a * c(h, t) / c(h) + (1 - a) * p(t)
 
-and each shard of contexts becomes an :class:`NgramTrie` of the quantised
-log10 of p(t | h) / ((1 - a) p(t)).  A text's score is then a sum of unigram terms
-and of trie values, so documents are scored by partial sums:
+Bigrams are dealt to shards by both words, so the successors of a frequent
+context are spread over all shards.  A shard numbers its words and is an
+:class:`NgramTrie` of 8-bit codes of c(h, t) (:data:`LEVELS`: exact up to 24,
+then within 6 %).  The model does not depend on ``hot``, which only decides where
+counts are looked up:
 
-* n-grams and words so frequent that at most ``hot`` of them can exist are
-  broadcast and looked up where the document is read;
-* the others are asked for: every slice of documents sends its n-grams to the
-  shards of the model, packed, and gets its sums back.  None of these is
-  frequent, so no shard is overrun.
+* words and n-grams with at least one in ``1 / hot`` of all tokens (at most ``hot``
+  of each, whatever the corpus) are broadcast and looked up where the
+  document is read;
+* the others are asked for: every slice of documents sends its distinct words
+  and n-grams to the shards of the model, packed, gets their counts back and
+  adds up its documents.  A slice asks for an n-gram once, and only one shard
+  holds it, so no shard is overrun.
 
 Nothing that grows with the corpus is collected or broadcast.
 """
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import (
-    LOWER, Roller, U, pack_sorted, row_bounds, shuffle_partitions, slices, stage, text_bytes, unpack_sorted, word_hashes, word_spans,
+    LOWER, Roller, U, mix, pack_sorted, row_bounds, shuffle_partitions, slices, stage, text_bytes, unpack_sorted, word_hashes, word_spans,
 )
 from tripmart.llm.elias_fano import NgramTrie
 
@@ -42,6 +43,14 @@ FOLDS, HELD_OUT = 7, 2
 _SLICE = 4 << 20
 _FLUSH = 2_000_000
 _END = U(0x9E3779B97F4A7C15)
+#: Counts that the codes 1..255 of an n-gram stand for.
+LEVELS = np.r_[np.arange(25), np.rint(np.geomspace(25, 1 << 36, 231))]
+
+
+def coded(counts: np.ndarray) -> np.ndarray:
+    """Code of the level nearest to each count, by ratio."""
+    middle = np.sqrt(LEVELS[1:-1] * LEVELS[2:])
+    return np.searchsorted(middle, counts) + 1
 
 
 @lru_cache(maxsize=2)
@@ -127,42 +136,107 @@ def _summed(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
 
 
 class Vocabulary:
-    """The frequent words: numbers from 1, class 0 for all others.  At most ``hot``
-    words, so it may be broadcast."""
+    """The frequent words and their counts, for look-ups where documents are read.
+    At most ``hot`` words (and the end), so it may be broadcast."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, total: int, distinct: int):
         order = np.argsort(keys)
-        self.keys, self.total, self.distinct = keys[order], total, distinct
-        rest = total - int(counts.sum())
-        self.counts = np.r_[rest, counts[order]]
-        self.size = len(self.counts)
-        self.end = int(self.numbers(np.array([_END]))[0])
-        self.log_p = np.log10((self.counts + 1) / (total + self.size + 1))
-        self.log_rare = np.log10(rest + (distinct - len(keys)) + 1)
-        self.log_base = np.log10(total + distinct + 1)
-
-    def numbers(self, keys: np.ndarray) -> np.ndarray:
+        self.keys, self.counts, self.total, self.distinct = keys[order], counts[order], total, distinct
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(is it here, count) of each word."""
         if not len(self.keys):
-            return np.zeros(len(keys), np.int64)
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at + 1, 0)
+        hit = self.keys[at] == keys
+        return hit, np.where(hit, self.counts[at], 0)
+
+
+class Grams:
+    """Distinct bigrams over a sorted list of words: ``codes`` are context * words +
+    successor, by their numbers in the list."""
+
+    def __init__(self, words: np.ndarray, codes: np.ndarray):
+        self.words, self.codes = words, codes
+
+    @property
+    def numbers(self) -> tuple[np.ndarray, np.ndarray]:
+        n = U(max(1, len(self.words)))
+        return (self.codes // n).astype(np.int64), (self.codes % n).astype(np.int64)
+
+    @property
+    def names(self) -> np.ndarray:
+        """A 64-bit hash of each bigram: it decides on the shard."""
+        context, word = self.numbers
+        return mix(mix(self.words[context]) + self.words[word])
+
+    def take(self, at: np.ndarray) -> Grams:
+        """Some of the bigrams (places in order), with only the words they need."""
+        context, word = (x[at] for x in self.numbers)
+        used = np.zeros(len(self.words), bool)
+        used[context], used[word] = True, True
+        number = np.cumsum(used) - 1
+        return Grams(self.words[used], number[context].astype(U) * U(int(used.sum())) + number[word].astype(U))
+
+    def over(self, words: np.ndarray) -> np.ndarray:
+        """Codes over a sorted list that holds all the words."""
+        context, word = self.numbers
+        number = np.searchsorted(words, self.words).astype(U)
+        return number[context] * U(len(words)) + number[word]
+
+
+def bigrams(keys: np.ndarray, row: np.ndarray) -> tuple[Grams, np.ndarray]:
+    """The distinct bigrams of some texts, and the number of each token's one; a text
+    begins after an end."""
+    words, number = np.unique(np.r_[keys, _END], return_inverse=True)
+    number, end = number[:-1], number[-1]
+    context = np.r_[end, number[:-1]][: len(number)]
+    context[np.r_[True, row[1:] != row[:-1]][: len(number)]] = end
+    codes, gram = np.unique(context.astype(U) * U(len(words)) + number.astype(U), return_inverse=True)
+    return Grams(words, codes), gram
+
+
+def merged(parts: list[tuple[Grams, np.ndarray]]) -> tuple[Grams, np.ndarray]:
+    """The distinct bigrams of all parts, with the sums of their counts."""
+    words = np.unique(np.concatenate([g.words for g, _ in parts]))
+    codes, counts = counted(np.concatenate([g.over(words) for g, _ in parts]), np.concatenate([c for _, c in parts]))
+    return Grams(words, codes), counts
+
+
+def dealt(grams: Grams, at: np.ndarray, shards: int) -> list[tuple[int, np.ndarray]]:
+    """(shard, places in order) of the bigrams at the places ``at``."""
+    shard = word_shard(grams.names[at], shards)
+    order = np.argsort(shard, kind="stable")
+    return [(i, at[order[z]]) for i, z in _by_shard(shard[order], shards)]
 
-    def gain(self, context: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """log10 of p(word | context) / ((1 - MIX) p(word)) for n-grams seen ``count`` times."""
-        ratio = MIX * count / np.maximum(1, self.counts[context])
-        return np.log10(1 + ratio / ((1 - MIX) * 10 ** self.log_p[word]))
 
+def _gram_counts(docs: DataFrame, shards: int) -> DataFrame:
+    """(shard, words, codes, counts) packed, partly summed, of the training rows."""
 
-def bigrams(numbers: np.ndarray, row: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """Key (context << 32 | word) of each token; a text begins after an end."""
-    context = np.r_[vocabulary.end, numbers[:-1]]
-    context[np.r_[True, row[1:] != row[:-1]]] = vocabulary.end
-    return (context.astype(U) << U(32)) | numbers.astype(U)
+    def run(batches):
+        held: list[tuple[Grams, np.ndarray]] = []
+
+        def flush():
+            grams, counts = merged(held)
+            held.clear()
+            for i, at in dealt(grams, np.arange(len(counts)), shards):
+                some = grams.take(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), pa.array([pack_sorted(some.words)], pa.binary()), pa.array([pack_sorted(some.codes)], pa.binary()), pa.array([pack(counts[at].astype("<u4"))], pa.binary())],
+                    names=["shard", "words", "codes", "counts"])
 
+        for batch in slices(batches, limit=_SLICE):
+            keys, row = tokens(batch.filter(pa.compute.invert(batch.column("held_out"))).column("text"))
+            if not len(keys):
+                continue
+            grams, gram = bigrams(keys, row)
+            held.append((grams, np.bincount(gram, minlength=len(grams.codes))))
+            if sum(len(c) for _, c in held) > _FLUSH:
+                yield from flush()
+        if held:
+            yield from flush()
 
-def gram_shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    mixed = (keys >> U(32)) * U(0x9E3779B97F4A7C15)
-    return ((mixed >> U(32)) * U(shards) >> U(32)).astype(np.int64)
+    return docs.mapInArrow(run, "shard int, words binary, codes binary, counts binary")
 
 
 def train(docs: DataFrame, shards: int, hot: int) -> tuple[DataFrame, Vocabulary, DataFrame, tuple[np.ndarray, np.ndarray]]:
@@ -190,29 +264,20 @@ def train(docs: DataFrame, shards: int, hot: int) -> tuple[DataFrame, Vocabulary
     # at most hot + 1 rows: their counts sum to no more than all tokens
     top = words.select("keys", "counts").mapInArrow(frequent, "key long, n long").toArrow()
     vocabulary = Vocabulary(top["key"].to_numpy().view(U), top["n"].to_numpy(), total, distinct)
-    shared = spark.sparkContext.broadcast(vocabulary)
-
-    def grams_of(texts: pa.Array) -> np.ndarray:
-        keys, row = tokens(texts)
-        return bigrams(shared.value.numbers(keys), row, shared.value) if len(keys) else keys
 
     def trie(table: pa.Table) -> pa.Table:
-        shard, keys, counts = _summed(table)
-        context, word = (keys >> U(32)).astype(np.int64), (keys & U(0xFFFFFFFF)).astype(np.int64)
-        v = shared.value
-        built = NgramTrie.build(context, word, v.gain(context, word, counts), v.size)
+        grams, counts = merged([(Grams(unpack_sorted(w.as_py()), unpack_sorted(c.as_py())), unpack(n.as_py(), "<u4").astype(np.int64)) for w, c, n in zip(table["words"], table["codes"], table["counts"])])
+        code = coded(counts)
+        built = NgramTrie.build(*grams.numbers, code * NgramTrie.STEP, len(grams.words))
         top = counts >= least
-        return pa.table({"shard": pa.array([shard], pa.int32()), "trie": pa.array([built.to_bytes()], pa.binary()),
-                         "top_keys": pa.array([keys[top].view(np.int64).tolist()], pa.list_(pa.int64())), "top_counts": pa.array([counts[top].tolist()], pa.list_(pa.int64()))})
+        return pa.table({"shard": table["shard"].slice(0, 1), "words": pa.array([pack_sorted(grams.words)], pa.binary()), "trie": pa.array([built.to_bytes()], pa.binary()),
+                         "top_keys": pa.array([grams.names[top].view(np.int64).tolist()], pa.list_(pa.int64())), "top_codes": pa.array([code[top].tolist()], pa.list_(pa.int64()))})
 
-    model = stage(_counts(docs, grams_of, shards, gram_shard).groupBy("shard").applyInArrow(trie, "shard int, trie binary, top_keys array<long>, top_counts array<long>"), "lm-tries")
-    best = model.select(F.explode(F.arrays_zip("top_keys", "top_counts")).alias("x")).select("x.top_keys", "x.top_counts").toArrow()
-    keys, counts = best["top_keys"].to_numpy().view(U), best["top_counts"].to_numpy()
+    model = stage(_gram_counts(docs, shards).groupBy("shard").applyInArrow(trie, "shard int, words binary, trie binary, top_keys array<long>, top_codes array<long>"), "lm-tries")
+    best = model.select(F.explode(F.arrays_zip("top_keys", "top_codes")).alias("x")).select("x.top_keys", "x.top_codes").toArrow()
+    keys, codes = best["top_keys"].to_numpy().view(U), best["top_codes"].to_numpy()
     order = np.argsort(keys)
-    return words, vocabulary, model.select("shard", "trie"), (keys[order], counts[order])
-
-
-_ANSWER = [("known", np.int64), ("base", np.float64), ("score", np.float64)]
+    return words, vocabulary, model.select("shard", "words", "trie"), (keys[order], codes[order])
 
 
 def score(docs: DataFrame, hot: int = HOT, shards: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -226,83 +291,94 @@ def score(docs: DataFrame, hot: int = HOT, shards: int | None = None, doc_id: st
     shards = shards or max(16, 2 * shuffle_partitions(spark))
     fold = F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == HELD_OUT
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), fold.alias("held_out"))
-    words, vocabulary, model, (top_keys, top_counts) = train(rows.select("text", "held_out"), shards, hot)
-    top = spark.sparkContext.broadcast((vocabulary, top_keys, vocabulary.gain((top_keys >> U(32)).astype(np.int64), (top_keys & U(0xFFFFFFFF)).astype(np.int64), top_counts)))
+    words, vocabulary, model, (top_keys, top_codes) = train(rows.select("text", "held_out"), shards, hot)
+    top = spark.sparkContext.broadcast((vocabulary, top_keys, top_codes.astype(np.uint8)))
+
+    def looked_up(grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(words to ask for, counts of the others, bigrams to ask for, codes of the others)."""
+        v, known, codes = top.value
+        hit, counts = v.find(grams.words)
+        names = grams.names
+        at = np.minimum(np.searchsorted(known, names), max(0, len(known) - 1))
+        seen = known[at] == names if len(known) else np.zeros(len(names), bool)
+        return np.flatnonzero(~hit), counts, np.flatnonzero(~seen), np.where(seen, codes[at], 0) if len(known) else np.zeros(len(names), np.int64)
 
     def read(batches):
-        v, known, gains = top.value
-        unseen = np.where(v.counts > 0, np.log10(1 - MIX), 0.0)
         for batch in slices(batches, limit=_SLICE):
             n, name = batch.num_rows, uuid.uuid4().hex
             keys, row = tokens(batch.column("text"))
-            number = v.numbers(keys)
-            grams = bigrams(number, row, v)
-            context = (grams >> U(32)).astype(np.int64)
-            rare = number == 0
-            term = np.where(rare, 0.0, np.log10(v.counts[number] + 1) - v.log_base)
-            value = v.log_p[number] + unseen[context]
-            at = np.minimum(np.searchsorted(known, grams), max(0, len(known) - 1))
-            hit = known[at] == grams if len(known) else np.zeros(len(grams), bool)
-            value[hit] += gains[at[hit]]
-            columns = [
-                pa.array(np.bincount(row, minlength=n)), pa.array(np.bincount(row, ~rare, n).astype(np.int64)),
-                pa.array(np.bincount(row, term, n)), pa.array(np.bincount(row, value, n)),
-            ]
-            body = pa.StructArray.from_arrays([batch.column("doc_id"), batch.column("held_out"), *columns], ["doc_id", "held_out", "n_tokens", "known", "base", "score"])
+            grams, gram = bigrams(keys, row)
+            order = np.argsort(gram, kind="stable")
+            body = pa.StructArray.from_arrays([batch.column("doc_id"), batch.column("held_out")], ["doc_id", "held_out"])
             local = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), body)
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([-1], pa.int32()), local, pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())], names=["slice", "shard", "local", "keys", "rows"])
-            for shift, some, shard_of, asked in ((0, rare, word_shard, keys), (shards, ~hit, gram_shard, grams)):
-                some = np.flatnonzero(some)
-                shard, key, who = shard_of(asked[some], shards), asked[some], row[some]
-                order = np.lexsort((key, shard))
-                shard, key, who = shard[order], key[order], who[order]
-                for i, z in _by_shard(shard, shards):
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([i + shift], pa.int32()), pa.nulls(1, local.type), pa.array([pack_sorted(key[z])], pa.binary()), pa.array([pack(who[z].astype("<u4"))], pa.binary())], names=["slice", "shard", "local", "keys", "rows"])
-
-    local = "array<struct<doc_id:long,held_out:boolean,n_tokens:long,known:long,base:double,score:double>>"
-    asked = stage(rows.mapInArrow(read, f"slice string, shard int, local {local}, keys binary, rows binary"), "lm-asked")
+            uses = np.bincount(gram, minlength=len(grams.codes))
+
+            def message(shard, body, *blobs):
+                return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([shard], pa.int32()), body, *(pa.array([x], pa.binary()) for x in blobs)], names=["slice", "shard", "local", "words", "codes", "uses", "rows"])
+
+            yield message(-1, local, pack_sorted(grams.words), pack_sorted(grams.codes), pack(uses.astype("<u4")), pack(row[order].astype("<u4")))
+            some, _, open_, _ = looked_up(grams)
+            asked = grams.words[some]
+            for i, z in _by_shard(word_shard(asked, shards), shards):
+                yield message(i, pa.nulls(1, local.type), pack_sorted(asked[z]), None, None, None)
+            for i, at in dealt(grams, open_, shards):
+                mine = grams.take(at)
+                yield message(shards + i, pa.nulls(1, local.type), pack_sorted(mine.words), pack_sorted(mine.codes), None, None)
+
+    local = "array<struct<doc_id:long,held_out:boolean>>"
+    asked = stage(rows.mapInArrow(read, f"slice string, shard int, local {local}, words binary, codes binary, uses binary, rows binary"), "lm-asked")
 
     def answer(table: pa.Table) -> pa.Table:
-        v = top.value[0]
-        held = [(k.as_py(), c.as_py()) for s, k, c in zip(table["slice"], table["keys"], table["rows"]) if not s.is_valid]
-        out_slice, out_sums = [], []
         shard = table["shard"][0].as_py()
-        if shard < shards:
-            own, counts = (unpack_sorted(held[0][0]), unpack(held[0][1], "<u4").astype(np.int64)) if held else (np.zeros(0, U), np.zeros(0, np.int64))
-        else:
-            trie = NgramTrie.read(np.frombuffer(held[0][0], np.uint8)) if held else None
-        for s, k, r in zip(table["slice"], table["keys"], table["rows"]):
+        held = [(w.as_py(), x.as_py()) for s, w, x in zip(table["slice"], table["words"], table["codes"]) if not s.is_valid]
+        own = unpack_sorted(held[0][0]) if held else np.zeros(0, U)
+        if held:
+            counts, trie = (unpack(held[0][1], "<u4"), None) if shard < shards else (None, NgramTrie.read(np.frombuffer(held[0][1], np.uint8)))
+        out = []
+        for s, w, c in zip(table["slice"], table["words"], table["codes"]):
             if not s.is_valid:
                 continue
-            keys, who = unpack_sorted(k.as_py()), unpack(r.as_py(), "<u4").astype(np.int64)
-            n = int(who.max(initial=-1)) + 1
-            sums = np.zeros(n, _ANSWER)
+            keys = unpack_sorted(w.as_py())
+            at = np.minimum(np.searchsorted(own, keys), max(0, len(own) - 1))
+            hit = own[at] == keys if len(own) else np.zeros(len(keys), bool)
             if shard < shards:
-                at = np.minimum(np.searchsorted(own, keys), max(0, len(own) - 1))
-                count = np.where(own[at] == keys, counts[at], 0) if len(own) else np.zeros(len(keys), np.int64)
-                sums["known"] = np.bincount(who, count > 0, n)
-                sums["base"] = np.bincount(who, np.log10(count + 1) - v.log_base, n)
-                sums["score"] = np.bincount(who, np.log10(count + 1) - v.log_rare, n)
-            elif trie is not None:
-                sums["score"] = np.bincount(who, trie.lookup((keys >> U(32)).astype(np.int64), (keys & U(0xFFFFFFFF)).astype(np.int64)), n)
-            out_slice.append(s.as_py()), out_sums.append(pack(sums))
-        return pa.table({"slice": pa.array(out_slice, pa.string()), "sums": pa.array(out_sums, pa.binary())})
+                found = np.where(hit, counts[at], 0).astype("<u4") if len(own) else np.zeros(len(keys), "<u4")
+            else:
+                context, word = Grams(keys, unpack_sorted(c.as_py())).numbers
+                found = np.zeros(len(context), np.uint8)
+                both = np.flatnonzero(hit[context] & hit[word])
+                if len(both):
+                    found[both] = np.rint(trie.lookup(at[context[both]], at[word[both]]) / NgramTrie.STEP)
+            out.append((s.as_py(), shard, pack(found)))
+        return pa.table({"slice": pa.array([x[0] for x in out], pa.string()), "shard": pa.array([x[1] for x in out], pa.int32()), "found": pa.array([x[2] for x in out], pa.binary())})
 
     none = F.lit(None).cast("string").alias("slice")
-    held = words.select(none, "shard", "keys", F.col("counts").alias("rows")).unionByName(model.select(none, (F.col("shard") + shards).alias("shard"), F.col("trie").alias("keys"), F.lit(None).cast("binary").alias("rows")))
-    answers = asked.filter("shard >= 0").select("slice", "shard", "keys", "rows").unionByName(held).groupBy("shard").applyInArrow(answer, "slice string, sums binary")
-    parts = asked.filter("shard < 0").select("slice", "local", F.lit(None).cast("binary").alias("sums")).unionByName(answers.select("slice", F.lit(None).cast(local).alias("local"), "sums"))
-    total = vocabulary.total
+    held = words.select(none, "shard", F.col("keys").alias("words"), F.col("counts").alias("codes")).unionByName(model.select(none, (F.col("shard") + shards).alias("shard"), "words", F.col("trie").alias("codes")))
+    answers = asked.filter("shard >= 0").select("slice", "shard", "words", "codes").unionByName(held).groupBy("shard").applyInArrow(answer, "slice string, shard int, found binary")
+    kept = [F.lit(None).cast(t).alias(c) for c, t in (("local", local), ("words", "binary"), ("codes", "binary"), ("uses", "binary"), ("rows", "binary"))]
+    own = asked.filter("shard < 0").withColumn("found", F.lit(None).cast("binary"))
+    parts = own.unionByName(answers.select("slice", "shard", "found", *kept))
 
     def finish(table: pa.Table) -> pa.Table:
-        body = next(x for x in table["local"] if x.is_valid).values
-        sums = {name: body.field(name).to_numpy(zero_copy_only=False).copy() for name, _ in _ANSWER}
-        # one order of addition, whatever order the answers came in
-        for data in sorted(x.as_py() for x in table["sums"] if x.is_valid):
-            more = unpack(data, _ANSWER)
-            for name in sums:
-                sums[name][: len(more)] += more[name]
-        return pa.table({"doc_id": body.field("doc_id"), "held_out": body.field("held_out"), "n_tokens": body.field("n_tokens"), "n_known": pa.array(sums["known"]),
-                         "train_tokens": pa.array(np.full(len(body), total)), "base_score": pa.array(sums["base"]), "score": pa.array(sums["score"])})
+        v = top.value[0]
+        mine = next(i for i, x in enumerate(table["shard"].to_pylist()) if x < 0)
+        body = table["local"][mine].values
+        grams = Grams(*(unpack_sorted(table[c][mine].as_py()) for c in ("words", "codes")))
+        uses, row = (unpack(table[c][mine].as_py(), "<u4").astype(np.int64) for c in ("uses", "rows"))
+        found = {s: x.as_py() for s, x in zip(table["shard"].to_pylist(), table["found"]) if s >= 0}
+        some, counts, open_, codes = looked_up(grams)
+        for i, z in _by_shard(word_shard(grams.words[some], shards), shards):
+            counts[some[z]] = unpack(found[i], "<u4")
+        for i, at in dealt(grams, open_, shards):
+            codes[at] = unpack(found[shards + i], np.uint8)
+        context, word = grams.numbers
+        lower = (counts[word] + 1) / (v.total + v.distinct + 2)
+        seen = np.maximum(1, counts[context])
+        p = np.where(counts[context] > 0, (1 - MIX) * lower + MIX * LEVELS[codes] / seen, lower)
+        base = np.log10(counts[word] + 1) - np.log10(v.total + v.distinct + 1)
+        n = len(body)
+        known, base, value = (np.bincount(row, np.repeat(x, uses), n) for x in (counts[word] > 0, base, np.log10(p)))
+        return pa.table({"doc_id": body.field("doc_id"), "held_out": body.field("held_out"), "n_tokens": pa.array(np.bincount(row, minlength=n)), "n_known": pa.array(known.astype(np.int64)),
+                         "train_tokens": pa.array(np.full(n, v.total)), "base_score": pa.array(base), "score": pa.array(value)})
 
     return parts.groupBy("slice").applyInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
