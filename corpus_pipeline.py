@@ -39,8 +39,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their sequence and place."""
-    return packing.pack(docs, TOKENIZER, with_ids=False)
+    """Pieces with their sequence and place; sequences follow the order of the files
+    that ``docs`` is read from, which is that of the mixture."""
+    return packing.pack(docs, TOKENIZER, with_ids=False, place=mixing.file_place())
 
 
 STAGES = [

@@ -6,7 +6,7 @@ from llm import cases
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripmart.llm import common, elias_fano, vectors, warc
+from tripmart.llm import common, elias_fano, mixing, vectors, warc
 
 
 def test_components(spark):
@@ -158,6 +158,31 @@ def test_pipeline(spark, tmp_path):
     assert last == whole and {i for i, _ in last} == {r["doc_id"] for r in after[3].collect()}
 
 
+def test_source_weights_decide_on_the_sequences(spark, tmp_path, monkeypatch):
+    sources = ["a"] * 300 + ["b"] * 300
+    words = cases.prose(cases.random.Random(8), 1200).split()
+    rows = [(i, " ".join(words[i : i + 400]), s) for i, s in enumerate(sources)]
+    docs = cases.frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    outcome, packing_of = {}, dict(corpus_pipeline.STAGES)["best_fit_packing"]
+    for first, second in ((9, 1), (1, 9)):
+        weights = spark.createDataFrame([("a", first), ("b", second)], "source string, weight int")
+        mix = lambda spark, docs, sf_dir, w=weights: mixing.in_mixed_order(docs, mixing.mix(docs, w, block_docs=2))
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [("mix_sources", mix), ("best_fit_packing", packing_of)])
+        out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+        outcome[first] = {(r["doc_id"], r["piece"]): (r["sequence_id"], r["offset"]) for r in out}
+        assert {i for i, _ in outcome[first]} == set(range(600))
+        ids = {x for x, _ in outcome[first].values()}
+        assert ids == set(range(len(ids))) and "_place" not in out[0].asDict()
+        early = [sources[i] for (i, _), (x, _) in outcome[first].items() if x < len(ids) // 4]
+        assert (early.count("a") > 2 * early.count("b")) == (first == 9) and (early.count("b") > 2 * early.count("a")) == (first == 1)
+        # rows of all files in their order, each place once
+        mixed = common.stage(mix(spark, docs, None), "mixed")
+        places = [r[0] for r in mixed.select(mixing.file_place().alias("p")).collect()]
+        assert len(set(places)) == 600
+    assert outcome[9] != outcome[1]
+
+
 def test_pipeline_on_an_empty_table(spark, tmp_path):
     cases.frame(spark, cases.corpus()).limit(0).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -18,7 +18,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -156,3 +156,12 @@ def in_mixed_order(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id") ->
     keys = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.struct("slot", "place_in_block")).alias("_at"))
     joined = docs.join(keys, docs[doc_id].eqNullSafe(keys._id))
     return joined.orderBy(keys["_at"]).select(*[docs[c] for c in docs.columns])
+
+
+def file_place() -> Column:
+    """Place of each row of a table that Spark wrote in order: number of its file, then
+    its row there.  For a DataFrame read from files."""
+    name = F.col("_metadata.file_name")
+    number = lambda pattern: F.coalesce(F.regexp_extract(name, pattern, 1).try_cast("long"), F.lit(0).cast("long"))
+    file = number(r"part-(\d+)") * 1000 + number(r"-c(\d+)\.")
+    return F.shiftleft(file, 32) + F.col("_metadata.row_index")

@@ -25,13 +25,14 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import salted_rank, shuffle_partitions, slices, stage
 
 CAPACITY = 2048
 _CACHE_WORDS = 400_000
+BLOCK_BITS = 12  # places in one sort task of a length: 4096
 
 
 class WordEncoder:
@@ -87,16 +88,17 @@ def encoder_for(path: str) -> WordEncoder:
 
 def token_pieces(
     docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = True,
-    doc_id: str = "doc_id", text: str = "text",
+    doc_id: str = "doc_id", text: str = "text", place: Column | None = None,
 ) -> DataFrame:
     """Documents as pieces of at most ``capacity`` ids: doc_id, piece, start,
-    length, ids_crc32 (little-endian unsigned 32-bit ids), and the ids
-    themselves unless ``with_ids`` is off.
+    length, ids_crc32 (little-endian unsigned 32-bit ids), the ids
+    themselves unless ``with_ids`` is off, and _place (BIGINT) if ``place`` is given.
 
     NULL text is an empty text: one piece with the end id alone.  Other columns
     of ``docs`` are not read.
     """
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "") + (", _place long" if place is not None else "")
+    placed = place is not None
 
     def run(batches):
         encoder = encoder_for(tokenizer)
@@ -121,9 +123,13 @@ def token_pieces(
             if with_ids:
                 columns.append(pa.ListArray.from_arrays(pa.array(np.r_[at, len(tail)], pa.int32()), pa.array(tail.astype(np.int32))))
                 names.append("ids")
+            if placed:
+                columns.append(batch.column("_place").take(pa.array(doc)))
+                names.append("_place")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
+    places = [] if place is None else [place.cast("long").alias("_place")]
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *places).mapInArrow(run, schema)
 
 
 def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -215,7 +221,8 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY, salts: int | N
 
     ``pieces`` is read three times: stage it first.  Deterministic: pieces of
     one length are ranked by a hash of (doc_id, piece), then by all their
-    columns; equal rows are interchangeable.
+    columns; equal rows are interchangeable.  With a column ``_place`` they are
+    ranked by it, so that a length's sequences fill in that order.
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -224,8 +231,12 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY, salts: int | N
     runs = np.array(sorted(plan_sequences(counts, capacity)), np.int64).reshape(-1, 6)
     span = 1 << 44
     shared = spark.sparkContext.broadcast((runs[:, 0] * span + runs[:, 1], runs))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     order = ["doc_id", "piece", "start", "ids_crc32"]
+    if "_place" in pieces.columns:
+        salted = pieces.withColumn("_salt", F.shiftright("_place", BLOCK_BITS))
+        order = ["_place", *order]
+    else:
+        salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     ranked = salted_rank(salted, ["length"], "_salt", order, "_rank").drop("_salt")
     fields = [f for f in ranked.schema.fields if f.name != "_rank"]
     names = [f.name for f in fields]
@@ -244,14 +255,27 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY, salts: int | N
     return ranked.mapInArrow(place, schema)
 
 
+def numbered_by_place(packed: DataFrame) -> DataFrame:
+    """``packed`` with its sequences numbered anew, by the smallest _place of their
+    pieces; _place is dropped.  Reads ``packed`` twice: stage it first."""
+    firsts = packed.groupBy("sequence_id").agg(F.min("_place").alias("_first")).withColumn("_salt", F.shiftright("_first", BLOCK_BITS))
+    numbers = salted_rank(firsts, [], "_salt", ["_first", "sequence_id"], "_number").select(F.col("sequence_id").alias("_old"), "_number")
+    joined = packed.join(numbers, packed.sequence_id == numbers._old)
+    return joined.select(*[F.col("_number").alias(c) if c == "sequence_id" else packed[c] for c in packed.columns if c != "_place"])
+
+
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = True, **columns) -> DataFrame:
     """Pieces of ``docs`` with their sequence and place; with ids unless switched off.
 
+    With ``place`` (a BIGINT column of ``docs``) documents of a length are packed in
+    its order, and sequences are numbered by their first piece's.
+
     A document of up to ``capacity`` ids (its end id included) stays whole.
     Empty input gives no rows; repeated rows are packed as often as they occur.
     """
     pieces = token_pieces(docs, tokenizer, capacity, with_ids=with_ids, **columns)
-    return assign_sequences(stage(pieces, "pieces"), capacity)
+    packed = assign_sequences(stage(pieces, "pieces"), capacity)
+    return packed if columns.get("place") is None else numbered_by_place(stage(packed, "packed"))
 
 
 def sequences(packed: DataFrame) -> DataFrame:
