@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import lm, minhash, mixing, packing, quality, recompress, secrets, suffix, vectors, warc
+from tripmart.llm import compress, infill, lm, minhash, mixing, packing, quality, recompress, resample, secrets, suffix, vectors, warc
 from tripmart.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = compress.fit(docs, labels.filter(~compress.held_out(F.col("doc_id"))))
+    return compress.score(docs, model).select("doc_id", compress.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(), 256).alias("restored_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -74,6 +92,9 @@ QUERIES = {
         op8_substring_dedup,
         op9_lm_scoring,
         op10_suffix_dedup,
+        op11_importance_resampling,
+        op12_quality_classifier,
+        op13_fill_in_middle,
     )
 }
 
@@ -134,4 +155,35 @@ f AS (SELECT *, cast(rk // {warc.PER_FILE} AS bigint) AS file, cast(rk % {warc.P
 SELECT page_id, file, seq, cast(coalesce(sum(length) OVER (PARTITION BY file ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bigint) AS "offset",
   length, sha256, substring(md5('rot' || coalesce(cast(page_id AS varchar), '')), 1, 2) IN ('00', '01', '02', '03') AS corrupt
 FROM f""",
+    "op11_importance_resampling": rf"""
+WITH table_of AS (SELECT list(c ORDER BY i) AS tab FROM (
+  SELECT i, list_reduce([cast(i AS bigint)] || [cast(0 AS bigint) FOR x IN range(8)], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {resample.POLYNOMIAL}) ELSE c >> 1 END) AS c
+  FROM range(256) AS g(i))),
+low AS (SELECT 'd' AS side, doc_id, text, row_number() OVER () AS r FROM documents UNION ALL SELECT 'b', NULL, text, NULL FROM benchmark),
+split AS (SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM low),
+words AS (SELECT side, r, unnest(ws) AS w FROM split),
+vocabulary AS (SELECT w, xor(list_reduce([cast(4294967295 AS bigint)] || [cast('0x' || substr(hex(w), 2 * k - 1, 2) AS bigint) FOR k IN range(1, strlen(w) + 1)],
+    lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)])), 4294967295) % {resample.BUCKETS} AS bucket
+  FROM (SELECT DISTINCT w FROM words), table_of),
+counts AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM words JOIN vocabulary USING (w) GROUP BY bucket),
+totals AS (SELECT cast(coalesce(sum(s), 0) AS double) AS sa, cast(coalesce(sum(t), 0) AS double) AS ta FROM counts),
+gain AS (SELECT bucket, cast(floor(1000 * ln((t + 1.0::double) * (sa + {resample.BUCKETS}) / ((s + 1.0::double) * (ta + {resample.BUCKETS})))) AS bigint) AS g FROM counts, totals),
+sums AS (SELECT r, sum(g) AS weight FROM words JOIN vocabulary USING (w) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY r),
+noise AS (SELECT r, doc_id, len(ws) AS n_features, cast('0x' || substr(sha256('{resample.SEED}:' || coalesce(cast(doc_id AS varchar), '')), 1, 8) AS bigint) AS h FROM split WHERE side = 'd'),
+scored AS (SELECT doc_id, cast(n_features AS bigint) AS n_features, cast(coalesce(weight, 0) AS bigint) AS weight,
+  cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) AS bigint) AS score FROM noise LEFT JOIN sums USING (r)),
+placed AS (SELECT *, n_features >= {resample.MIN_WORDS} AS able, row_number() OVER (PARTITION BY n_features >= {resample.MIN_WORDS} ORDER BY score DESC, doc_id NULLS LAST) AS place,
+  count(*) FILTER (n_features >= {resample.MIN_WORDS}) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= {resample.SHARE_PCT} * n // 100 THEN place END AS rank FROM placed""",
+    "op13_fill_in_middle": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{infill.SEED}:' || coalesce(cast(doc_id AS varchar), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS us, [cast('0x' || substr(h, 8 * k + 1, 8) AS bigint) FOR k IN range(4)] AS hs FROM d),
+c AS (SELECT *, len(us) AS n, least(hs[1] % (len(us) + 1), hs[2] % (len(us) + 1)) AS a, greatest(hs[1] % (len(us) + 1), hs[2] % (len(us) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR hs[3] % 100 >= {infill.RATE_PCT} THEN 'plain' WHEN hs[4] % 100 < {infill.SPM_PCT} THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(us[1:a], ''), '') AS prefix, coalesce(array_to_string(us[a + 1:b], ''), '') AS middle, coalesce(array_to_string(us[b + 1:], ''), '') AS suffix FROM c)
+SELECT doc_id, cast(n AS bigint) AS n, form, CASE WHEN form <> 'plain' THEN cast(length(prefix) AS bigint) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN cast(length(middle) AS bigint) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p""",
 }
