@@ -36,12 +36,28 @@ def dedup(
     ``copies``: adds a column with the number of rows each survivor stands for.
     """
     cols = df.columns
-    present = set(cols)
+    rest = [c for c in cols if c not in keys]
+    fields, unorderable = order_fields(df, keys, prefer, newest)
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    if not unorderable:
+        # The order struct already holds every value: rebuild the row from it.
+        best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"), *counted)
+        out = _row("_best", rest)
+    else:
+        row = F.struct(*[F.col(c) for c in rest])
+        best = df.groupBy(*keys).agg(F.min_by(row, F.struct(*fields)).alias("_best"), *counted)
+        out = [F.col(f"_best.{c}").alias(c) for c in rest]
+    return best.select(*[F.col(k) for k in keys], *out, *([copies] if copies else [])).select(*cols, *([copies] if copies else []))
+
+
+def order_fields(df: DataFrame, keys=NATURAL_KEY, prefer: str | None = "_dq_passed", newest: str | None = "_ingestion_timestamp") -> tuple[list, list[str]]:
+    """Fields of the order struct, and the columns that have no order."""
+    cols = df.columns
     rest = [c for c in cols if c not in keys]
     fields = []
-    if prefer and prefer in present:
+    if prefer and prefer in cols:
         fields.append((~F.coalesce(F.col(prefer), F.lit(False))).alias("_o_prefer"))
-    if newest and newest in present:
+    if newest and newest in cols:
         micros = F.unix_micros(F.col(newest).try_cast("timestamp"))
         fields.append(micros.isNull().alias("_o_newest_null"))
         fields.append((-micros).alias("_o_newest"))
@@ -52,16 +68,37 @@ def dedup(
             continue
         fields.append(F.col(c).isNull().alias(f"_n{i}"))
         fields.append(F.col(c).alias(f"_v{i}"))
-    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
-    if not unorderable:
-        # The order struct already holds every value: rebuild the row from it.
-        best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"), *counted)
-        out = [F.col(f"_best._v{i}").alias(c) for i, c in enumerate(rest)]
-    else:
-        row = F.struct(*[F.col(c) for c in rest])
-        best = df.groupBy(*keys).agg(F.min_by(row, F.struct(*fields)).alias("_best"), *counted)
-        out = [F.col(f"_best.{c}").alias(c) for c in rest]
-    return best.select(*[F.col(k) for k in keys], *out, *([copies] if copies else [])).select(*cols, *([copies] if copies else []))
+    return fields, unorderable
+
+
+def _row(struct: str, rest: list[str]) -> list:
+    return [F.col(f"{struct}._v{i}").alias(c) for i, c in enumerate(rest)]
+
+
+#: What became of a key's winner when new rows came in.
+KEPT, ADDED, RETRACTED = "kept", "added", "retracted"
+
+
+def merge_winners(known: DataFrame, new: DataFrame, keys=NATURAL_KEY, prefer: str | None = "_dq_passed", newest: str | None = "_ingestion_timestamp") -> DataFrame:
+    """D1 step by step: the winners so far (``known``, one row a key) and new rows give
+    the winners now, in a column ``_role``: ``kept`` as before, or ``added`` with the
+    row it replaces as ``retracted``.
+
+    The least row of a union is the least of the least rows, so it does not matter how
+    rows are cut into steps, in which order steps come, or whether one comes twice."""
+    cols = new.columns
+    rest = [c for c in cols if c not in keys]
+    both = known.select(*cols, F.lit(True).alias("_known")).unionByName(new.select(*cols, F.lit(False).alias("_known")))
+    fields, unorderable = order_fields(new, keys, prefer, newest)
+    if unorderable:
+        raise ValueError(f"columns without an order: {unorderable}")
+    order = F.struct(*fields)
+    best = both.groupBy(*keys).agg(F.min(order).alias("_best"), F.min(F.when(F.col("_known"), order)).alias("_was"))
+    same = F.col("_best").eqNullSafe(F.col("_was"))
+    now = F.struct(F.when(same, F.lit(KEPT)).otherwise(F.lit(ADDED)).alias("_role"), F.col("_best").alias("_row"))
+    before = F.struct(F.lit(RETRACTED).alias("_role"), F.col("_was").alias("_row"))
+    states = best.select(*keys, F.explode(F.when(same | F.col("_was").isNull(), F.array(now)).otherwise(F.array(now, before))).alias("_s"))
+    return states.select(*keys, *_row("_s._row", rest), "_s._role").select(*cols, "_role")
 
 
 def dedup_fast(df: DataFrame, keys=NATURAL_KEY) -> DataFrame:

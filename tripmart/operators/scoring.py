@@ -160,3 +160,14 @@ def spark_model_score(df: DataFrame, pipeline_model, out: str = "delay_probabili
     )
     missing = feats.filter(~ok).withColumn(out, F.lit(None).cast("double"))
     return scored.unionByName(missing)
+
+
+def formula_score(df: DataFrame, pipeline_model, out: str = "delay_probability") -> DataFrame:
+    """F2 as one expression from the fitted coefficients: what ``spark_model_score``
+    must give, without vectors; it can be pushed into any SQL engine."""
+    m = to_numpy_model(pipeline_model)
+    scale = pipeline_model.stages[1].std.toArray()
+    # a constant feature is scaled to 0
+    terms = [F.lit(float(c)) * (F.col(f) - F.lit(float(mu))) / F.lit(float(s)) for f, c, mu, s, sd in zip(FEATURES, m.coef, m.mean, m.scale, scale) if sd]
+    z = sum(terms, F.lit(m.intercept))
+    return scoring_features(df).withColumn(out, 1 / (1 + F.exp(-z)))

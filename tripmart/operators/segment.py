@@ -8,11 +8,12 @@ k centres and the quality numbers come back to the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.core import exact_avg
@@ -53,16 +54,41 @@ def cluster_pipeline(k: int = 6, seed: int = 42, max_iter: int = 100) -> Pipelin
 
 def segment_routes(df: DataFrame, k: int = 6, seed: int = 42, max_iter: int = 100, min_trips: int = 10):
     """Returns ``(clusters, report)``; clusters = route features +
-    ``cluster`` with the vectors dropped; report = silhouette, sizes, k."""
+    ``cluster`` with the vectors dropped; report = silhouette, sizes, k, centres.
+
+    Labels are numbered by the clusters' centres, from the fewest trips a route up (then
+    by the other features), so they do not depend on where k-means began."""
     # a row a route: staged once for scaler, k-means, evaluator and output
     routes = staged(route_features(df, min_trips), "routes")
     model = cluster_pipeline(k, seed, max_iter).fit(routes)
     scored = model.transform(routes)
     silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(scored)
-    km = model.stages[-1]
+    scaler, km = model.stages[-2], model.stages[-1]
+    mean, std = scaler.mean.toArray(), scaler.std.toArray()
+    raw = [tuple(float(x) for x in np.asarray(c) * std + mean) for c in km.clusterCenters()]  # in the units of the features
+    order = sorted(range(len(raw)), key=lambda i: raw[i])
+    label = {old: new for new, old in enumerate(order)}
+    number = F.element_at(F.create_map(*[F.lit(x) for pair in label.items() for x in pair]), F.col("cluster"))
     report = {
         "silhouette": float(silhouette),
-        "cluster_sizes": list(km.summary.clusterSizes),
+        "cluster_sizes": [int(km.summary.clusterSizes[i]) for i in order],
         "k": k,
+        "centres": [raw[i] for i in order],
+        "scale": [float(x) for x in std],
     }
-    return scored.drop("features_raw", "features"), report
+    return scored.withColumn("cluster", number.cast("int")).drop("features_raw", "features"), report
+
+
+def centre_table(spark: SparkSession, report: dict) -> DataFrame:
+    """The centres as rows: cluster, routes, and a column a feature in its own units."""
+    rows = [(i, n, *centre) for i, (n, centre) in enumerate(zip(report["cluster_sizes"], report["centres"]))]
+    return spark.createDataFrame(rows, "cluster int, routes long, " + ", ".join(f"{f} double" for f in FEATURES))
+
+
+def nearest_centre(clusters: DataFrame, centres: DataFrame, scale) -> DataFrame:
+    """Adds ``nearest``: the cluster whose written centre is nearest to each route in
+    scaled features (ties to the smaller number)."""
+    listed = centres.agg(F.sort_array(F.collect_list(F.struct("cluster", *FEATURES))).alias("_centres"))  # k rows
+    square = lambda c: sum((((F.col(f).cast("double") - c[f]) / (s or 1.0)) ** 2 for f, s in zip(FEATURES, scale)), F.lit(0.0))
+    away = F.transform("_centres", lambda c: F.struct(square(c).alias("d"), c["cluster"].alias("cluster")))
+    return clusters.join(F.broadcast(listed)).withColumn("nearest", F.array_min(away)["cluster"]).drop("_centres")

@@ -13,22 +13,46 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def layout(df: DataFrame, partition_cols=("trip_date",), sort_cols=(), bounded: bool = False) -> DataFrame:
-    """M5: cluster rows by the partition columns (REBALANCE lets AQE split a
-    partition that holds a hot day, so no task writes a third of the data,
-    and merge small ones) and sort inside each file by the sort keys.
+MONTH = "trip_month"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: A write of at most so many rows a slot goes through a plain hash: no partition of
+#: it can be too large for a task.
+PLAIN_ROWS = 1_000_000
 
-    ``bounded``: no partition can be large (a mart's rows a day), so a plain hash
-    keeps many small partitions on many tasks instead of merging them into one."""
+
+def slots(spark) -> int:
+    """Tasks that can run at once."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
+def writing_tasks(spark, rows: int | None) -> int | None:
+    """Tasks for a partitioned write of ``rows`` rows: every slot where no partition can
+    be large, NULL (a rebalance, which splits large partitions) where one might be."""
+    return slots(spark) if rows is not None and rows <= PLAIN_ROWS * slots(spark) else None
+
+
+def layout(df: DataFrame, partition_cols=("trip_date",), sort_cols=(), tasks: int | None = None) -> DataFrame:
+    """M5: cluster rows by the partition columns and sort inside each file by the sort
+    keys.
+
+    By default through REBALANCE: adaptive execution splits a partition that holds a
+    hot day, so no task writes a third of the data, and merges small ones.  With
+    ``tasks`` a plain hash over that many tasks, which are not merged: for marts and
+    other small outputs, where the number of files is the cost."""
     if isinstance(partition_cols, str):
         partition_cols = (partition_cols,)
     partition_cols = tuple(partition_cols or ())
     if partition_cols:
-        df = df.repartition(*partition_cols) if bounded else df.hint("rebalance", *partition_cols)
+        df = df.repartition(tasks, *partition_cols) if tasks else df.hint("rebalance", *partition_cols)
     keys = [*partition_cols, *[c for c in sort_cols if c not in partition_cols]]
     return df.sortWithinPartitions(*keys) if keys else df
 
 
+def by_month(df: DataFrame, date_col: str = "trip_date") -> DataFrame:
+    """The month of ``date_col`` as partition column ``trip_month`` (NULL without a date)."""
+    return df.withColumn(MONTH, F.date_format(date_col, "yyyy-MM"))
+
+
 def write_counted(
     df: DataFrame,
     path: str,
@@ -39,14 +63,14 @@ def write_counted(
     options: dict | None = None,
     cluster: bool = True,
     sort_by=(),
-    bounded: bool = False,
+    tasks: int | None = None,
 ) -> int:
     """K1/K2/K3/K8: write and return the row count from the same job.
     Partitioned writes are clustered by the partition columns first
     (``cluster``), so each partition gets few, large files."""
     obs = Observation(f"write-{abs(hash(path)) % 10**8}")
     if partition_by and cluster:
-        df = layout(df, partition_by, sort_by, bounded)
+        df = layout(df, partition_by, sort_by, tasks)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)
     if partition_by:
@@ -73,6 +97,12 @@ def exists(spark, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
+def remove(spark, path: str) -> None:
+    """Delete a folder, where it exists."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def partition_values(spark, path: str, partition_col: str) -> set[str]:
     """Values of the first-level partition folders below ``path``."""
     jvm = spark.sparkContext._jvm
@@ -84,16 +114,17 @@ def partition_values(spark, path: str, partition_col: str) -> set[str]:
     return {n.split("=", 1)[1] for n in names if n.startswith(f"{partition_col}=")}
 
 
-def replace_partitions(df: DataFrame, path: str, values, partition_col: str = "trip_date", sort_by=(), bounded: bool = False) -> int:
+def replace_partitions(df: DataFrame, path: str, values, partition_col: str = "trip_date", sort_by=(), tasks: int | None = None) -> int:
     """K2 for a list of touched partitions: ``df`` holds all that is left of them.
     Those it has rows for are overwritten, the others are deleted."""
-    rows = overwrite_partitioned(df, path, partition_col, dynamic=True, sort_by=sort_by, bounded=bounded)
+    rows = overwrite_partitioned(df, path, partition_col, dynamic=True, sort_by=sort_by, tasks=tasks)
     spark = df.sparkSession
-    left = {str(r[0]) for r in df.select(partition_col).distinct().collect()}  # at most the touched partitions
+    name = lambda v: NULL_PARTITION if v is None else str(v)
+    left = {name(r[0]) for r in df.select(partition_col).distinct().collect()}  # at most the touched partitions
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for value in {str(v) for v in values} - left:
+    for value in {name(v) for v in values} - left:
         fs.delete(jvm.org.apache.hadoop.fs.Path(folder, f"{partition_col}={value}"), True)
     return rows
 
@@ -104,7 +135,7 @@ def append_partitioned(df: DataFrame, path: str, partition_col: str) -> int:
 
 
 def overwrite_partitioned(
-    df: DataFrame, path: str, partition_col: str = "trip_date", dynamic: bool = True, sort_by=(), bounded: bool = False
+    df: DataFrame, path: str, partition_col: str = "trip_date", dynamic: bool = True, sort_by=(), tasks: int | None = None
 ) -> int:
     """K2: dynamic (replace touched partitions) or static (full refresh)."""
     return write_counted(
@@ -114,7 +145,7 @@ def overwrite_partitioned(
         partition_by=(partition_col,),
         overwrite_mode="dynamic" if dynamic else "static",
         sort_by=sort_by,
-        bounded=bounded,
+        tasks=tasks,
     )
 
 

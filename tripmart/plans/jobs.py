@@ -24,11 +24,20 @@ from tripmart.schema import SERVING_CONTRACTS, SERVING_SORT_KEYS
 from tripmart.session import staged
 from tripmart.sources import events
 from tripmart.sources.landing import add_lineage, missing_columns, read_landing
+from tripmart.sources.quoted import read_quoted
 
 COPIES = "_copies"
 SORT_KEYS = {f"gold_{k}": v for k, v in SERVING_SORT_KEYS.items()}
 
 
+def _raw(spark: SparkSession, landing: str, multi_line: bool, files: list[str] | None = None) -> DataFrame:
+    """Landing rows as text, of all files or of the given ones."""
+    if multi_line:
+        return read_quoted(spark, landing, base_path=landing, keep_corrupt=True, files=files)
+    raw = read_landing(spark, landing, base_path=landing, keep_corrupt=True)
+    return raw if files is None else raw.filter(F.col("_metadata.file_path").isin(files))  # prunes the list of files
+
+
 def ingest(
     spark: SparkSession, landing: str, bronze: str, run_id: str | None = None, strict: bool = False,
     ledger: str | None = None, multi_line: bool = False,
@@ -36,24 +45,30 @@ def ingest(
     """Landing CSV -> expected-column check -> lineage -> append bronze
     partitioned by ingestion date.
 
-    With ``ledger`` (S6) only files whose content no earlier run ingested are
-    appended, one file for each content; the ledger is written last.  Lines that
-    do not parse are kept with their text in ``_corrupt_record``."""
-    raw = read_landing(spark, landing, base_path=landing, multi_line=multi_line, keep_corrupt=True)
-    missing = missing_columns(raw, strict=strict)
+    With ``ledger`` (S6) files that it lists unchanged are not opened.  The rows of the
+    others are read once and staged; of those only files whose content no earlier run
+    ingested are appended, one file for each content.  The ledger is written last.
+    Lines that do not parse are kept with their text in ``_corrupt_record``."""
     run_id = run_id or str(uuid.uuid4())
-    rows = add_lineage(raw, run_id=run_id)
-    fresh = None
-    if ledger is not None:
-        data = [c for c in raw.columns if c not in ("year", "month")]
-        seen = spark.read.schema(events.LEDGER_SCHEMA).parquet(ledger) if sinks.exists(spark, ledger) else None
-        # one row a file; the ledger must not be read while it is appended to
-        fresh = staged(events.unseen_files(events.content_fingerprints(rows, data), seen), "fresh-files")
-        rows = rows.join(fresh.select("_source_path"), "_source_path", "left_semi")
-    n = sinks.append_partitioned(rows, bronze, "_ingestion_date")
-    if fresh is not None:
-        events.record(fresh, ledger)
-    return {"rows": n, "missing_columns": missing, "run_id": run_id}
+    if ledger is None:
+        raw = _raw(spark, landing, multi_line)
+        missing = missing_columns(raw, strict=strict)
+        return {"rows": sinks.append_partitioned(add_lineage(raw, run_id=run_id), bronze, "_ingestion_date"), "missing_columns": missing, "run_id": run_id}
+    seen = spark.read.schema(events.LEDGER_SCHEMA).parquet(ledger) if sinks.exists(spark, ledger) else None
+    files = staged(events.unlisted_files(events.file_identities(spark, landing), seen), "new-files")
+    paths = [r[0] for r in files.select("_source_path").collect()]  # names of this run's new files
+    if not paths:
+        return {"rows": 0, "missing_columns": [], "run_id": run_id, "files_read": 0}
+    raw = _raw(spark, landing, multi_line, paths)
+    missing = missing_columns(raw, strict=strict)
+    data = [c for c in raw.columns if c not in ("year", "month", "_source_path")]
+    rows = staged(add_lineage(raw, run_id=run_id), "new-rows")
+    # the ledger must not be read while it is appended to
+    judged = staged(events.judged_files(files, events.content_fingerprints(rows, data), seen), "judged-files")
+    fresh = rows.join(judged.filter("ingested").select("_source_path"), "_source_path", "left_semi")
+    n = sinks.append_partitioned(fresh.select(*rows.columns), bronze, "_ingestion_date")
+    events.record(judged, ledger)
+    return {"rows": n, "missing_columns": missing, "run_id": run_id, "files_read": len(paths)}
 
 
 def refine_job(
@@ -76,8 +91,9 @@ def refine_job(
     flagged = staged(flag_and_dedup(src, rules, on_unknown, prefilter_nulls, copies=COPIES), "flagged")
     counts = quality.run_counts(flagged, COPIES).first()
     clean, quar = split_silver(flagged.drop(COPIES), rules, compat, on_unknown)
-    sinks.overwrite_partitioned(quar, quarantine, "_ingestion_date", dynamic=False)
-    sinks.overwrite_partitioned(clean, silver, "trip_date", dynamic=False)
+    tasks = sinks.writing_tasks(spark, counts["rows_deduped"])
+    sinks.overwrite_partitioned(quar, quarantine, "_ingestion_date", dynamic=False, tasks=tasks)
+    sinks.overwrite_partitioned(clean, silver, "trip_date", dynamic=False, tasks=tasks)
     out = {k: counts[k] for k in ("rows_read", "duplicates_removed", "rows_clean", "rows_quarantined", "rows_dropped")}
     if prefilter_nulls:  # rows filtered out beforehand were read too
         filtered = src.count() - counts["rows_read"]
@@ -85,23 +101,34 @@ def refine_job(
     return out
 
 
-def build_marts(spark: SparkSession, silver: str, gold: str, cache: bool = False, days=None) -> dict:
-    """The four daily marts by trip_date, each scanning only its columns.
-    All of silver replaces all of gold; with ``days`` only those days are
-    recomputed and replaced, and emptied days deleted."""
+def build_marts(spark: SparkSession, silver: str, gold: str, cache: bool = False, days=None, by: str = "month") -> dict:
+    """The four daily marts, each scanning only its columns, clustered by day.
+
+    A mart has a handful of rows a day, so its files are monthly by default, with
+    ``trip_date`` as a sorted column whose statistics prune days; ``by="day"`` gives a
+    folder a day.  All of silver replaces all of gold; with ``days`` only those days
+    (their months) are recomputed and replaced, and emptied ones deleted."""
+    if by not in ("month", "day"):
+        raise ValueError("by must be 'month' or 'day'")
     df = spark.read.parquet(silver)
+    unit = "trip_date" if by == "day" else sinks.MONTH
+    touched = None
     if days is not None:
-        df = df.filter(F.col("trip_date").isin(list(days)))
+        touched = sorted({str(d) if by == "day" else str(d)[:7] for d in days})
+        day = F.col("trip_date").cast("string")
+        df = df.filter(day.isin(touched) if by == "day" else F.substring(day, 1, 7).isin(touched))
     if cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = {}
         for name, fn in marts.MARTS.items():
             path = f"{gold}/{name}"
-            if days is None:
-                counts[name] = sinks.overwrite_partitioned(fn(df), path, "trip_date", dynamic=False, sort_by=SORT_KEYS[name], bounded=True)
+            mart = fn(df) if by == "day" else sinks.by_month(fn(df))
+            layout = {"partition_col": unit, "sort_by": SORT_KEYS[name], "tasks": sinks.slots(spark)}
+            if touched is None:
+                counts[name] = sinks.overwrite_partitioned(mart, path, dynamic=False, **layout)
             else:
-                counts[name] = sinks.replace_partitions(staged(fn(df), name), path, days, sort_by=SORT_KEYS[name], bounded=True)
+                counts[name] = sinks.replace_partitions(staged(mart, name), path, touched, **layout)
         return counts
     finally:
         if cache:
@@ -110,8 +137,10 @@ def build_marts(spark: SparkSession, silver: str, gold: str, cache: bool = False
 
 def backfill(spark: SparkSession, silver: str, out: str, scalable: bool = True) -> dict:
     """H1 over the whole silver history, replaced as a whole."""
-    enriched = history.enrich_history(spark.read.parquet(silver), scalable=scalable)
-    return {"rows": sinks.overwrite_partitioned(enriched, out, "trip_date", dynamic=False)}
+    trips = spark.read.parquet(silver)
+    enriched = history.enrich_history(trips, scalable=scalable)
+    tasks = sinks.writing_tasks(spark, trips.count())  # a count of Parquet reads footers only
+    return {"rows": sinks.overwrite_partitioned(enriched, out, "trip_date", dynamic=False, tasks=tasks)}
 
 
 def score_job(spark: SparkSession, silver: str, out: str, model=None, compat: bool = False) -> dict:
@@ -119,20 +148,23 @@ def score_job(spark: SparkSession, silver: str, out: str, model=None, compat: bo
     object with ``predict_proba``, a fitted ``PipelineModel``, or None."""
     trips = spark.read.parquet(silver)
     scored = scoring.score(trips, model=model, compat=compat)
-    rows = sinks.overwrite_partitioned(scored, out, "trip_date", dynamic=False)
+    rows = sinks.overwrite_partitioned(scored, out, "trip_date", dynamic=False, tasks=sinks.writing_tasks(spark, trips.count()))
     return {"rows": rows, "model_used": "heuristic" if model is None else type(model).__name__}
 
 
-def cluster_job(spark: SparkSession, silver: str, out: str, k: int = 6) -> dict:
-    """A5 + F5-F9, route clusters overwritten unpartitioned."""
+def cluster_job(spark: SparkSession, silver: str, out: str, k: int = 6, centres: str | None = None) -> dict:
+    """A5 + F5-F9, route clusters overwritten unpartitioned, and with ``centres``
+    the k centres as a table of their own."""
     clusters, report = segment.segment_routes(spark.read.parquet(silver), k=k)
     report["rows"] = sinks.overwrite(clusters, out)
+    if centres:
+        sinks.overwrite(segment.centre_table(spark, report), centres)
     return report
 
 
 def publish_job(spark: SparkSession, gold: str, serving_root: str, prefix: str = "serving_", on_violation: str = "refuse") -> DataFrame:
     """Check the four marts against their contracts, load the typed serving
-    tables, analyze them and return the row counts after the load."""
+    tables as new versions, analyze them, show them and return their row counts."""
     frames = {key: spark.read.parquet(f"{gold}/gold_{key}") for key in SERVING_CONTRACTS}
     return serve.publish(spark, frames, serving_root, prefix, on_violation=on_violation)
 
@@ -154,6 +186,8 @@ def main(argv=None) -> int:
     p.add_argument("--output", required=True, help="bronze / silver / gold / output path")
     p.add_argument("--quarantine", default="", help="quarantine path (refine)")
     p.add_argument("--k", type=int, default=6, help="clusters (cluster)")
+    p.add_argument("--centres", default=None, help="path for the centres (cluster)")
+    p.add_argument("--by", default="month", choices=["month", "day"], help="folders of the marts (gold)")
     p.add_argument("--ledger", default=None, help="content ledger path (ingest)")
     p.add_argument("--multi-line", action="store_true", help="quoted line breaks in CSV (ingest)")
     p.add_argument("--model", default=None, help="folder of a saved PipelineModel (score)")
@@ -169,7 +203,7 @@ def main(argv=None) -> int:
         res = refine_job(spark, a.input, a.output, a.quarantine or f"{a.output.rstrip('/')}_quarantine",
                          on_unknown=a.on_unknown)
     elif a.mode == "gold":
-        res = build_marts(spark, a.input, a.output)
+        res = build_marts(spark, a.input, a.output, by=a.by)
     elif a.mode == "backfill":
         res = backfill(spark, a.input, a.output)
     elif a.mode == "score":
@@ -180,7 +214,7 @@ def main(argv=None) -> int:
             model = PipelineModel.load(a.model)
         res = score_job(spark, a.input, a.output, model=model)
     elif a.mode == "cluster":
-        res = cluster_job(spark, a.input, a.output, k=a.k)
+        res = cluster_job(spark, a.input, a.output, k=a.k, centres=a.centres)
     elif a.mode == "report":
         res = report_job(spark, a.report, a.input, a.output, a.as_of)
     else:

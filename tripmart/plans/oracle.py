@@ -352,10 +352,6 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT *, '{name}' AS mart FROM ({body})"
         for name, body in (("gold_daily_kpis", a1), ("gold_route_performance", A2_BODY), ("gold_cargo_mix", A3_BODY), ("gold_operator_ranking", A4_BODY))
     )
-    clusters = with_silver(
-        f"""SELECT COUNT(*) AS rows, true AS labels_from_0, true AS labels_below_k, true AS sizes_add_up, true AS silhouette_in_range
-FROM ({A5_BODY})"""
-    )
     out.update(
         {
             "a5_route_features": with_silver(A5_BODY),
@@ -384,6 +380,7 @@ FROM ty""",
                     for t, body in (("daily_kpis", a1), ("route_performance", A2_BODY), ("cargo_mix", A3_BODY), ("operator_ranking", A4_BODY))
                 )
             ),
+            "j7_roll_back": "",
             "k6_incremental_load": with_silver(
                 f"SELECT {_contract_select(SERVING_CONTRACTS['route_performance'])} FROM ({A2_BODY})"
             ),
@@ -424,7 +421,8 @@ SELECT * EXCLUDE (own), 'dev-' || substring(replace(etag, '-', ''), 1, 20) || CA
 SELECT 'year=' || CAST(year AS VARCHAR) || '/month=' || CAST(month AS VARCHAR) AS source_partition,
        COUNT(*) AS rows
 FROM ty WHERE year > 1997 GROUP BY 1""",
-            "t3_stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
+            "t3_stream_dedup": _stream_dedup(),
+            "t3_stream_dedup_timers": _stream_dedup(),
             "t4_late_days": with_silver(four),
             "t2_stream_quarantine": with_silver(
                 "SELECT _failure_reason, _ingestion_date, COUNT(*) AS rows FROM quarantine GROUP BY 1, 2"
@@ -462,11 +460,43 @@ UNION ALL SELECT 'none', CAST(0 AS BIGINT), CAST(0 AS BIGINT)"""
             ),
             "f2_model_score": with_silver(_model_score()),
             "f2_spark_model_score": with_silver(
-                f"""SELECT COUNT(*) AS rows, COUNT_IF(known) AS scored, COUNT_IF(NOT known) AS unscored, 'PipelineModel' AS model_used
-FROM (SELECT {" AND ".join(f"{x} IS NOT NULL" for x in _MODEL_FEATURES)} AS known FROM silver)"""
+                f"""SELECT trip_id, departure_time, l_partkey, l_suppkey, {" AND ".join(f"{x} IS NOT NULL" for x in _MODEL_FEATURES)} AS scored, true AS agrees
+FROM silver"""
+            ),
+            "f7_clusters": with_silver(f"SELECT *, true AS in_nearest FROM ({A5_BODY})"),
+            "j6_cluster_job": with_silver(f"SELECT *, true AS in_nearest FROM ({A5_BODY})"),
+            "f8_cluster_sizes": with_silver(
+                f"""SELECT CAST(6 AS BIGINT) AS clusters, COUNT(*) AS routes, true AS sizes_hold, true AS centres_are_means, true AS numbered_by_centre,
+       true AS silhouette_in_range FROM ({A5_BODY})"""
+            ),
+            "m5_bucketed_join": with_silver(
+                f"""SELECT trip_date, origin_station, destination_station,
+       {R("r.total_revenue_brl / nullif(d.total_revenue_brl, 0) * 100", 2)} AS share_of_day_pct,
+       CAST(rank() OVER (PARTITION BY trip_date ORDER BY r.total_revenue_brl DESC NULLS LAST) AS INTEGER) AS rank_in_day
+FROM ({A2_BODY}) r JOIN ({a1}) d USING (trip_date)"""
+            ),
+            "a6_from_partials": out["a6_daily_30d"],
+            "a7_from_partials": out["a7_cargo_90d"],
+            "a8_from_partials": out["a8_top20_routes"],
+            "a1_a4_from_partials": with_silver(
+                f"""SELECT * FROM (WITH corrected AS (
+  SELECT * REPLACE (CASE WHEN cargo_weight_tons > 0 THEN {R("freight_value_brl / cargo_weight_tons", 2)} END AS revenue_per_ton,
+                    {R("freight_value_brl - fuel_cost_brl", 2)} AS margin_brl)
+  FROM (SELECT * REPLACE (CASE WHEN month(trip_date) = 3 AND l_partkey % 7 = 0 THEN freight_value_brl * 2 ELSE freight_value_brl END AS freight_value_brl) FROM silver))
+{four.replace("FROM silver", "FROM corrected")})"""
+            ),
+            "j1_changed_landing": f"""WITH {_TRIPS_YM},
+years AS (SELECT year, COUNT(*) AS n, row_number() OVER (ORDER BY CAST(year AS VARCHAR)) <= 3 AS first FROM ty GROUP BY year)
+SELECT CAST(0 AS INTEGER) AS run, true AS read, CAST(SUM(n) FILTER (first) AS BIGINT) AS rows FROM years
+UNION ALL SELECT 1, true, CAST(SUM(n) FILTER (NOT first) AS BIGINT) FROM years UNION ALL SELECT 2, false, 0 UNION ALL SELECT 3, true, 0""",
+            "j9_command_line": with_silver(
+                f"""SELECT 'silver' AS output, COUNT(*) AS rows FROM silver UNION ALL SELECT 'quarantine', COUNT(*) FROM quarantine
+UNION ALL SELECT 'scores', COUNT(*) FROM silver UNION ALL SELECT 'report', COUNT(*) FROM ({A7_BODY})
+UNION ALL SELECT mart, COUNT(*) FROM ({four}) GROUP BY mart"""
+            ),
+            "c_session": with_silver(
+                f"""SELECT mart, COUNT(*) AS rows, true AS settings, 'snappy' AS codec, false AS still_cached FROM ({four}) GROUP BY mart"""
             ),
-            "f7_clusters": clusters,
-            "j6_cluster_job": clusters,
             "s1_drift": f"""WITH {TRIPS}
 SELECT trip_id, cargo_type, CASE WHEN l_partkey % 2 = 1 THEN operator END AS operator, CAST(l_partkey AS VARCHAR) AS l_partkey FROM trips""",
             "s1_corrupt": f"WITH {TRIPS}\nSELECT COUNT(*) AS rows, COUNT_IF(l_partkey % 9 = 0) AS corrupt FROM trips",
@@ -497,6 +527,7 @@ UNION ALL SELECT 'operator_ranking', COUNT(*) FROM ({A4_BODY})"""
         }
     )
     out["m7_statistics"] = out["a9_load_counts"]
+    out["j7_roll_back"] = out["k5_serving_roundtrip"]
     return out
 
 
@@ -507,6 +538,25 @@ _MODEL_FEATURES = [
 ]
 
 
+def _stream_dedup() -> str:
+    """The best copy among those that are not late.  The watermark of a micro-batch is
+    the newest departure of the batches before it less 60 days; a batch drops what the
+    watermark of the batch before it has passed, and in the end the keys that the last
+    watermark has passed are out."""
+    return f"""WITH {TRIPS},
+{BRONZE},
+{typed()},
+{flagged()},
+cut AS (SELECT *, least(3, CASE WHEN departure_time < '1994-07-01' THEN 0 WHEN departure_time < '1997-01-01' THEN 1 ELSE 2 END + l_partkey % 3) AS file FROM flagged),
+newest AS (SELECT file, max(max(departure_time)) OVER (ORDER BY file) - INTERVAL 60 DAY AS passed FROM cut GROUP BY file),
+heard AS (SELECT c.* EXCLUDE (file) FROM cut c LEFT JOIN newest n ON n.file = c.file - 2 WHERE n.passed IS NULL OR c.departure_time > n.passed),
+{dedup("heard")}
+SELECT * EXCLUDE ({", ".join(DQ_COLS + DERIVED)}) FROM deduped WHERE departure_time <= (SELECT max(passed) FROM newest)"""
+
+
+DERIVED = ["trip_date", "departure_hour", "trip_duration_hours", "revenue_per_ton", "margin_brl", "is_delayed"]
+
+
 def _model_score() -> str:
     from tripmart.plans.queries import FIXED_MODEL
 

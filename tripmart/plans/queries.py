@@ -6,10 +6,13 @@ driver's tables (through the ``trips`` view).  Names follow the inventory IDs.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,11 +20,12 @@ from tripmart.operators import history as h
 from tripmart.operators import marts as m
 from tripmart.operators import quality as q
 from tripmart.operators import reports as r
+from tripmart.operators import partials as pt
 from tripmart.operators import scoring as sc
 from tripmart.operators import segment as seg
 from tripmart.operators import serve, sinks
 from tripmart.operators.dedup import dedup
-from tripmart.operators.refine import refine
+from tripmart.operators.refine import derive_columns, refine
 from tripmart.plans.pipeline import (
     bronze_trips,
     flag_and_dedup,
@@ -211,6 +215,35 @@ def f1_scalar_features(spark, sf_dir):
     )
 
 
+def _partials(spark, sf_dir):
+    """Daily partials of silver, staged once a session."""
+    return spark.read.parquet(_once(spark, sf_dir, "partials", lambda path: pt.partials(silver_trips(spark, sf_dir)).write.parquet(path)))
+
+
+def a6_from_partials(spark, sf_dir):
+    return pt.daily_report(_partials(spark, sf_dir), 30)
+
+
+def a7_from_partials(spark, sf_dir):
+    return pt.cargo_ranking(_partials(spark, sf_dir), 90)
+
+
+def a8_from_partials(spark, sf_dir):
+    return pt.top_routes(_partials(spark, sf_dir), 30)
+
+
+def a1_a4_from_partials(spark, sf_dir):
+    """A1-A4 after a correction: March's trips of every seventh part are taken back from
+    the partials of all trips, and come again with their value doubled."""
+    silver = staged(silver_trips(spark, sf_dir), "silver")
+    moved = silver.filter((F.month("trip_date") == 3) & (F.col("l_partkey") % 7 == 0))
+    doubled = derive_columns(moved.withColumn("freight_value_brl", F.col("freight_value_brl") * 2))
+    delta = pt.partials(moved, F.lit(-1)).unionByName(pt.partials(doubled))
+    now = pt.merge(_partials(spark, sf_dir).unionByName(delta))
+    parts = [fn(now).withColumn("mart", F.lit(name)) for name, fn in pt.MARTS.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 # ── sinks, sources, serving, jobs (each writes below spark.checkpoint.dir) ──
 
 
@@ -278,9 +311,10 @@ def k2_overwrite_roundtrip(spark, sf_dir):
     overwritten again (dynamic mode replaces only those days) and the table read
     back still equals silver once."""
     path = scratch_path(spark, "silver")
-    silver = spark.read.parquet(f"{_lake(spark, sf_dir)}/silver")
-    sinks.overwrite_partitioned(silver, path, dynamic=False)
-    sinks.overwrite_partitioned(r.last_days(silver, 90), path)
+    silver = spark.read.parquet(f"{_refined(spark, sf_dir)}/silver")
+    tasks = sinks.writing_tasks(spark, silver.count())
+    sinks.overwrite_partitioned(silver, path, dynamic=False, tasks=tasks)
+    sinks.overwrite_partitioned(r.last_days(silver, 90), path, tasks=tasks)
     return spark.read.parquet(path)
 
 
@@ -316,31 +350,45 @@ def k3_overwrite_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-_LAKES: dict[tuple[str, str], str] = {}
+_BUILT: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark, sf_dir, name, build):
+    """The folder that ``build(folder)`` fills, made once a session and input folder
+    under spark.checkpoint.dir; a query asks for the layers it reads only."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _BUILT:
+        path = scratch_path(spark, name)
+        build(path)
+        _BUILT[key] = path
+    return _BUILT[key]
+
 
+def _bronze(spark, sf_dir):
+    """K1: bronze by ingestion date."""
+    return _once(spark, sf_dir, "bronze", lambda path: sinks.append_partitioned(bronze_trips(spark, sf_dir), path, "_ingestion_date"))
 
-def _lake(spark, sf_dir):
-    """bronze (K1) -> J2 -> silver + quarantine -> J3 -> gold, built once per
-    session and input folder under spark.checkpoint.dir."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        root = scratch_path(spark, "lake")
-        sinks.append_partitioned(bronze_trips(spark, sf_dir), f"{root}/bronze", "_ingestion_date")
-        jobs.refine_job(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", rules=trips_rules())
-        jobs.build_marts(spark, f"{root}/silver", f"{root}/gold")
-        _LAKES[key] = root
-    return _LAKES[key]
+
+def _refined(spark, sf_dir):
+    """Bronze -> <folder>/silver and <folder>/quarantine."""
+    return _once(spark, sf_dir, "refined", lambda path: jobs.refine_job(
+        spark, _bronze(spark, sf_dir), f"{path}/silver", f"{path}/quarantine", rules=trips_rules()))
+
+
+def _gold(spark, sf_dir):
+    """Silver -> the four marts."""
+    return _once(spark, sf_dir, "gold", lambda path: jobs.build_marts(spark, f"{_refined(spark, sf_dir)}/silver", path))
 
 
 def j2_refine_job(spark, sf_dir):
     """J2 end to end: bronze Parquet -> silver files, read back."""
-    return spark.read.parquet(f"{_lake(spark, sf_dir)}/silver")
+    return spark.read.parquet(f"{_refined(spark, sf_dir)}/silver")
 
 
 def j2_quarantine_job(spark, sf_dir):
     """J2's quarantine files: rows per reason and ingestion month."""
     return (
-        spark.read.parquet(f"{_lake(spark, sf_dir)}/quarantine")
+        spark.read.parquet(f"{_refined(spark, sf_dir)}/quarantine")
         .groupBy("_failure_reason", "_ingestion_date")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
@@ -354,7 +402,7 @@ def _stacked_marts(spark, gold):
 
 def j3_gold_job(spark, sf_dir):
     """All four marts as written by the gold job."""
-    return _stacked_marts(spark, f"{_lake(spark, sf_dir)}/gold")
+    return _stacked_marts(spark, _gold(spark, sf_dir)).drop(sinks.MONTH)
 
 
 def _shrunk(bronze):
@@ -385,18 +433,17 @@ def j2_clean_only(spark, sf_dir):
     return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
 
 
-_SERVING: dict[tuple[str, str], str] = {}
+def _serving(spark, sf_dir):
+    """J7 once per session: gold -> versions of the typed serving tables; returns the
+    table name prefix."""
+    def build(path):
+        jobs.publish_job(spark, _gold(spark, sf_dir), path, prefix=_prefix(path))
+
+    return _prefix(_once(spark, sf_dir, "serving", build))
 
 
-def _serving(spark, sf_dir):
-    """J7 once per session: gold -> typed serving tables; returns the table
-    name prefix."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SERVING:
-        prefix = f"serving_{uuid.uuid4().hex[:8]}_"
-        jobs.publish_job(spark, f"{_lake(spark, sf_dir)}/gold", scratch_path(spark, "serving"), prefix=prefix)
-        _SERVING[key] = prefix
-    return _SERVING[key]
+def _prefix(path):
+    return "serving_" + path.rsplit("-", 1)[1][:8] + "_"
 
 
 def a9_load_counts(spark, sf_dir):
@@ -408,19 +455,37 @@ def a9_load_counts(spark, sf_dir):
     )
 
 
-def k5_serving_roundtrip(spark, sf_dir):
-    """K5: all four marts through their typed serving tables (decimals, int)."""
-    prefix = _serving(spark, sf_dir)
-    parts = [spark.table(f"{prefix}{t}").drop("loaded_at", serve.MONTH).withColumn("mart", F.lit(t)) for t in SERVING_CONTRACTS]
+def _typed_marts(spark, prefix):
+    """All four serving tables, one below the other, decimals as doubles."""
+    parts = [spark.table(f"{prefix}{t}").drop("loaded_at").withColumn("mart", F.lit(t)) for t in SERVING_CONTRACTS]
     wide = [p.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in p.dtypes]) for p in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), wide)
 
 
+def k5_serving_roundtrip(spark, sf_dir):
+    """K5: all four marts through their typed serving tables (decimals, int)."""
+    return _typed_marts(spark, _serving(spark, sf_dir))
+
+
+def j7_roll_back(spark, sf_dir):
+    """A second load, of half the marts, is shown and then rolled back: readers see
+    the first version again, whole."""
+    marts = {t: spark.read.parquet(f"{_gold(spark, sf_dir)}/gold_{t}") for t in SERVING_CONTRACTS}
+    root = scratch_path(spark, "serving")
+    prefix = _prefix(root)
+    serve.publish(spark, marts, root, prefix)
+    serve.publish(spark, {t: df.filter(F.month("trip_date") > 6) for t, df in marts.items()}, root, prefix)
+    for t in SERVING_CONTRACTS:
+        serve.roll_back(spark, f"{prefix}{t}")
+    return _typed_marts(spark, prefix)
+
+
 def m7_statistics(spark, sf_dir):
     """M7: row counts that ANALYZE left in the catalog."""
     prefix, rows = _serving(spark, sf_dir), []
     for t in SERVING_CONTRACTS:
-        found = spark.sql(f"DESCRIBE EXTENDED {prefix}{t}").filter("col_name = 'Statistics'").first()["data_type"]
+        shown = serve.current(spark, f"{prefix}{t}")
+        found = spark.sql(f"DESCRIBE EXTENDED {shown}").filter("col_name = 'Statistics'").first()["data_type"]
         rows.append((t, int(found.split(",")[1].split()[0])))
     return spark.createDataFrame(rows, "table_name string, row_count long")
 
@@ -433,6 +498,14 @@ def m5_sorted_files(spark, sf_dir):
     return t.select((before > key).alias("bad")).agg(F.count(F.lit(1)).alias("rows"), F.count_if("bad").alias("out_of_order"))
 
 
+def m5_bucketed_join(spark, sf_dir):
+    """M5: route performance with the day's totals, joined and ranked on the distribution
+    key without an exchange."""
+    prefix = _serving(spark, sf_dir)
+    found = serve.with_day_totals(spark, f"{prefix}route_performance", f"{prefix}daily_kpis")
+    return found.select("trip_date", "origin_station", "destination_station", "share_of_day_pct", "rank_in_day")
+
+
 def k6_incremental_load(spark, sf_dir):
     """K6: a table loaded without the newest 60 days gets them by an incremental
     load of the months they touch; it then equals a full load."""
@@ -480,7 +553,7 @@ def m4_contract_violations(spark, sf_dir):
 def m6_registered_layer(spark, sf_dir):
     """M6: silver files registered as a catalog table, queried by SQL."""
     name = f"silver_freight_{uuid.uuid4().hex[:8]}"
-    serve.register_layer(spark, name, f"{_lake(spark, sf_dir)}/silver")
+    serve.register_layer(spark, name, f"{_refined(spark, sf_dir)}/silver")
     return spark.sql(
         f"SELECT cargo_type, operator, COUNT(*) AS total_trips, COUNT(DISTINCT trip_date) AS days FROM {name} "
         "GROUP BY cargo_type, operator"
@@ -489,13 +562,13 @@ def m6_registered_layer(spark, sf_dir):
 
 def j4_backfill_job(spark, sf_dir):
     out = scratch_path(spark, "history")
-    jobs.backfill(spark, f"{_lake(spark, sf_dir)}/silver", out)
+    jobs.backfill(spark, f"{_refined(spark, sf_dir)}/silver", out)
     return spark.read.parquet(out)
 
 
 def j5_score_job(spark, sf_dir):
     out = scratch_path(spark, "scores")
-    jobs.score_job(spark, f"{_lake(spark, sf_dir)}/silver", out)
+    jobs.score_job(spark, f"{_refined(spark, sf_dir)}/silver", out)
     return spark.read.parquet(out)
 
 
@@ -511,34 +584,55 @@ def f2_model_score(spark, sf_dir):
 
 
 def f2_spark_model_score(spark, sf_dir):
-    """F2 on the JVM, with a model trained here: the trained numbers differ by
-    machine, so what must hold is returned (rows, probabilities, unscored rows)."""
+    """F2 on the JVM with a model trained here, a row a trip.  The trained numbers differ
+    by machine; ``agrees`` holds each score against the formula over the model's written
+    coefficients, ``scored`` tells trips with all features."""
     silver = staged(silver_trips(spark, sf_dir), "silver")
-    scored = sc.score(silver, model=sc.fit_delay_model(silver))
-    p = F.col("delay_probability")
-    return scored.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(p.between(0, 1)).alias("scored"), F.count_if(p.isNull()).alias("unscored"),
-        F.max("model_used").alias("model_used"))
+    path = scratch_path(spark, "model")
+    sc.fit_delay_model(silver).write().save(path)
+    model = PipelineModel.load(path)
+    scored = sc.spark_model_score(sc.formula_score(silver, model, out="expected"), model)
+    p, e = F.col("delay_probability"), F.col("expected")
+    agrees = F.when(p.isNull(), e.isNull()).otherwise(p.between(0, 1) & (F.abs(p - e) < 1e-9))
+    return scored.select("trip_id", "departure_time", "l_partkey", "l_suppkey", p.isNotNull().alias("scored"), F.coalesce(agrees, F.lit(False)).alias("agrees"))
 
 
-def _cluster_invariants(clusters, report):
-    return clusters.agg(
-        F.count(F.lit(1)).alias("rows"),
-        (F.min("cluster") >= 0).alias("labels_from_0"), (F.max("cluster") < report["k"]).alias("labels_below_k"),
-        (F.lit(sum(report["cluster_sizes"])) == F.count(F.lit(1))).alias("sizes_add_up"),
-        F.lit(-1.0 <= report["silhouette"] <= 1.0).alias("silhouette_in_range"))
+def _cluster_rows(clusters, centres, report):
+    """A row a route with its features, and whether it lies in the cluster of the
+    nearest written centre."""
+    held = seg.nearest_centre(clusters, centres, report["scale"])
+    return held.select(*seg.ROUTE, *seg.FEATURES, (F.col("cluster") == F.col("nearest")).alias("in_nearest"))
 
 
 def f7_clusters(spark, sf_dir):
-    """K-means labels depend on partitioning, so what must hold is returned."""
-    return _cluster_invariants(*seg.segment_routes(silver_trips(spark, sf_dir)))
+    """Each route with its features, held against the centres."""
+    clusters, report = seg.segment_routes(silver_trips(spark, sf_dir))
+    return _cluster_rows(clusters, seg.centre_table(spark, report), report)
 
 
-def j6_cluster_job(spark, sf_dir):
-    """Clusters as written by the job."""
+def _clustered(spark, sf_dir):
     out = scratch_path(spark, "clusters")
-    report = jobs.cluster_job(spark, f"{_lake(spark, sf_dir)}/silver", out)
-    return _cluster_invariants(spark.read.parquet(out), report)
+    report = jobs.cluster_job(spark, f"{_refined(spark, sf_dir)}/silver", f"{out}/routes", centres=f"{out}/centres")
+    return spark.read.parquet(f"{out}/routes"), spark.read.parquet(f"{out}/centres"), report
+
+
+def j6_cluster_job(spark, sf_dir):
+    """Clusters and centres as written by the job."""
+    return _cluster_rows(*_clustered(spark, sf_dir))
+
+
+def f8_cluster_sizes(spark, sf_dir):
+    """F8 + F9: what holds for the written clusters as a whole: labels 0 to k - 1 numbered
+    by centres, sizes as reported, each centre the mean of its routes."""
+    clusters, centres, report = _clustered(spark, sf_dir)
+    means = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"), *[F.avg(f).alias(f"_{f}") for f in seg.FEATURES])
+    near = [F.abs(F.col(f) - F.col(f"_{f}")) <= 0.01 * (s or 1.0) for f, s in zip(seg.FEATURES, report["scale"])]
+    before = F.lag("trip_count").over(Window.orderBy("cluster"))  # k rows
+    held = centres.join(means, "cluster", "left").withColumns({
+        "_size": F.col("routes") == F.col("_n"), "_mean": reduce(lambda a, b: a & b, near), "_sorted": F.coalesce(before <= F.col("trip_count"), F.lit(True))})
+    return held.agg(
+        F.count(F.lit(1)).alias("clusters"), F.sum("_n").alias("routes"), F.bool_and("_size").alias("sizes_hold"), F.bool_and("_mean").alias("centres_are_means"),
+        F.bool_and("_sorted").alias("numbered_by_centre"), F.lit(-1.0 <= report["silhouette"] <= 1.0).alias("silhouette_in_range"))
 
 
 # ── file arrivals, ledger, synthetic trips (S5-S8) ───────────────────────────
@@ -604,6 +698,80 @@ def j1_ingest_twice(spark, sf_dir):
     return df.groupBy("_pipeline_run_id").agg(F.count(F.lit(1)).alias("rows"), F.count("_corrupt_record").alias("corrupt"))
 
 
+def j1_changed_landing(spark, sf_dir):
+    """J1 with the ledger over a landing that changes: files of the first years, then
+    all, then again unchanged, then with one file uploaded again under another name.
+    How many files each run opened, and the rows it appended."""
+    landing, root = _landing(spark, sf_dir), scratch_path(spark, "changed")
+    first, runs = f"{root}/landing", []
+    years = sorted(sinks.partition_values(spark, landing, "year"))
+    for step, some in enumerate((years[:3], years[3:], [], ["copy"])):
+        for year in some:
+            if year == "copy":
+                _copy_first_file(spark, f"{first}/year=1995/month=1", f"{first}/year=1995/month=13")
+            else:
+                _copy_folder(spark, f"{landing}/year={year}", f"{first}/year={year}")
+        got = jobs.ingest(spark, first, f"{root}/bronze", run_id=f"run-{step}", ledger=f"{root}/ledger")
+        runs.append((step, got["files_read"] > 0, got["rows"]))
+    return spark.createDataFrame(runs, "run int, read boolean, rows long")
+
+
+def _copy_folder(spark, src, dst):
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(src).getFileSystem(conf)
+    fs.mkdirs(path(dst).getParent())
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, path(src), fs, path(dst), False, conf)
+
+
+@contextlib.contextmanager
+def _settings_kept(spark):
+    """The session's SQL settings are put back afterwards: jobs of the command line set
+    the library's own."""
+    from tripmart.session import DEFAULT_CONF
+
+    before = {k: spark.conf.get(k, None) for k in DEFAULT_CONF if k.startswith("spark.sql.")}
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def j9_command_line(spark, sf_dir):
+    """Refine, gold, score and report as command lines; rows of what they wrote."""
+    root = scratch_path(spark, "cli")
+    calls = [
+        ["--mode", "refine", "--input", _bronze(spark, sf_dir), "--output", f"{root}/silver", "--quarantine", f"{root}/quarantine"],
+        ["--mode", "gold", "--input", f"{root}/silver", "--output", f"{root}/gold"],
+        ["--mode", "score", "--input", f"{root}/silver", "--output", f"{root}/scores"],
+        ["--mode", "report", "--input", f"{root}/silver", "--output", f"{root}/report", "--report", "cargo_ranking"],
+    ]
+    with _settings_kept(spark), contextlib.redirect_stdout(io.StringIO()):
+        codes = [jobs.main(call) for call in calls]
+    assert not any(codes)
+    read = {"silver": "silver", "quarantine": "quarantine", "scores": "scores", **{name: f"gold/{name}" for name in m.MARTS}}
+    parts = [spark.read.parquet(f"{root}/{path}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("output"), "rows") for name, path in read.items()]
+    parts.append(spark.read.option("header", True).csv(f"{root}/report").agg(F.count("cargo_type").alias("rows")).select(F.lit("report").alias("output"), "rows"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def c_session(spark, sf_dir):
+    """Settings of a session, the codec of the files it writes, and a job with its
+    input cached: its marts, and that nothing stays cached."""
+    from tripmart.session import DEFAULT_CONF, get_spark
+
+    root = scratch_path(spark, "cached")
+    counts = jobs.build_marts(spark, f"{_refined(spark, sf_dir)}/silver", root, cache=True)
+    with _settings_kept(spark):
+        get_spark()  # the session as it is, with the library's settings
+        kept = all(spark.conf.get(k) == v for k, v in DEFAULT_CONF.items() if k.startswith("spark.sql."))
+    codec = spark.conf.get("spark.sql.parquet.compression.codec")
+    still_cached = not spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    rows = [(name, n, kept, codec, still_cached) for name, n in counts.items()]
+    return spark.createDataFrame(rows, "mart string, rows long, settings boolean, codec string, still_cached boolean")
+
+
 def s1_drift(spark, sf_dir):
     """Files with their columns in another order, and one column more, are bound
     by name."""
@@ -687,15 +855,10 @@ def t1_stream_ingest(spark, sf_dir):
     )
 
 
-_STREAMS: dict[tuple[str, str], str] = {}
-
-
 def _stream_lake(spark, sf_dir):
     """Bronze arrives in two chunks, the newer rows first and copies of a key on
     both sides; T2 + T4 refine them in two micro-batches."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STREAMS:
-        root = scratch_path(spark, "stream")
+    def build(root):
         bronze = bronze_trips(spark, sf_dir)
         ts = F.col("_ingestion_timestamp")
         for cond in (ts >= "1998", ts < "1998"):
@@ -704,15 +867,15 @@ def _stream_lake(spark, sf_dir):
         schema = spark.read.parquet(f"{root}/bronze").schema
         st.stream_refine(
             spark, f"{root}/bronze", schema, f"{root}/silver", f"{root}/quarantine", f"{root}/ckpt",
-            state=f"{root}/state", gold=f"{root}/gold", rules=trips_rules(), max_files_per_trigger=4,
+            state=f"{root}/state", gold=f"{root}/gold", rules=trips_rules(), max_files_per_trigger=4, unit="month",
         )
-        _STREAMS[key] = root
-    return _STREAMS[key]
+
+    return _once(spark, sf_dir, "stream", build)
 
 
 def t2_stream_silver(spark, sf_dir):
     """Silver maintained micro-batch by micro-batch equals batch silver."""
-    return spark.read.parquet(f"{_stream_lake(spark, sf_dir)}/silver")
+    return spark.read.parquet(f"{_stream_lake(spark, sf_dir)}/silver").drop(sinks.MONTH)
 
 
 def t2_stream_quarantine(spark, sf_dir):
@@ -726,16 +889,39 @@ def t2_stream_quarantine(spark, sf_dir):
 
 def t4_late_days(spark, sf_dir):
     """T4: all four marts, recomputed only for the months each batch touched."""
-    return _stacked_marts(spark, f"{_stream_lake(spark, sf_dir)}/gold").drop(st.MONTH)
+    return _stacked_marts(spark, f"{_stream_lake(spark, sf_dir)}/gold").drop(sinks.MONTH)
+
+
+def _late_arrivals(spark, sf_dir):
+    """Bronze in four files: rows come by period of departure, a third of the parts a
+    file later and a third two files later, so that copies of a key arrive on both
+    sides of the watermark."""
+    def build(path):
+        bronze = bronze_trips(spark, sf_dir)
+        period = F.when(F.col("departure_time") < "1994-07-01", 0).when(F.col("departure_time") < "1997-01-01", 1).otherwise(2)
+        cut = staged(bronze.withColumn("_file", F.least(F.lit(3), period + F.col("l_partkey") % 3)), "late")
+        for i in range(4):  # a file each, in this order
+            cut.filter(F.col("_file") == i).drop("_file").coalesce(1).write.mode("append").parquet(path)
+
+    return _once(spark, sf_dir, "late-arrivals", build)
+
+
+def _stream_deduped(spark, sf_dir, dedup_stream):
+    source, root = _late_arrivals(spark, sf_dir), scratch_path(spark, "stream")
+    schema = spark.read.parquet(source).schema
+    dedup_stream(spark, source, schema, f"{root}/dedup", f"{root}/ckpt", rules=trips_rules(), max_files_per_trigger=1)
+    return spark.read.parquet(f"{root}/dedup/*")
 
 
 def t3_stream_dedup(spark, sf_dir):
-    """Watermark dedup (60 days) of the event stream; one row per user and type."""
-    root = scratch_path(spark, "stream")
-    events = table(spark, sf_dir, "events")
-    sinks.overwrite(events, f"{root}/events")
-    st.stream_dedup(spark, f"{root}/events", events.schema, f"{root}/dedup", f"{root}/ckpt", event_time="ts", keys=["user_id", "event_type"])
-    return spark.read.parquet(f"{root}/dedup").select("user_id", "event_type")
+    """The best copy of each trip within a watermark of 60 days, in four
+    micro-batches of trips that arrive late."""
+    return _stream_deduped(spark, sf_dir, st.stream_dedup)
+
+
+def t3_stream_dedup_timers(spark, sf_dir):
+    """T3 with a state and a timer a key: the same rows."""
+    return _stream_deduped(spark, sf_dir, st.stream_dedup_timers)
 
 
 QUERIES: dict[str, Query] = {
@@ -790,6 +976,16 @@ QUERIES: dict[str, Query] = {
     "j2_rerun_shrunk_bronze": j2_rerun_shrunk_bronze,
     "j2_clean_only": j2_clean_only,
     "j6_cluster_job": j6_cluster_job,
+    "f8_cluster_sizes": f8_cluster_sizes,
+    "m5_bucketed_join": m5_bucketed_join,
+    "j7_roll_back": j7_roll_back,
+    "j9_command_line": j9_command_line,
+    "c_session": c_session,
+    "a6_from_partials": a6_from_partials,
+    "a7_from_partials": a7_from_partials,
+    "a8_from_partials": a8_from_partials,
+    "a1_a4_from_partials": a1_a4_from_partials,
+    "j1_changed_landing": j1_changed_landing,
     "j7_gate": j7_gate,
     "m5_sorted_files": m5_sorted_files,
     "m7_statistics": m7_statistics,
@@ -809,5 +1005,6 @@ QUERIES: dict[str, Query] = {
     "t2_stream_silver": t2_stream_silver,
     "t2_stream_quarantine": t2_stream_quarantine,
     "t3_stream_dedup": t3_stream_dedup,
+    "t3_stream_dedup_timers": t3_stream_dedup_timers,
     "t4_late_days": t4_late_days,
 }

@@ -8,23 +8,29 @@ included.  S7: a missing ETag falls back to the first 20 characters of the
 request id, a missing size to 0; the execution name then also holds a hash of
 the key, so that files of one event stay apart.
 
-S6: "the same content is not processed twice" keyed on content, not on names or
-wall-clock time: per file, the row count and two order-independent sums of
-NULL-safe row hashes.  Files whose fingerprint is in the ledger are skipped, one
-file for each content goes through, and the ledger is appended only after the
-ingest succeeded.
+S6: "the same content is not processed twice", in two levels.  A file whose path,
+length and modification time are in the ledger is known from the file listing and
+never opened.  The others are judged by content, not by names or wall-clock time: per
+file, the row count and two order-independent sums of NULL-safe row hashes.  Files
+whose fingerprint is in the ledger are skipped, one file for each content goes
+through, and the ledger is appended only after the ingest succeeded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_SCHEMA = (
     "Records array<struct<eventTime:string,s3:struct<bucket:struct<name:string>,"
     "object:struct<key:string,size:bigint,eTag:string>>>>"
 )
-LEDGER_SCHEMA = "_source_path string, rows bigint, content_hash decimal(38,0), content_check decimal(38,0)"
+IDENTITY = ["_source_path", "file_size", "modified"]
+CONTENT = ["rows", "content_hash", "content_check"]
+LEDGER_SCHEMA = (
+    "_source_path string, file_size bigint, modified timestamp, "
+    "rows bigint, content_hash decimal(38,0), content_check decimal(38,0), ingested boolean"
+)
 
 
 def event_records(
@@ -83,6 +89,30 @@ def started_counts(events: DataFrame, **options) -> DataFrame:
     return event_records(events, **options).groupBy("request_id").agg(F.count_if(F.col("rejected").isNull()).alias("executions_started"))
 
 
+def file_identities(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
+    """S6, first level: path, length and modification time of every file below
+    ``path``.  Only the listing is used; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(path)
+    return files.select(
+        F.col("_metadata.file_path").alias("_source_path"), F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+
+
+def unlisted_files(identities: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """S6, first level: files that the ledger does not list as they are now."""
+    return identities if ledger is None else identities.join(ledger.select(*IDENTITY).distinct(), IDENTITY, "left_anti")
+
+
+def judged_files(identities: DataFrame, fingerprints: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """S6, second level: ledger rows for the files of this run; ``ingested`` is TRUE for
+    the one file of each content that no earlier run took in.  A file without rows has
+    no content to take in."""
+    fresh = unseen_files(fingerprints, ledger).select("_source_path", F.lit(True).alias("ingested"))
+    judged = identities.join(fingerprints, "_source_path", "left").join(fresh, "_source_path", "left")
+    return judged.withColumns({"rows": F.coalesce("rows", F.lit(0)), "ingested": F.coalesce("ingested", F.lit(False))}).select(*IDENTITY, *CONTENT, "ingested")
+
+
 def content_fingerprints(df: DataFrame, columns, path_col: str = "_source_path") -> DataFrame:
     """Per source file, row count and two order-independent content sums.
 
@@ -101,13 +131,12 @@ def content_fingerprints(df: DataFrame, columns, path_col: str = "_source_path")
 def unseen_files(fingerprints: DataFrame, ledger: DataFrame | None, path_col: str = "_source_path") -> DataFrame:
     """Files whose content is not in the ledger, the first by name of those
     with equal content in this run."""
-    content = ["rows", "content_hash", "content_check"]
-    fresh = fingerprints.groupBy(*content).agg(F.min(path_col).alias(path_col)).select(path_col, *content)
+    fresh = fingerprints.groupBy(*CONTENT).agg(F.min(path_col).alias(path_col)).select(path_col, *CONTENT)
     if ledger is not None:
-        fresh = fresh.join(ledger.select(*content).distinct(), content, "left_anti").select(path_col, *content)
+        fresh = fresh.join(ledger.select(*CONTENT).distinct(), CONTENT, "left_anti").select(path_col, *CONTENT)
     return fresh
 
 
 def record(new: DataFrame, ledger_path: str) -> None:
-    """Remember ingested content (append after a successful ingest)."""
+    """Remember files and their content (append after a successful ingest)."""
     new.write.mode("append").parquet(ledger_path)
