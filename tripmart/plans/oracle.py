@@ -499,6 +499,11 @@ UNION ALL SELECT mart, COUNT(*) FROM ({four}) GROUP BY mart"""
             ),
             "s1_drift": f"""WITH {TRIPS}
 SELECT trip_id, cargo_type, CASE WHEN l_partkey % 2 = 1 THEN operator END AS operator, CAST(l_partkey AS VARCHAR) AS l_partkey FROM trips""",
+            "s1_quoted_lines": f"""WITH {TRIPS}
+SELECT trip_id, CASE WHEN l_partkey % 3 = 0 THEN cargo_type || chr(10) || '"' || operator || '",' || chr(10) || chr(10) ELSE cargo_type || ',' || operator END AS note,
+       CAST(l_partkey AS VARCHAR) AS l_partkey FROM trips""",
+            "s1_inferred_types": f"""WITH {TRIPS}
+SELECT * REPLACE (CAST(l_partkey AS INTEGER) AS l_partkey, CAST(l_suppkey AS INTEGER) AS l_suppkey) FROM trips""",
             "s1_corrupt": f"WITH {TRIPS}\nSELECT COUNT(*) AS rows, COUNT_IF(l_partkey % 9 = 0) AS corrupt FROM trips",
             "j1_ingest_twice": f"WITH {TRIPS}\nSELECT 'run-13' AS _pipeline_run_id, COUNT(*) AS rows, CAST(0 AS BIGINT) AS corrupt FROM trips",
             "s5_rejected": f"""WITH {TRIPS},

@@ -38,6 +38,8 @@ from tripmart.schema import SERVING_CONTRACTS, SERVING_SORT_KEYS
 from tripmart.session import scratch_path, staged
 from tripmart.sources.landing import expected_columns_report, read_landing
 from tripmart.sources import events as ev
+from tripmart.sources.infer import infer_types, typed
+from tripmart.sources.quoted import read_quoted
 from tripmart.sources.synth import synthesize
 from tripmart.sources.tables import table, trips
 from tripmart.streaming import incremental as st
@@ -258,14 +260,14 @@ def s1_csv_roundtrip(spark, sf_dir):
     """K7 -> S1/S2 (all text, partition columns) -> P1-P11."""
     path = _landing(spark, sf_dir)
     raw = read_landing(spark, path, base_path=path)
-    typed = refine(raw).withColumns(
+    refined = refine(raw).withColumns(
         {
             "l_partkey": F.col("l_partkey").cast("bigint"),
             "l_suppkey": F.col("l_suppkey").cast("bigint"),
             "l_tax": F.col("l_tax").cast("double"),
         }
     )
-    return typed
+    return refined
 
 
 def s2_landing_partitions(spark, sf_dir):
@@ -797,6 +799,23 @@ def s1_corrupt(spark, sf_dir):
     return raw.agg(F.count("trip_id").alias("rows"), F.count("_corrupt_record").alias("corrupt"))
 
 
+def s1_quoted_lines(spark, sf_dir):
+    """Quoted fields with line breaks, delimiters and quotes, a few large files cut
+    into ranges: every record comes back as it was."""
+    path = scratch_path(spark, "quoted")
+    note = F.when(F.col("l_partkey") % 3 == 0, F.concat("cargo_type", F.lit('\n"'), "operator", F.lit('",\n\n'))).otherwise(F.concat("cargo_type", F.lit(","), "operator"))
+    rows = trips(spark, sf_dir).select("trip_id", note.alias("note"), F.col("l_partkey").cast("string").alias("l_partkey"))
+    sinks.write_counted(rows.repartition(2), path, partition_by=(), fmt="csv", options={"header": "true", "quoteAll": "true", "escape": '"', "ignoreTrailingWhiteSpace": "false"})
+    return read_quoted(spark, path).drop("_source_path")
+
+
+def s1_inferred_types(spark, sf_dir):
+    """Types of the landing's text columns from all their values, in one pass."""
+    path = _landing(spark, sf_dir)
+    raw = read_landing(spark, path, base_path=path).drop("year", "month")
+    return typed(raw, infer_types(raw, wall_clock=True))
+
+
 def _copy_first_file(spark, src_dir, dst_dir):
     """Byte copy of one landing file under another name (a re-upload)."""
     jvm = spark.sparkContext._jvm
@@ -998,6 +1017,8 @@ QUERIES: dict[str, Query] = {
     "s5_started": s5_started,
     "s1_drift": s1_drift,
     "s1_corrupt": s1_corrupt,
+    "s1_quoted_lines": s1_quoted_lines,
+    "s1_inferred_types": s1_inferred_types,
     "j1_ingest_twice": j1_ingest_twice,
     "s6_ledger": s6_ledger,
     "s8_synth": s8_synth,

@@ -138,11 +138,13 @@ def read_quoted(
     columns of the folders and ``_source_path``; every file has a header.  ``files``
     limits the read to some of the paths.
 
-    Equal to ``spark.read`` with ``header``, ``multiLine`` and ``escape='"'``, where
-    records end in ``\\n`` or ``\\r\\n``, but a large file is read by many tasks.  Lines
+    Equal to ``spark.read`` with ``header``, ``multiLine`` and ``escape='"'``, but a large
+    file is read by many tasks.  ``files`` limits the read to some of the paths.  Lines
     are read three times at most (the third time only files in which a range ends inside
-    a field); the driver keeps the places of ranges that begin inside a field, fewer than
-    the ranges it lists to plan a scan.  A record must fit a task's memory."""
+    a field); the driver keeps the place and state of each range, as many as it lists to
+    plan a scan.  A record must fit a task's memory, a header the first range.  Files,
+    and the settings that cut them into ranges, must stay as they are until the result is
+    read; a range that was not there before is an error."""
     options = {"header": True, "multiLine": True, "escape": '"', "sep": sep}
     reader = spark.read.options(**options)
     schema = (reader.option("basePath", base_path) if base_path else reader).csv(path).schema
@@ -151,17 +153,17 @@ def read_quoted(
         lines = lines.filter(F.col("_file").isin(files))
     folders = [c for c in lines.columns if c not in ("value", "_file", "_start")]
     states = staged(begin_states(range_functions(lines, sep)), "csv-ranges")  # a small row a range
-    ends = {r["returns"]: r["n"] for r in states.filter("returns is not null").groupBy("returns").agg(F.count(F.lit(1)).alias("n")).collect()}
-    mostly = ends.get(True, 0) > ends.get(False, 0)
-    others = frozenset(r["_file"] for r in states.filter(F.col("returns") != mostly).select("_file").collect())
-    states = states.select("_file", "_start", "begins_inside", F.when(F.col("begins_inside"), F.col("from_in")).otherwise(F.col("from_out")).alias("ends_inside"))
-    open_ranges = states.filter("begins_inside or ends_inside").collect()  # of the ranges that Spark lists
-    inside = frozenset((r["_file"], r["_start"]) for r in open_ranges if r["begins_inside"])
-    cut = lambda some, kinds: _records(some, folders, sep, inside, mostly, others, kinds)
+    known: dict[str, dict[int, int]] = {}
+    torn = set()
+    for r in states.collect():  # a row a range that Spark lists
+        known.setdefault(r["_file"], {})[r["_start"]] = 2 * bool(r["returns"]) + r["begins_inside"]
+        if r["begins_inside"] or r["from_out"]:
+            torn.add(r["_file"])
+    ranges = spark.sparkContext.broadcast(known)
+    cut = lambda some, kinds: _records(some, folders, sep, ranges, kinds)
     records = cut(lines, (WHOLE,)).select("_file", *folders, "record")
-    torn = sorted({r["_file"] for r in open_ranges})
     if torn:
-        parts = cut(lines.filter(F.col("_file").isin(torn)), (HEAD, TAIL, THROUGH))
+        parts = cut(lines.filter(F.col("_file").isin(sorted(torn))), (HEAD, TAIL, THROUGH))
         by_place = Window.partitionBy("_file").orderBy("_start", F.col("kind") == TAIL)
         numbered = parts.withColumn("_n", F.count_if(F.col("kind") == TAIL).over(by_place))
         joined = numbered.groupBy("_file", *folders, "_n").agg(F.sort_array(F.collect_list(F.struct("_start", "record"))).alias("_p"))
@@ -177,7 +179,7 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
 
 
-def _records(lines: DataFrame, folders: list[str], sep: str, inside: frozenset, mostly: bool, others: frozenset, kinds: tuple[str, ...]) -> DataFrame:
+def _records(lines: DataFrame, folders: list[str], sep: str, ranges, kinds: tuple[str, ...]) -> DataFrame:
     """Records of the ranges, or the fragments of those that lie across ranges; the
     first record of a file is its header."""
     types = {f.name: f.dataType for f in lines.schema.fields}
@@ -204,8 +206,11 @@ def _records(lines: DataFrame, folders: list[str], sep: str, inside: frozenset,
             if place != now:
                 if parts:
                     flush(THROUGH if first and begun else TAIL)
-                now, state = place, place in inside
-                begun, first, header, returns = state, True, place[1] == 0, mostly != (place[0] in others)
+                now, file = place, ranges.value.get(place[0], {})
+                if place[1] not in file:
+                    raise RuntimeError(f"{place[0]} is cut into other ranges than before: read it again")
+                state, returns = file[place[1]] % 2 == 1, file[min(file)] >= 2
+                begun, first, header = state, True, place[1] == 0
             for line in texts:
                 state = rule.leads_inside(line, state)
                 parts.append(line[:-1] if returns and line.endswith("\r") else line)
