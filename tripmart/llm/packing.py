@@ -24,59 +24,137 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import salted_rank, shuffle_partitions, slices, stage
+from tripmart.llm.common import LOWER, Roller, salted_rank, shuffle_partitions, slices, stage, text_bytes, word_hashes, word_spans
 
 CAPACITY = 2048
-_CACHE_WORDS = 400_000
+#: Distinct pieces a worker remembers: about 30 bytes each.
+_CACHE_PIECES = 3_000_000
+_MARK = "\x01"
 BLOCK_BITS = 12  # places in one sort task of a length: 4096
 
 
 class WordEncoder:
-    """Ids of texts, word by word.
+    """Ids of texts, piece by piece.
 
-    The vocabulary's splitter never joins across white space, so the ids of a
-    text are those of its white-space words; each distinct word is encoded once
-    per worker, and a full table is started anew."""
+    The vocabulary's splitter never joins across white space, nor across a border of an
+    ASCII letter with another ASCII character (but for apostrophes and the marks of
+    special tokens), and it lower-cases.  So the ids of a text are those of its pieces,
+    and a piece of ASCII alone may be lower-cased first.  Pieces are named by 64-bit
+    hashes; each distinct one is encoded once per worker, and a full table is started
+    anew."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.starts, self.pool, self.used = np.zeros(1, np.int64), np.zeros(1 << 16, np.uint32), 0
-
-    def _learn(self, words: list[str]) -> None:
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
-        while self.used + len(flat) > len(self.pool):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, and each one's piece
+        self.starts, self.pool = np.zeros(1, np.int64), np.zeros(1 << 16, np.uint32)
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, and how many each has: many pieces in a text, a mark after
+        each, where the mark is one id that no piece has."""
+        if len(self.mark) != 1 or any(_MARK in x for x in pieces):
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            return np.fromiter((i for ids in lists for i in ids), np.uint32), np.fromiter(map(len, lists), np.int64, len(lists))
+        texts = [f" {_MARK} ".join([*pieces[i : i + 256], ""]) for i in range(0, len(pieces), 256)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(ids == self.mark[0])
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        """Encode the pieces with these (sorted, unknown) hashes."""
+        plain = np.array([_MARK not in x for x in pieces])
+        ids, sizes = [], np.zeros(len(pieces), np.int64)
+        for some in (np.flatnonzero(plain), np.flatnonzero(~plain)):
+            if len(some):
+                found, n = self._encoded([pieces[i] for i in some])
+                ids.append(found)
+                sizes[some] = n
+        order = np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)]
+        flat, used, first = np.concatenate(ids), int(self.starts[-1]), len(self.starts) - 1
+        while used + len(flat) > len(self.pool):
             self.pool = np.r_[self.pool, np.zeros(len(self.pool), np.uint32)]
-        self.pool[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
-        first = len(self.starts) - 1
-        self.starts = np.r_[self.starts, self.starts[-1] + np.cumsum(sizes)]
-        self.known.update(zip(words, range(first, first + len(words))))
+        self.pool[used : used + len(flat)] = flat
+        self.starts = np.r_[self.starts, used + np.cumsum(sizes[order])]
+        number = np.empty(len(pieces), np.int64)
+        number[order] = first + np.arange(len(pieces))
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.number = np.insert(self.keys, at, keys), np.insert(self.number, at, number)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and len+1 offsets by text."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        unseen = [w for w in words if w not in self.known]
-        if len(self.known) + len(unseen) > _CACHE_WORDS:
-            self.known, self.starts, self.used, unseen = {}, np.zeros(1, np.int64), 0, words
-        if unseen:
-            self._learn(unseen)
-        code = np.fromiter((self.known[w] for w in words), np.int64, len(words))
-        word = code[coded.indices.to_numpy()]
-        sizes = (self.starts[1:] - self.starts[:-1])[word]
-        ends = np.cumsum(sizes)
-        ids = self.pool[np.repeat(self.starts[word] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
-        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
-        return ids, np.r_[0, ends][offsets]
+        data, starts, ends, row = text_pieces(texts)
+        coded = pa.array(word_hashes(data, starts, ends, roller())).dictionary_encode()
+        names, code = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        at, unseen = self._find(names)
+        if unseen.any() and len(self.keys) + int(unseen.sum()) > _CACHE_PIECES:
+            self._forget()
+            at, unseen = self._find(names)
+        if unseen.any():
+            where = np.full(len(names), -1)
+            where[code[::-1]] = np.arange(len(code))[::-1]  # a place of each distinct piece
+            new = np.flatnonzero(unseen)
+            new = new[np.argsort(names[new])]
+            raw = data.tobytes()
+            self._learn(names[new], [raw[starts[i] : ends[i]].decode() for i in where[new].tolist()])
+            at, _ = self._find(names)
+        piece = self.number[at][code] if len(code) else np.zeros(0, np.int64)
+        sizes = (self.starts[1:] - self.starts[:-1])[piece]
+        filled = np.cumsum(sizes)
+        ids = self.pool[np.repeat(self.starts[piece] - (filled - sizes), sizes) + np.arange(int(sizes.sum()))]
+        return ids, np.r_[0, filled][np.searchsorted(row, np.arange(len(texts) + 1))]
+
+    def _find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash among the known ones, and whether it is not there."""
+        if not len(self.keys):
+            return np.zeros(len(names), np.int64), np.ones(len(names), bool)
+        at = np.minimum(np.searchsorted(self.keys, names), len(self.keys) - 1)
+        return at, self.keys[at] != names
+
+
+def text_pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts with pieces of ASCII alone in lower case; start, end and row of
+    each piece."""
+    data, offsets = text_bytes(texts)
+    starts, ends, row = word_spans(data, offsets)
+    if not len(starts):
+        return data, starts, ends, row
+    special = np.r_[(data[:-1] == 60) & (data[1:] == 124), False]  # <|
+    letter = ((data | 32) >= 97) & ((data | 32) <= 122)
+    other = (data > 32) & (data < 127) & ~letter
+    border = np.r_[False, letter[:-1] & other[1:] | other[:-1] & letter[1:]]
+    border &= ~_inside(starts, ends, special | (data == 39))
+    cuts = np.flatnonzero(border)
+    if len(cuts):
+        starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
+        row = np.searchsorted(offsets, starts, "right") - 1
+    # other characters and special tokens stay as they are
+    return np.where(_inside(starts, ends, special | (data >= 128)), data, LOWER[data]), starts, ends, row
+
+
+def _inside(starts: np.ndarray, ends: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Mask of the bytes of the spans that hold a marked byte."""
+    at = np.flatnonzero(marks)
+    hit = np.zeros(len(starts), bool)
+    if len(at):
+        span = np.searchsorted(starts, at, "right") - 1
+        hit[span[span >= 0]] = True
+    steps = np.zeros(len(marks) + 1, np.int8)
+    np.add.at(steps, starts[hit], 1)
+    np.add.at(steps, ends[hit], -1)
+    return np.cumsum(steps[:-1], dtype=np.int8) > 0
+
+
+@lru_cache(maxsize=1)
+def roller() -> Roller:
+    return Roller(21)
 
 
 @lru_cache(maxsize=2)
