@@ -151,7 +151,11 @@ def cascade(order: list[Rule], m: Callable[[str], Column]) -> Column:
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """Documents that no rule rejects, with the columns of ``docs``."""
+    """Documents that no rule rejects, with the columns of ``docs`` and no others.
+
+    NULL and empty texts have no words and are rejected by the rule on few words; rows
+    that repeat stay or go together; an empty table stays empty.  Only the column of the
+    text is read, so names cannot clash."""
     order = rule_order(docs, rules, text)
     return docs.filter(cascade(order, _lazy(F.col(text))).isNull())
 

@@ -215,7 +215,10 @@ def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, doc_id:
 
 def redact(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, text: str = "text") -> DataFrame:
     """``docs`` with every secret span replaced by ``[kind]``; overlapping spans
-    become one, named after the first.  All other columns pass unchanged."""
+    become one, named after the first.  All other columns pass unchanged.
+
+    NULL and empty texts stay as they are; rows that repeat change alike; an empty table
+    stays empty.  A text of any length is scanned whole."""
 
     def run(batches):
         for batch in slices(batches, text):

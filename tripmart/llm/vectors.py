@@ -192,7 +192,8 @@ def near_vectors(
 
     Vectors that are NULL, empty, zero or hold NULL or non-finite components link
     with nothing, like rows without id; vectors of different length never link.
-    Repeated rows link with each other.
+    Repeated rows link with each other.  An empty table gives an empty table; other
+    columns are ignored, whatever their names.
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("vector"))
     number = rows.schema["vector"].dataType.elementType.simpleString()

@@ -115,7 +115,12 @@ def decayed(replica: DataFrame) -> DataFrame:
 
 def fixity(pages: DataFrame, per_file: int = PER_FILE, fanout: int = FANOUT) -> DataFrame:
     """Archive ``pages``, let a replica decay, audit it: every record with its place,
-    its digest and whether the audit found the replica's copy corrupt."""
+    its digest and whether the audit found the replica's copy corrupt.
+
+    NULL urls and texts are empty; a NULL page id counts as the empty string and comes
+    first among records of one hash.  Repeated pages are records each; equal ones take
+    places next to each other.  An empty table gives an empty archive.  Other columns are
+    ignored.  A record of any length is hashed where it is."""
     made = pages.select("page_id", record(F.col("url").cast("string"), F.col("html").cast("string")).alias("record"))
     # both replicas hash their records where they are; only digests are moved
     rotten = decayed(made.select("page_id", "record", F.sha2("record", 256).alias("_sha"), F.octet_length("record").cast("long").alias("length")))
