@@ -3,33 +3,36 @@
 Words (A-Z lower-cased, one end token a document) are named by 64-bit hashes and
 counted over all training documents, as are all their bigrams, without pruning:
 
-    p(t | h) = a * c(h, t) / c(h) + (1 - a) * p(t)
-
-Bigrams are dealt to shards by both words, so the successors of a frequent
-context are spread over all shards.  A shard numbers its words and is an
-:class:`NgramTrie` of 8-bit codes of c(h, t) (:data:`LEVELS`: exact up to 24,
-then within 6 %).  The model does not depend on ``hot``, which only decides where
-counts are looked up:
-
-* words and n-grams with at least one in ``1 / hot`` of all tokens (at most ``hot``
-  of each, whatever the corpus) are broadcast and looked up where the
-  document is read;
-* the others are asked for: every slice of documents sends its distinct words
-  and n-grams to the shards of the model, packed, gets their counts back and
-  adds up its documents.  A slice asks for an n-gram once, and only one shard
-  holds it, so no shard is overrun.
-
-Nothing that grows with the corpus is collected or broadcast.
+    p(t)     = (c(t) + 1) / (N + V + 1), an unknown word being one more class
+    p(t | h) = a * c(h, t) / c(h) + (1 - a) * p(t), or p(t) after an unknown word
+
+Probabilities are kept as 8-bit quanta of their logarithm (:func:`quanta`); so are
+those that a bigram backs off to where it was not seen.
+
+1. Training words are counted by shard of their hash; a word's number is its place in
+   its shard after all shards before.  V and N are sums over the shards.
+2. A slice of documents asks for its distinct words once, and gets numbers and counts.
+3. It then asks for its distinct bigrams, dealt by both numbers, so that the
+   successors of a frequent context are spread over all shards: sorted numbers
+   context * V + word, as packed differences, with their counts in the slice's
+   training documents.
+4. A shard adds these counts up, builds an :class:`NgramTrie` of the smoothed
+   probabilities, maps its levels from a file and answers all slices by successor
+   search; slices add up their documents.
+
+Only what a slice needs travels, packed, and each part once: nothing is staged but
+the words, nothing that grows with the corpus is collected or broadcast.
 """
 
 from __future__ import annotations
 
-import uuid
+import tempfile
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +41,14 @@ from tripmart.llm.common import (
 )
 from tripmart.llm.elias_fano import NgramTrie
 
-HOT, MIX = 1_000_000, 0.7
+MIX = 0.7
 FOLDS, HELD_OUT = 7, 2
-_SLICE = 4 << 20
+#: A quantum of a log10 probability: 255 of them reach down to 2e-11.
+STEP = 1 / 24
+_SLICE = 8 << 20
 _FLUSH = 2_000_000
 _END = U(0x9E3779B97F4A7C15)
-#: Counts that the codes 1..255 of an n-gram stand for.
+#: Counts that the codes 1..255 of a word's count stand for.
 LEVELS = np.r_[np.arange(25), np.rint(np.geomspace(25, 1 << 36, 231))]
 
 
@@ -53,6 +58,11 @@ def coded(counts: np.ndarray) -> np.ndarray:
     return np.searchsorted(middle, counts) + 1
 
 
+def quanta(p: np.ndarray) -> np.ndarray:
+    """Quanta (1..255) of -log10 of probabilities."""
+    return np.clip(np.rint(-np.log10(p) / STEP), 1, 255).astype(np.uint8)
+
+
 @lru_cache(maxsize=2)
 def roller(seed: int) -> Roller:
     return Roller(seed)
@@ -135,250 +145,173 @@ def _summed(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
     return table["shard"][0].as_py(), *counted(np.concatenate(keys), np.concatenate(counts))
 
 
-class Vocabulary:
-    """The frequent words and their counts, for look-ups where documents are read.
-    At most ``hot`` words (and the end), so it may be broadcast."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, total: int, distinct: int):
-        order = np.argsort(keys)
-        self.keys, self.counts, self.total, self.distinct = keys[order], counts[order], total, distinct
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(is it here, count) of each word."""
-        if not len(self.keys):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = self.keys[at] == keys
-        return hit, np.where(hit, self.counts[at], 0)
-
-
-class Grams:
-    """Distinct bigrams over a sorted list of words: ``codes`` are context * words +
-    successor, by their numbers in the list."""
-
-    def __init__(self, words: np.ndarray, codes: np.ndarray):
-        self.words, self.codes = words, codes
-
-    @property
-    def numbers(self) -> tuple[np.ndarray, np.ndarray]:
-        n = U(max(1, len(self.words)))
-        return (self.codes // n).astype(np.int64), (self.codes % n).astype(np.int64)
-
-    @property
-    def names(self) -> np.ndarray:
-        """A 64-bit hash of each bigram: it decides on the shard."""
-        context, word = self.numbers
-        return mix(mix(self.words[context]) + self.words[word])
-
-    def take(self, at: np.ndarray) -> Grams:
-        """Some of the bigrams (places in order), with only the words they need."""
-        context, word = (x[at] for x in self.numbers)
-        used = np.zeros(len(self.words), bool)
-        used[context], used[word] = True, True
-        number = np.cumsum(used) - 1
-        return Grams(self.words[used], number[context].astype(U) * U(int(used.sum())) + number[word].astype(U))
-
-    def over(self, words: np.ndarray) -> np.ndarray:
-        """Codes over a sorted list that holds all the words."""
-        context, word = self.numbers
-        number = np.searchsorted(words, self.words).astype(U)
-        return number[context] * U(len(words)) + number[word]
-
-
-def bigrams(keys: np.ndarray, row: np.ndarray) -> tuple[Grams, np.ndarray]:
-    """The distinct bigrams of some texts, and the number of each token's one; a text
-    begins after an end."""
-    words, number = np.unique(np.r_[keys, _END], return_inverse=True)
-    number, end = number[:-1], number[-1]
-    context = np.r_[end, number[:-1]][: len(number)]
-    context[np.r_[True, row[1:] != row[:-1]][: len(number)]] = end
-    codes, gram = np.unique(context.astype(U) * U(len(words)) + number.astype(U), return_inverse=True)
-    return Grams(words, codes), gram
+def count_words(docs: DataFrame, shards: int) -> tuple[DataFrame, np.ndarray, int]:
+    """(word counts by shard, staged; number of each shard's first word, and V; N) from
+    the training rows of ``docs`` (text, held_out)."""
 
+    def sums(table: pa.Table) -> pa.Table:
+        shard, keys, counts = _summed(table)
+        return pa.table({"shard": pa.array([shard], pa.int32()), "keys": pa.array([pack_sorted(keys)], pa.binary()), "counts": pa.array([pack(counts.astype("<u8"))], pa.binary()),
+                         "n": pa.array([int(counts.sum())]), "distinct": pa.array([len(keys)])})
 
-def merged(parts: list[tuple[Grams, np.ndarray]]) -> tuple[Grams, np.ndarray]:
-    """The distinct bigrams of all parts, with the sums of their counts."""
-    words = np.unique(np.concatenate([g.words for g, _ in parts]))
-    codes, counts = counted(np.concatenate([g.over(words) for g, _ in parts]), np.concatenate([c for _, c in parts]))
-    return Grams(words, codes), counts
+    parts = _counts(docs, lambda texts: tokens(texts)[0], shards, word_shard)
+    words = stage(parts.groupBy("shard").applyInArrow(sums, "shard int, keys binary, counts binary, n long, distinct long"), "lm-words")
+    distinct, total = np.zeros(shards + 1, np.int64), 0
+    for r in words.select("shard", "n", "distinct").collect():  # a row a shard
+        distinct[r["shard"] + 1] = r["distinct"]
+        total += r["n"]
+    return words.select("shard", "keys", "counts"), np.cumsum(distinct), total
 
 
-def dealt(grams: Grams, at: np.ndarray, shards: int) -> list[tuple[int, np.ndarray]]:
-    """(shard, places in order) of the bigrams at the places ``at``."""
-    shard = word_shard(grams.names[at], shards)
-    order = np.argsort(shard, kind="stable")
-    return [(i, at[order[z]]) for i, z in _by_shard(shard[order], shards)]
+def gram_shard(context: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each bigram, by both words' numbers."""
+    return word_shard(mix(mix(context.astype(U) + U(1)) + word.astype(U)), shards)
 
 
-def _gram_counts(docs: DataFrame, shards: int) -> DataFrame:
-    """(shard, words, codes, counts) packed, partly summed, of the training rows."""
+def trie_of(codes: np.ndarray, counts: np.ndarray, context_codes: np.ndarray, word_codes: np.ndarray, total: int, distinct: int) -> NgramTrie:
+    """The smoothed probabilities of bigrams (sorted, context * V + word) in a trie, from
+    their counts and the codes of their words' counts."""
+    lower = (LEVELS[word_codes] + 1) / (total + distinct + 1)
+    p = MIX * np.minimum(1.0, counts / LEVELS[context_codes]) + (1 - MIX) * lower
+    return NgramTrie.build((codes // U(distinct)).astype(np.int64), (codes % U(distinct)).astype(np.int64), quanta(p) * NgramTrie.STEP, distinct)
 
-    def run(batches):
-        held: list[tuple[Grams, np.ndarray]] = []
 
-        def flush():
-            grams, counts = merged(held)
-            held.clear()
-            for i, at in dealt(grams, np.arange(len(counts)), shards):
-                some = grams.take(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i], pa.int32()), pa.array([pack_sorted(some.words)], pa.binary()), pa.array([pack_sorted(some.codes)], pa.binary()), pa.array([pack(counts[at].astype("<u4"))], pa.binary())],
-                    names=["shard", "words", "codes", "counts"])
+_DOCS = "array<struct<doc_id:long,held_out:boolean,n_tokens:long,n_known:long,base:double>>"
+_MESSAGE = f"slice long, shard int, a binary, b binary, c binary, d binary, docs {_DOCS}"
+_NAMES = ["slice", "shard", "a", "b", "c", "d", "docs"]
 
-        for batch in slices(batches, limit=_SLICE):
-            keys, row = tokens(batch.filter(pa.compute.invert(batch.column("held_out"))).column("text"))
-            if not len(keys):
-                continue
-            grams, gram = bigrams(keys, row)
-            held.append((grams, np.bincount(gram, minlength=len(grams.codes))))
-            if sum(len(c) for _, c in held) > _FLUSH:
-                yield from flush()
-        if held:
-            yield from flush()
 
-    return docs.mapInArrow(run, "shard int, words binary, codes binary, counts binary")
+def _message(name: int, shard: int, *blobs: bytes | None, docs=None) -> dict:
+    return dict(zip(_NAMES, (name, shard, *blobs, *[None] * (4 - len(blobs)), docs)))
 
 
-def train(docs: DataFrame, shards: int, hot: int) -> tuple[DataFrame, Vocabulary, DataFrame, tuple[np.ndarray, np.ndarray]]:
-    """(word counts, vocabulary, tries, frequent n-grams) from the training rows of
-    ``docs`` (text, held_out)."""
-    spark = docs.sparkSession
-    parts = _counts(docs, lambda texts: tokens(texts)[0], shards, word_shard)
+def _table(rows: list[dict]) -> pa.Table:
+    docs = pa.list_(pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64())]))
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4, docs]
+    return pa.table({n: pa.array([r[n] for r in rows], t) for n, t in zip(_NAMES, kinds)})
 
-    def sums(table: pa.Table) -> pa.Table:
-        shard, keys, counts = _summed(table)
-        return pa.table({"shard": pa.array([shard], pa.int32()), "keys": pa.array([pack_sorted(keys)], pa.binary()), "counts": pa.array([pack(counts.astype("<u4"))], pa.binary()),
-                         "n": pa.array([int(counts.sum())]), "distinct": pa.array([len(keys)])})
 
-    words = stage(parts.groupBy("shard").applyInArrow(sums, "shard int, keys binary, counts binary, n long, distinct long"), "lm-words")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
-    least = max(1, -(-total // hot))
-
-    def frequent(batches):
-        for batch in batches:
-            for k, c in zip(batch.column("keys"), batch.column("counts")):
-                keys, counts = unpack_sorted(k.as_py()), unpack(c.as_py(), "<u4").astype(np.int64)
-                keep = (counts >= least) | (keys == _END)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(counts[keep])], names=["key", "n"])
-
-    # at most hot + 1 rows: their counts sum to no more than all tokens
-    top = words.select("keys", "counts").mapInArrow(frequent, "key long, n long").toArrow()
-    vocabulary = Vocabulary(top["key"].to_numpy().view(U), top["n"].to_numpy(), total, distinct)
-
-    def trie(table: pa.Table) -> pa.Table:
-        grams, counts = merged([(Grams(unpack_sorted(w.as_py()), unpack_sorted(c.as_py())), unpack(n.as_py(), "<u4").astype(np.int64)) for w, c, n in zip(table["words"], table["codes"], table["counts"])])
-        code = coded(counts)
-        built = NgramTrie.build(*grams.numbers, code * NgramTrie.STEP, len(grams.words))
-        top = counts >= least
-        return pa.table({"shard": table["shard"].slice(0, 1), "words": pa.array([pack_sorted(grams.words)], pa.binary()), "trie": pa.array([built.to_bytes()], pa.binary()),
-                         "top_keys": pa.array([grams.names[top].view(np.int64).tolist()], pa.list_(pa.int64())), "top_codes": pa.array([code[top].tolist()], pa.list_(pa.int64()))})
-
-    model = stage(_gram_counts(docs, shards).groupBy("shard").applyInArrow(trie, "shard int, words binary, trie binary, top_keys array<long>, top_codes array<long>"), "lm-tries")
-    best = model.select(F.explode(F.arrays_zip("top_keys", "top_codes")).alias("x")).select("x.top_keys", "x.top_codes").toArrow()
-    keys, codes = best["top_keys"].to_numpy().view(U), best["top_codes"].to_numpy()
-    order = np.argsort(keys)
-    return words, vocabulary, model.select("shard", "words", "trie"), (keys[order], codes[order])
-
-
-def score(docs: DataFrame, hot: int = HOT, shards: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, shards: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
-    NULL and empty texts are one end token.  A NULL id counts as an empty text in
-    the fold rule.  Without training tokens every word is unknown and all
-    probabilities are uniform over the end and the class of unknown words.
+    NULL and empty texts are one end token.  A NULL id counts as an empty text in the
+    fold rule.  Rows that repeat an id are scored each on its own, and learned from as
+    often as they occur.  Without training tokens every word is unknown.  An empty table
+    gives an empty table.  Other columns are ignored.  A very long text is one slice: its
+    distinct words and bigrams must fit a task.
     """
     spark = docs.sparkSession
     shards = shards or max(16, 2 * shuffle_partitions(spark))
     fold = F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == HELD_OUT
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), fold.alias("held_out"))
-    words, vocabulary, model, (top_keys, top_codes) = train(rows.select("text", "held_out"), shards, hot)
-    top = spark.sparkContext.broadcast((vocabulary, top_keys, top_codes.astype(np.uint8)))
-
-    def looked_up(grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(words to ask for, counts of the others, bigrams to ask for, codes of the others)."""
-        v, known, codes = top.value
-        hit, counts = v.find(grams.words)
-        names = grams.names
-        at = np.minimum(np.searchsorted(known, names), max(0, len(known) - 1))
-        seen = known[at] == names if len(known) else np.zeros(len(names), bool)
-        return np.flatnonzero(~hit), counts, np.flatnonzero(~seen), np.where(seen, codes[at], 0) if len(known) else np.zeros(len(names), np.int64)
+    words, first, total = count_words(rows.select("text", "held_out"), shards)
+    distinct = int(first[-1])
 
     def read(batches):
-        for batch in slices(batches, limit=_SLICE):
-            n, name = batch.num_rows, uuid.uuid4().hex
+        part = TaskContext.get().partitionId()
+        for k, batch in enumerate(slices(batches, limit=_SLICE)):
             keys, row = tokens(batch.column("text"))
-            grams, gram = bigrams(keys, row)
-            order = np.argsort(gram, kind="stable")
-            body = pa.StructArray.from_arrays([batch.column("doc_id"), batch.column("held_out")], ["doc_id", "held_out"])
-            local = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), body)
-            uses = np.bincount(gram, minlength=len(grams.codes))
-
-            def message(shard, body, *blobs):
-                return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([shard], pa.int32()), body, *(pa.array([x], pa.binary()) for x in blobs)], names=["slice", "shard", "local", "words", "codes", "uses", "rows"])
-
-            yield message(-1, local, pack_sorted(grams.words), pack_sorted(grams.codes), pack(uses.astype("<u4")), pack(row[order].astype("<u4")))
-            some, _, open_, _ = looked_up(grams)
-            asked = grams.words[some]
-            for i, z in _by_shard(word_shard(asked, shards), shards):
-                yield message(i, pa.nulls(1, local.type), pack_sorted(asked[z]), None, None, None)
-            for i, at in dealt(grams, open_, shards):
-                mine = grams.take(at)
-                yield message(shards + i, pa.nulls(1, local.type), pack_sorted(mine.words), pack_sorted(mine.codes), None, None)
-
-    local = "array<struct<doc_id:long,held_out:boolean>>"
-    asked = stage(rows.mapInArrow(read, f"slice string, shard int, local {local}, words binary, codes binary, uses binary, rows binary"), "lm-asked")
-
-    def answer(table: pa.Table) -> pa.Table:
-        shard = table["shard"][0].as_py()
-        held = [(w.as_py(), x.as_py()) for s, w, x in zip(table["slice"], table["words"], table["codes"]) if not s.is_valid]
-        own = unpack_sorted(held[0][0]) if held else np.zeros(0, U)
-        if held:
-            counts, trie = (unpack(held[0][1], "<u4"), None) if shard < shards else (None, NgramTrie.read(np.frombuffer(held[0][1], np.uint8)))
-        out = []
-        for s, w, c in zip(table["slice"], table["words"], table["codes"]):
+            names, number = np.unique(keys, return_inverse=True)
+            sizes = np.diff(row_bounds(row, batch.num_rows))
+            name = part << 32 | k  # the same when the task runs again
+            about = [dict(doc_id=i, held_out=h) for i, h in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist())]
+            out = [_message(name, -1, pack_sorted(names), pack(number.astype("<u4")), pack(sizes.astype("<u4")), docs=about)]
+            out += [_message(name, i, pack_sorted(names[z])) for i, z in _by_shard(word_shard(names, shards), shards)]
+            yield from _table(out).to_batches()
+
+    def answer_words(table: pa.Table) -> pa.Table:
+        own, counts = np.zeros(0, U), np.zeros(0, np.int64)
+        for s, a, b in zip(table["slice"], table["a"], table["b"]):
             if not s.is_valid:
-                continue
-            keys = unpack_sorted(w.as_py())
-            at = np.minimum(np.searchsorted(own, keys), max(0, len(own) - 1))
-            hit = own[at] == keys if len(own) else np.zeros(len(keys), bool)
-            if shard < shards:
-                found = np.where(hit, counts[at], 0).astype("<u4") if len(own) else np.zeros(len(keys), "<u4")
-            else:
-                context, word = Grams(keys, unpack_sorted(c.as_py())).numbers
-                found = np.zeros(len(context), np.uint8)
-                both = np.flatnonzero(hit[context] & hit[word])
-                if len(both):
-                    found[both] = np.rint(trie.lookup(at[context[both]], at[word[both]]) / NgramTrie.STEP)
-            out.append((s.as_py(), shard, pack(found)))
-        return pa.table({"slice": pa.array([x[0] for x in out], pa.string()), "shard": pa.array([x[1] for x in out], pa.int32()), "found": pa.array([x[2] for x in out], pa.binary())})
-
-    none = F.lit(None).cast("string").alias("slice")
-    held = words.select(none, "shard", F.col("keys").alias("words"), F.col("counts").alias("codes")).unionByName(model.select(none, (F.col("shard") + shards).alias("shard"), "words", F.col("trie").alias("codes")))
-    answers = asked.filter("shard >= 0").select("slice", "shard", "words", "codes").unionByName(held).groupBy("shard").applyInArrow(answer, "slice string, shard int, found binary")
-    kept = [F.lit(None).cast(t).alias(c) for c, t in (("local", local), ("words", "binary"), ("codes", "binary"), ("uses", "binary"), ("rows", "binary"))]
-    own = asked.filter("shard < 0").withColumn("found", F.lit(None).cast("binary"))
-    parts = own.unionByName(answers.select("slice", "shard", "found", *kept))
+                own, counts = unpack_sorted(a.as_py()), unpack(b.as_py(), "<u8").astype(np.int64)
+        out, shard = [], table["shard"][0].as_py()
+        for s, a in zip(table["slice"], table["a"]):
+            if s.is_valid:
+                keys = unpack_sorted(a.as_py())
+                at = np.minimum(np.searchsorted(own, keys), max(0, len(own) - 1))
+                hit = own[at] == keys if len(own) else np.zeros(len(keys), bool)
+                out.append(_message(s.as_py(), shard, np.packbits(hit).tobytes(), pack_sorted(at[hit].astype(U)), pack(counts[at[hit]].astype("<u8"))))
+        return _table(out)
+
+    def ask_grams(table: pa.Table) -> pa.Table:
+        shard = table["shard"].to_numpy()
+        mine = int(np.flatnonzero(shard < 0)[0])
+        name, about = table["slice"][mine].as_py(), table["docs"][mine].as_py()
+        keys = unpack_sorted(table["a"][mine].as_py())
+        token, sizes = (unpack(table[c][mine].as_py(), "<u4").astype(np.int64) for c in ("b", "c"))
+        number, count = np.full(len(keys), -1), np.zeros(len(keys), np.int64)
+        places = dict(_by_shard(word_shard(keys, shards), shards))
+        for i, a, b, c in zip(shard.tolist(), table["a"], table["b"], table["c"]):
+            if i >= 0:
+                z = places[i]
+                hit = np.unpackbits(np.frombuffer(a.as_py(), np.uint8), count=z.stop - z.start).astype(bool)
+                number[z][hit] = first[i] + unpack_sorted(b.as_py()).astype(np.int64)
+                count[z][hit] = unpack(c.as_py(), "<u8")
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        held = np.array([d["held_out"] for d in about], bool)
+        ends = np.cumsum(sizes)
+        context = np.r_[0, token[:-1]][: len(token)]
+        context[ends - sizes] = np.searchsorted(keys, _END)  # a text begins after an end
+        n = U(max(1, len(keys)))
+        grams, gram = np.unique(context.astype(U) * n + token.astype(U), return_inverse=True)
+        c, w = (grams // n).astype(np.int64), (grams % n).astype(np.int64)
+        size = total + distinct + 1
+        back = quanta(np.where(count[c] > 0, 1 - MIX, 1.0) * (count[w] + 1) / size)
+        known = (number[c] >= 0) & (number[w] >= 0)
+        code = np.where(known, number[c].astype(U) * U(max(1, distinct)) + number[w].astype(U), U(0))
+        to = np.where(known, gram_shard(number[c], number[w], shards), shards)
+        order = np.lexsort((code, to))
+        trained = np.bincount(gram[~held[row]], minlength=len(grams))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        by_gram = np.argsort(place[gram], kind="stable")
+        uses = np.bincount(gram, minlength=len(grams))[order]
+        base = np.bincount(row, np.log10(count[token] + 1) - np.log10(size), len(sizes))
+        found = np.bincount(row, count[token] > 0, len(sizes)).astype(int)
+        full = [dict(d, n_tokens=int(t), n_known=int(f), base=float(x)) for d, t, f, x in zip(about, sizes.tolist(), found.tolist(), base.tolist())]
+        out = [_message(name, -1, pack(uses.astype("<u4")), pack(row[by_gram].astype("<u4")), pack(back[order]), docs=full)]
+        for i, z in _by_shard(to[order], shards):
+            at = order[z]
+            out.append(_message(name, i, pack_sorted(code[at]), pack(trained[at].astype("<u4")), pack(coded(count[c[at]]).astype(np.uint8)), pack(coded(count[w[at]]).astype(np.uint8))))
+        return _table(out)
+
+    def answer_grams(table: pa.Table) -> pa.Table:
+        asked = [unpack_sorted(x.as_py()) for x in table["a"]]
+        codes = np.concatenate(asked)
+        counts, context, word = (np.concatenate([unpack(x.as_py(), t) for x in table[c]]) for c, t in (("b", "<u4"), ("c", np.uint8), ("d", np.uint8)))
+        some = np.flatnonzero(counts)
+        seen, at = np.unique(codes[some], return_index=True)
+        sums = np.bincount(np.searchsorted(seen, codes[some]), counts[some], len(seen))
+        built = trie_of(seen, sums, context[some][at], word[some][at], total, distinct)
+        out = []
+        with tempfile.TemporaryFile() as file:  # the levels, mapped while this task asks them
+            file.write(built.to_bytes())
+            file.flush()
+            trie = NgramTrie.read(np.memmap(file, np.uint8, "r"))
+            for name, shard, mine in zip(table["slice"].to_pylist(), table["shard"].to_pylist(), asked):
+                q = trie.lookup((mine // U(distinct)).astype(np.int64), (mine % U(distinct)).astype(np.int64))
+                out.append(_message(name, shard, pack(np.rint(q / NgramTrie.STEP).astype(np.uint8))))
+        return _table(out)
 
     def finish(table: pa.Table) -> pa.Table:
-        v = top.value[0]
-        mine = next(i for i, x in enumerate(table["shard"].to_pylist()) if x < 0)
-        body = table["local"][mine].values
-        grams = Grams(*(unpack_sorted(table[c][mine].as_py()) for c in ("words", "codes")))
-        uses, row = (unpack(table[c][mine].as_py(), "<u4").astype(np.int64) for c in ("uses", "rows"))
-        found = {s: x.as_py() for s, x in zip(table["shard"].to_pylist(), table["found"]) if s >= 0}
-        some, counts, open_, codes = looked_up(grams)
-        for i, z in _by_shard(word_shard(grams.words[some], shards), shards):
-            counts[some[z]] = unpack(found[i], "<u4")
-        for i, at in dealt(grams, open_, shards):
-            codes[at] = unpack(found[shards + i], np.uint8)
-        context, word = grams.numbers
-        lower = (counts[word] + 1) / (v.total + v.distinct + 2)
-        seen = np.maximum(1, counts[context])
-        p = np.where(counts[context] > 0, (1 - MIX) * lower + MIX * LEVELS[codes] / seen, lower)
-        base = np.log10(counts[word] + 1) - np.log10(v.total + v.distinct + 1)
-        n = len(body)
-        known, base, value = (np.bincount(row, np.repeat(x, uses), n) for x in (counts[word] > 0, base, np.log10(p)))
-        return pa.table({"doc_id": body.field("doc_id"), "held_out": body.field("held_out"), "n_tokens": pa.array(np.bincount(row, minlength=n)), "n_known": pa.array(known.astype(np.int64)),
-                         "train_tokens": pa.array(np.full(n, v.total)), "base_score": pa.array(base), "score": pa.array(value)})
-
+        shard = table["shard"].to_numpy()
+        mine = int(np.flatnonzero(shard < 0)[0])
+        uses, row = (unpack(table[c][mine].as_py(), "<u4").astype(np.int64) for c in ("a", "b"))
+        value = unpack(table["c"][mine].as_py(), np.uint8).astype(np.int64)
+        answers = [unpack(table["a"][int(i)].as_py(), np.uint8) for i in np.argsort(shard, kind="stable") if shard[i] >= 0]
+        if answers:
+            q = np.concatenate(answers)
+            value[: len(q)] = np.where(q > 0, q, value[: len(q)])
+        about = table["docs"][mine].as_py()
+        value = -STEP * np.bincount(row, np.repeat(value, uses), len(about))
+        columns = {n: pa.array([d[k] for d in about], t) for n, k, t in (("doc_id", "doc_id", pa.int64()), ("held_out", "held_out", pa.bool_()), ("n_tokens", "n_tokens", pa.int64()), ("n_known", "n_known", pa.int64()))}
+        return pa.table({**columns, "train_tokens": pa.array(np.full(len(about), total)), "base_score": pa.array([d["base"] for d in about], pa.float64()), "score": pa.array(value)})
+
+    asked = rows.mapInArrow(read, _MESSAGE)
+    null = lambda c, t: F.lit(None).cast(t).alias(c)
+    held = words.select(null("slice", "long"), "shard", F.col("keys").alias("a"), F.col("counts").alias("b"), null("c", "binary"), null("d", "binary"), null("docs", _DOCS))
+    numbers = asked.filter("shard >= 0").unionByName(held).groupBy("shard").applyInArrow(answer_words, _MESSAGE)
+    middle = asked.filter("shard < 0").unionByName(numbers).groupBy("slice").applyInArrow(ask_grams, _MESSAGE)
+    answers = middle.filter("shard >= 0").groupBy("shard").applyInArrow(answer_grams, _MESSAGE)
+    parts = middle.filter("shard < 0").unionByName(answers)
     return parts.groupBy("slice").applyInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
