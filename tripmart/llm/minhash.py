@@ -12,12 +12,14 @@
    So buckets whose members are still in different components get further
    stars, around members outside the largest one's component (sixteen times as
    many each round), until every such member has been a centre.  Nothing is capped.
-   Pairs whose sketches differ too much for the similarity asked for are passed
-   over: one bit of each bin, compared as numbers inside the join.
+   A pair is compared in the first bucket that it shares, and passed over where
+   wide sketches (2048 bits, of the members of such buckets only, from their full
+   sets) differ too much for the similarity asked for.
 
 With 44 bands of 5 rows a pair at similarity 0.75 shares no bucket with
-probability (1 - 0.75^5)^44 = 7e-6; two of its sketches of 220 bits differ in 28 bits
-on average, with a deviation of 5, and are passed over beyond 56.
+probability (1 - 0.75^5)^44 = 7e-6; its wide sketches differ in 256 bits on average,
+with a deviation of 15, and it is passed over beyond 342 (1e-8).  Pairs below 0.67
+differ in more, as a rule.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +40,8 @@ from tripmart.llm.common import (
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 75, 44, 5
 _PROBES = 64
 _FILTER_BITS = 24
+#: Bits of a wide sketch: one of the least value in each bin of each permutation.
+_ROUNDS, _WIDE_BINS = 128, 16
 #: Below so many shingles the bins of a sketch repeat each other: no pair is passed over.
 _SKETCH_LEAST = 60
 
@@ -72,9 +77,8 @@ def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray], bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """One-permutation sketches with optimal densification: (sets, bands) bucket
-    keys, and one bit of each bin, 64 to a number."""
+def signatures(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
+    """One-permutation sketches with optimal densification: (sets, bands) bucket keys."""
     bins, n = bands * rows, len(sets)
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(n), sizes)
@@ -98,25 +102,54 @@ def signatures(sets: list[np.ndarray], bands: int, rows: int) -> tuple[np.ndarra
     keys = np.broadcast_to(mix(np.arange(1, bands + 1).astype(U)), (n, bands)).copy()
     for r in range(rows):
         keys = mix(keys * U(0x9E3779B97F4A7C15) + grouped[:, :, r])
-    flags = np.zeros((n, -(-bins // 64) * 64), bool)
-    flags[:, :bins] = (sketch >> U(17)) & U(1)
-    return keys, np.packbits(flags, axis=1, bitorder="little").view(U)
+    return keys
+
+
+def wide_sketch(shingles: np.ndarray) -> np.ndarray:
+    """One bit of the least value in each of 16 bins, for 128 permutations: 32 numbers.
+    An empty bin borrows from the same bin of the next permutations."""
+    least = np.full((_ROUNDS, _WIDE_BINS), U(0xFFFFFFFFFFFFFFFF))
+    seeds = mix(np.arange(1, _ROUNDS + 1).astype(U) * U(0x9E3779B97F4A7C15))
+    for part in np.array_split(shingles, -(-len(shingles) // 8192)):  # bounded memory for long texts
+        value = mix(part[None, :] ^ seeds[:, None])
+        at = (value >> U(60)).astype(np.int64) + _WIDE_BINS * np.arange(_ROUNDS)[:, None]
+        np.minimum.at(least.reshape(-1), at.ravel(), value.ravel())
+    own, missing = least, least == U(0xFFFFFFFFFFFFFFFF)
+    for k in range(1, _ROUNDS):
+        if not missing.any():
+            break
+        donor = np.roll(own, -k, axis=0)
+        filled = missing & (donor != U(0xFFFFFFFFFFFFFFFF))
+        least = np.where(filled, mix(donor + U(k)), least)
+        missing &= ~filled
+    return np.packbits(((least >> U(17)) & U(1)).astype(bool).ravel(), bitorder="little").view(U)
+
+
+def wide_sketches(sets: DataFrame) -> DataFrame:
+    """(doc, bits) of (doc, shingles), a set at a time."""
+
+    def run(batches):
+        for batch in batches:
+            bits = [wide_sketch(s.values.to_numpy().view(U)).view(np.int64) for s in batch.column("shingles")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(list(bits), pa.list_(pa.int64()))], names=["doc", "bits"])
+
+    return sets.select("doc", "shingles").mapInArrow(run, "doc long, bits array<long>")
 
 
 def sketch_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, bands, bits): k1 and k2 name the whole set."""
+    """(doc_id, n_shingles, k1, k2, bands): k1 and k2 name the whole set."""
 
     def run(batches):
         for batch in slices(batches):
             sets = shingle_sets(batch.column("text"), shingle)
-            keys, bits = signatures(sets, bands, rows)
+            keys = signatures(sets, bands, rows)
             sizes = np.array([len(s) for s in sets], np.int64)
             k1 = np.array([int(mix(s).sum(dtype=U)) for s in sets], U).view(np.int64)
             k2 = np.array([int(mix(s ^ U(0xD1B54A32D192ED03)).sum(dtype=U)) for s in sets], U).view(np.int64)
-            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * x.shape[1], pa.int32()), pa.array(x.view(np.int64).ravel())) for x in (keys, bits)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(k1), pa.array(k2), *lists], names=["doc_id", "n_shingles", "k1", "k2", "bands", "bits"])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(keys.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(k1), pa.array(k2), lists], names=["doc_id", "n_shingles", "k1", "k2", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, bits array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -149,26 +182,27 @@ def verified(edges: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) ->
     return counted.filter(100 * F.col("common") >= similarity * (F.col("total") - F.col("common"))).select("a", "b")
 
 
-def _too_different(bins: int, similarity: int):
+def _too_different(similarity: int):
     """Condition on (bits, hub_bits): more differing bits than a similar pair has,
     by over five and a half deviations."""
-    words = -(-bins // 64)
-    differ = sum((F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("hub_bits", F.lit(k)))) for k in range(words)), F.lit(0))
+    bins = _ROUNDS * _WIDE_BINS
+    differ = sum((F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("hub_bits", F.lit(k)))) for k in range(bins // 64)), F.lit(0))
     share = (1 - similarity / 100) / 2
     most = bins * share + 5.75 * (bins * share * (1 - share)) ** 0.5
     return (F.least("n", "hub_n") >= _SKETCH_LEAST) & (differ > int(most))
 
 
-def bucket_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, bins: int, similarity: int = SIMILARITY) -> DataFrame:
+def bucket_links(members: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Verified links (a, b) that give every bucket's links the same components.
 
     ``members``: (key, doc, n, c) of buckets with c >= 2 documents, staged;
-    ``sketches``: (doc, bits), staged."""
+    ``classes``: (doc, bands), staged; ``sets``: (doc, shingles), staged."""
 
     def pairs(hubs: DataFrame, others: DataFrame) -> DataFrame:
         may = (F.col("hub") != F.col("doc")) & (100 * F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n"))
         if "bits" in others.columns:
-            may = may & (F.col("comp") != F.col("hub_comp")) & ~_too_different(bins, similarity)
+            first_shared = F.element_at(F.array_intersect("hub_bands", "bands"), 1) == F.col("key")
+            may = may & (F.col("comp") != F.col("hub_comp")) & ~_too_different(similarity) & first_shared
         met = hubs.join(others.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & may)
         return met.select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
 
@@ -179,11 +213,15 @@ def bucket_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, bins:
     tested = stage(pairs(first, members), "star")
     links = stage(verified(tested, sets, similarity), "links")
     several = members.filter("c > 2").select("key", "doc", "n")  # a bucket of two is one pair, tested
-    used, centres, more, open_ = first.select("key", "hub"), 4, links, None
+    used, centres, more, open_, wide = first.select("key", "hub"), 4, links, None, None
     while True:
         if open_ is None or not more.isEmpty():
-            open_ = _open_buckets(several, components(links), sketches)
-        strays = open_.filter("comp <> home").select("key", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"), F.col("bits").alias("hub_bits"))
+            torn = _open_buckets(several, components(links))
+            if wide is None:  # buckets only close: these are all that will be asked for
+                some = torn.select("doc").distinct()
+                wide = stage(wide_sketches(sets.join(some, "doc", "left_semi")).join(classes.select("doc", "bands"), "doc"), "wide")
+            open_ = stage(torn.join(wide, "doc"), "open")
+        strays = open_.filter("comp <> home").select("key", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"), F.col("bits").alias("hub_bits"), F.col("bands").alias("hub_bands"))
         rank = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("hub"), "hub"))
         hubs = stage(strays.join(used, ["key", "hub"], "left_anti").withColumn("_r", rank).filter(F.col("_r") <= centres).drop("_r"), "centres")
         if hubs.isEmpty():
@@ -194,14 +232,13 @@ def bucket_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, bins:
         tested, used, centres = tested.unionByName(new), used.unionByName(hubs.select("key", "hub")), 16 * centres
 
 
-def _open_buckets(members: DataFrame, comp: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Members (key, doc, n, comp, home, bits) of buckets that hold several components;
+def _open_buckets(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (key, doc, n, comp, home) of buckets that hold several components;
     ``home`` is the component with most of the bucket."""
     placed = members.join(comp, members.doc == comp.node, "left").select("key", "doc", "n", F.coalesce("root", "doc").alias("comp"))
     counts = placed.groupBy("key", "comp").agg(F.count("*").alias("k")).groupBy("key").agg(F.max(F.struct("k", "comp")).alias("h"), F.count("*").alias("comps"))
     mixed = counts.filter("comps > 1").select(F.col("key").alias("_key"), F.col("h.comp").alias("home"))
-    torn = placed.join(mixed, F.col("key") == F.col("_key")).drop("_key")
-    return stage(torn.join(sketches.select(F.col("doc").alias("_d"), "bits"), F.col("doc") == F.col("_d")).drop("_d"), "open")
+    return stage(placed.join(mixed, F.col("key") == F.col("_key")).drop("_key"), "torn")
 
 
 def near_duplicates(
@@ -217,12 +254,12 @@ def near_duplicates(
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketches = stage(sketch_documents(base, bands, rows, shingle), "sketches")
     usable = sketches.filter("n_shingles > 0 and doc_id is not null")
-    classes = stage(usable.groupBy("k1", "k2", "n_shingles").agg(F.min(F.struct("doc_id", "bands", "bits")).alias("m")).select("k1", "k2", F.col("n_shingles").alias("n"), "m.bands", "m.bits", F.col("m.doc_id").alias("doc")), "classes")
+    classes = stage(usable.groupBy("k1", "k2", "n_shingles").agg(F.min(F.struct("doc_id", "bands")).alias("m")).select("k1", "k2", F.col("n_shingles").alias("n"), "m.bands", F.col("m.doc_id").alias("doc")), "classes")
     spread = classes.select("doc", "n", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     members = stage(spread.join(shared, "key").select("key", "doc", "n", "c"), "buckets")
     sets = full_sets(base, members.select("doc"), shingle)
-    roots = components(bucket_links(members, classes.select("doc", "bits"), sets, bands * rows, similarity))
+    roots = components(bucket_links(members, classes.select("doc", "bands"), sets, similarity))
     labels = classes.join(roots, classes.doc == roots.node, "left").select("k1", "k2", F.col("n").alias("_n"), F.coalesce("root", "doc").alias("_root"))
     named = sketches.join(labels, (sketches.k1 == labels.k1) & (sketches.k2 == labels.k2) & (sketches.n_shingles == labels._n) & sketches.doc_id.isNotNull(), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id"))
@@ -230,10 +267,24 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without near duplicates: the smallest id of each component stays.
-
-    Only the ids to go are joined back; they are a minority, the texts stay put
-    where the planner can broadcast them and are shuffled once otherwise."""
-    found = stage(near_duplicates(docs, doc_id=doc_id, **options), "near")
-    gone = found.filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id] == gone._gone, "left_anti")
+    """``docs`` without near duplicates, with their columns: the smallest id of each
+    component stays.  Texts without words and rows without id stay; of rows that are
+    equal in all columns one stays, other rows that share an id stay or go together.
+
+    A bitmap of fixed size marks the ids that go or repeat.  Rows that miss it stay
+    where they are; only those that hit it, mostly rows that go, are shuffled for the
+    exact join."""
+    found = stage(near_duplicates(docs, doc_id=doc_id, **options).filter("doc_id is not null"), "near")
+    ids = found.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    asked = stage(ids.filter("not kept or n > 1").select(F.col("doc_id").alias("_asked"), F.col("kept").alias("_kept")), "near-asked")
+    bitmap = docs.sparkSession.sparkContext.broadcast(Bitmap.of(asked, "_asked", _FILTER_BITS))
+
+    @F.pandas_udf("boolean")
+    def hit(slot: pd.Series) -> pd.Series:
+        return pd.Series(bitmap.value.has_slots(slot.fillna(0).to_numpy().astype(np.int64)) & slot.notna().to_numpy())
+
+    marked = docs.withColumn("_hit", hit(F.when(F.col(doc_id).isNotNull(), Bitmap.slot(doc_id, _FILTER_BITS))))
+    rest = marked.filter("_hit").drop("_hit").join(asked, F.col(doc_id) == F.col("_asked"), "left")
+    alone = rest.filter("_asked is null").select(*docs.columns)  # hit by chance
+    repeated = rest.filter("_kept").select(*docs.columns).distinct()
+    return marked.filter("not _hit").select(*docs.columns).unionByName(alone).unionByName(repeated)
