@@ -1,3 +1,4 @@
+from tripmart.operators import dedup as dd
 from tripmart.operators.dedup import dedup
 
 
@@ -32,3 +33,24 @@ def test_dedup_is_deterministic_across_partitionings(spark):
     a = sorted(map(tuple, dedup(df).collect()))
     b = sorted(map(tuple, dedup(df.repartition(7)).collect()))
     assert a == b and len(a) == 4599
+
+
+def test_moved_rows_give_the_same_survivors_with_and_without_hot_keys(spark):
+    rows = [(f"t{i % 40}" if i % 3 else None, f"2024-01-0{i % 5 + 1}" if i % 7 else None, i % 4, None if i % 6 == 0 else f"2024-02-0{i % 9 + 1}") for i in range(600)]
+    df = spark.createDataFrame(rows, "trip_id string, departure_time string, v int, _ingestion_timestamp string")
+    want = sorted(map(repr, dd.dedup(df, copies="n").collect()))
+    everything = list(range(dd.HOT_BUCKETS))
+    some = [r[0] for r in df.select(dd._bucket(dd.NATURAL_KEY)).distinct().limit(9).collect()]
+    for hot in ([], some, everything):
+        assert sorted(map(repr, dd.dedup_moved(df, hot, copies="n").collect())) == want
+    # rows are moved as they are: the aggregate comes after the only exchange
+    lines = dd.dedup_moved(df, [])._jdf.queryExecution().executedPlan().toString().split("\n")
+    shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and not any("Aggregate" in line for line in lines[shuffles[0] :])
+
+
+def test_hot_buckets_are_found(spark, monkeypatch):
+    df = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as trip_id", "1 as departure_time")
+    assert dd.hot_buckets(df) == []
+    monkeypatch.setattr(dd, "HOT_ROWS", 100)
+    assert dd.hot_buckets(df) == [df.filter("trip_id = 'hot'").select(dd._bucket(dd.NATURAL_KEY)).first()[0]]
