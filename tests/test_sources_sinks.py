@@ -95,3 +95,25 @@ def test_synth_distribution(spark):
     assert 0.2 < stats["delayed"] < 0.3 and stats["same"] == 0.0 and stats["ids"] == 20000
     again = synthesize(spark.range(20000).withColumnRenamed("id", "k").repartition(3), ["k"])
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_append_without_clustering_is_written_by_the_tasks_that_have_the_rows(spark):
+    from tripmart.session import scratch_path
+
+    path = scratch_path(spark, "append")
+    df = spark.range(0, 400, 1, 4).selectExpr("id", "date'2024-01-01' as day")
+    assert sinks.append_partitioned(df, path, "day", cluster=False) == 400
+    assert spark.read.parquet(path).select("_metadata.file_path").distinct().count() == 4
+
+
+def test_files_for_broken_and_quoted_lines_grow_with_the_rows(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from tripmart.plans import queries
+
+    paths, real = [], queries.scratch_path
+    monkeypatch.setattr(queries, "scratch_path", lambda *a: paths.append(real(*a)) or paths[-1])
+    monkeypatch.setattr(queries, "CSV_ROWS", 150)
+    assert queries.s1_corrupt(spark, SF_SMALL).first()["rows"] == queries.trips(spark, SF_SMALL).count()
+    assert len(sinks.partition_values(spark, paths[0], "part")) > 30
+    assert queries.s1_quoted_lines(spark, SF_SMALL).count() == queries.trips(spark, SF_SMALL).count()
+    assert spark.read.format("binaryFile").load(f"{paths[1]}/*.csv").count() >= 4
