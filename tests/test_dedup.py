@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tripmart.operators import dedup as dd
 from tripmart.operators.dedup import dedup
 
@@ -54,3 +56,22 @@ def test_hot_buckets_are_found(spark, monkeypatch):
     assert dd.hot_buckets(df) == []
     monkeypatch.setattr(dd, "HOT_ROWS", 100)
     assert dd.hot_buckets(df) == [df.filter("trip_id = 'hot'").select(dd._bucket(dd.NATURAL_KEY)).first()[0]]
+
+
+def test_rows_moved_by_a_unit_of_the_key_give_the_same_survivors(spark, monkeypatch):
+    rows = [(f"t{i % 40}" if i % 3 else None, f"2024-01-0{i % 5 + 1}" if i % 7 else None, i % 4, None if i % 6 == 0 else f"2024-02-0{i % 9 + 1}") for i in range(600)]
+    df = spark.createDataFrame(rows, "trip_id string, departure_time string, v int, _ingestion_timestamp string")
+    want = sorted(map(repr, dd.dedup(df, copies="n").collect()))
+    day = F.to_date("departure_time")
+    counted = dd.bucket_rows(df, day=day)
+    assert sum(counted["keys"].values()) == sum(counted["day"].values()) == 600 and len(counted["day"]) == 6
+    hot = [r[0] for r in df.select(dd._bucket(dd.NATURAL_KEY)).distinct().limit(5).collect()]
+    for task_rows, most in ((dd.TASK_ROWS, 1), (160, 6)):  # days in one piece, and in several
+        monkeypatch.setattr(dd, "TASK_ROWS", task_rows)
+        part = dd.part_of(day, counted["day"])
+        pieces = df.groupBy("departure_time").agg(F.count_distinct(part).alias("n")).agg(F.max("n")).first()[0]
+        assert (pieces == 1) if most == 1 else (1 < pieces <= most)
+        for some in ([], hot):
+            assert sorted(map(repr, dd.dedup_moved(df, some, part=part, rows=600, copies="n").collect())) == want
+    lines = dd.dedup_moved(df, [], part=part, rows=600)._jdf.queryExecution().executedPlan().toString()
+    assert lines.count("Exchange hashpartitioning") == 1

@@ -107,3 +107,56 @@ def test_command_line(spark, capsys):
     assert set(outs[0]) == {f"gold_{k}" for k in SERVING_CONTRACTS}
     assert outs[1]["model_used"] == "heuristic" and outs[2]["model_used"] == "PipelineModel"
     assert outs[3]["rows"] == 20
+
+
+def test_both_sides_without_the_rows_that_do_not_reach_them(spark):
+    from tripmart.operators.refine import cast_types
+    from tripmart.plans import pipeline
+
+    raw = bronze_of(spark, n=200)
+    # copies: a worse and a newer one, equal ones from two sources, all of them bad, keys without values
+    bad = raw.filter("train_id > 'BR-5'").withColumn("cargo_weight_tons", F.lit(None).cast("double"))
+    newer = raw.filter("train_id < 'BR-4'").withColumns({"operator": F.lit("NEW"), "_ingestion_timestamp": F.lit("2024-01-10T00:00:00+00:00")})
+    nobody = raw.limit(30).withColumns({"trip_id": F.lit(None).cast("string"), "departure_time": F.lit(None).cast("string")})
+    every = raw.unionByName(bad).unionByName(newer).unionByName(nobody).withColumn("_source_path", F.lit("a"))
+    every = every.unionByName(raw.withColumn("_source_path", F.lit("b"))).withColumn("_source_path", F.concat("_source_path", "operator"))
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for on_unknown in ("quarantine", "drop"):
+        flagged = pipeline.flag_and_dedup(every, None, on_unknown)
+        silver, quar = pipeline.split_silver(flagged, None, on_unknown=on_unknown)
+        got = pipeline.clean_silver(cast_types(every))
+        assert got.schema == silver.schema and rows(got) == rows(silver)
+        rest = pipeline.rejected(cast_types(every), None, on_unknown)
+        assert rows(rest) == rows(flagged.filter("_dq_status <> 'clean'")) and rest.columns == flagged.columns
+        root = scratch_path(spark, "sides")
+        sinks.overwrite(every, f"{root}/bronze")
+        counts = jobs.refine_job(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", on_unknown=on_unknown)
+        by = flagged.groupBy("_dq_status").count().rdd.collectAsMap()
+        assert counts == {"rows_read": every.count(), "duplicates_removed": every.count() - flagged.count(), "rows_clean": by["clean"],
+                          "rows_quarantined": by.get("quarantine", 0), "rows_dropped": by.get("dropped", 0)}
+        assert rows(spark.read.parquet(f"{root}/silver").select(*silver.columns)) == rows(silver)
+        assert rows(spark.read.parquet(f"{root}/quarantine").select(*quar.columns)) == rows(quar)
+
+
+def test_refine_job_moves_rows_once_for_each_output(spark):
+    import glob
+
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{base.removeprefix('file:')}/tripmart/flagged-*"))
+    root = scratch_path(spark, "once")
+    run(spark, root, bronze_of(spark, n=400))
+    assert set(glob.glob(f"{base.removeprefix('file:')}/tripmart/flagged-*")) == before  # nothing is written to be read back
+    days = glob.glob(f"{root.removeprefix('file:')}/silver/trip_date=*")
+    assert len(days) > 1 and all(len(glob.glob(f"{d}/*.parquet")) == 1 for d in days)
+
+
+def test_trips_are_the_same_when_dealt_by_their_number(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from tripmart.sources import tables
+
+    want = sorted(map(repr, tables.trips(spark, SF_SMALL).collect()))
+    monkeypatch.setattr(tables, "MANY_ORDERS", 0)
+    monkeypatch.setattr(tables, "tasks_for", lambda spark, rows: 3)
+    dealt = tables.trips(spark, SF_SMALL)
+    assert sorted(map(repr, dealt.collect())) == want
+    assert dealt.rdd.getNumPartitions() == 3
