@@ -350,3 +350,18 @@ def test_repeated_and_missing_ids_keep_their_rows_in_the_mixture(spark):
     df = cases.frame(spark, [(1, "a", "s"), (1, "b", "s"), (None, "c", "t"), (None, None, None)])
     out = mixing.in_mixed_order(df, mixing.mix(df)).collect()
     assert sorted(str(r["text"]) for r in out) == ["None", "a", "b", "c"]
+
+
+def test_scans_keep_little_beside_a_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = "some words and a token: abcdefgh12345 among them " * 80
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": [text] * 2000})  # about 8 MB
+    list(secrets.redacted([batch.slice(0, 1)], secrets.RULES, "text"))  # tables of the rules
+    tracemalloc.start()
+    first = next(secrets.redacted([batch], secrets.RULES, "text"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert "[assign]" in first.column("text")[0].as_py() and peak < 50 << 20

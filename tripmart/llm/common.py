@@ -145,6 +145,9 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SLICE_BYTES = 4 << 20
+#: For work that keeps some dozens of bytes for each byte of text: workers of all slots share
+#: an executor's memory, and keep what their largest slice took.
+SMALL_SLICE = 1 << 20
 U = np.uint64
 
 

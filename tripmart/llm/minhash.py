@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tripmart.llm.common import (
-    LOWER, Bitmap, Roller, U, components, mix, row_bounds, slices, stage, text_bytes, word_hashes, word_spans,
+    LOWER, SMALL_SLICE, Bitmap, Roller, U, components, mix, row_bounds, slices, stage, text_bytes, word_hashes, word_spans,
 )
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 75, 44, 5
@@ -140,7 +140,7 @@ def sketch_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shin
     """(doc_id, n_shingles, k1, k2, bands): k1 and k2 name the whole set."""
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE):
             sets = shingle_sets(batch.column("text"), shingle)
             keys = signatures(sets, bands, rows)
             sizes = np.array([len(s) for s in sets], np.int64)
@@ -161,7 +161,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> Dat
     bitmap = spark.sparkContext.broadcast(Bitmap.of(wanted, "doc", _FILTER_BITS))
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE):
             keep = np.flatnonzero(bitmap.value.has_slots(batch.column("_slot").to_numpy()))
             if len(keep):
                 sets = shingle_sets(batch.column("text").take(pa.array(keep)), shingle)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import LOWER, slices, text_bytes
+from tripmart.llm.common import LOWER, SMALL_SLICE, slices, text_bytes
 
 _MANY = 64  # strings kept apart while deriving a query
 
@@ -205,7 +205,7 @@ def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, doc_id:
     kind = pa.struct([("start", pa.int32()), ("rule", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE):
             found = scan_batch(batch.column("text"), rules)
             spans = [[{"start": a, "rule": n, "end": b, "kind": rules[n].kind} for a, n, b in x] for x in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, pa.list_(kind))], names=["doc_id", "spans"])
@@ -213,30 +213,31 @@ def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, doc_id:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
+def redacted(batches, rules: tuple[SecretRule, ...], text: str):
+    """The batches with every secret span of ``text`` replaced, slice by slice."""
+    for batch in slices(batches, text, SMALL_SLICE):
+        at = batch.schema.get_field_index(text)
+        values = batch.column(at)
+        changed = {}
+        for i, spans in enumerate(scan_batch(values, rules)):
+            if spans:
+                whole, out, end = values[i].as_py(), [], 0
+                for a, n, b in spans:
+                    if a >= end:
+                        out += [whole[end:a], f"[{rules[n].kind}]"]
+                    end = max(end, b)
+                changed[i] = "".join([*out, whole[end:]])
+        if changed:
+            mask = np.zeros(len(values), bool)
+            mask[list(changed)] = True
+            values = pa.compute.replace_with_mask(values, pa.array(mask), pa.array(list(changed.values()), values.type))
+        yield batch.set_column(at, batch.schema.field(at), values)
+
+
 def redact(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, text: str = "text") -> DataFrame:
     """``docs`` with every secret span replaced by ``[kind]``; overlapping spans
     become one, named after the first.  All other columns pass unchanged.
 
     NULL and empty texts stay as they are; rows that repeat change alike; an empty table
     stays empty.  A text of any length is scanned whole."""
-
-    def run(batches):
-        for batch in slices(batches, text):
-            at = batch.schema.get_field_index(text)
-            values = batch.column(at)
-            changed = {}
-            for i, spans in enumerate(scan_batch(values, rules)):
-                if spans:
-                    whole, out, end = values[i].as_py(), [], 0
-                    for a, n, b in spans:
-                        if a >= end:
-                            out += [whole[end:a], f"[{rules[n].kind}]"]
-                        end = max(end, b)
-                    changed[i] = "".join([*out, whole[end:]])
-            if changed:
-                mask = np.zeros(len(values), bool)
-                mask[list(changed)] = True
-                values = pa.compute.replace_with_mask(values, pa.array(mask), pa.array(list(changed.values()), values.type))
-            yield batch.set_column(at, batch.schema.field(at), values)
-
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda batches: redacted(batches, rules, text), docs.schema)
