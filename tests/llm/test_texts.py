@@ -365,3 +365,20 @@ def test_scans_keep_little_beside_a_batch():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert "[assign]" in first.column("text")[0].as_py() and peak < 50 << 20
+
+
+def test_packing_encodes_small_slices():
+    import pyarrow as pa
+
+    encoder, taken = packing.encoder_for(queries.TOKENIZER), []
+
+    class Watched:
+        def encode(self, texts):
+            taken.append(texts.nbytes)
+            return encoder.encode(texts)
+
+    texts = [f"{i} some words of a text " * 100 for i in range(2000)]  # about 5 MB
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": texts})
+    found = [r for b in packing.cut_pieces([batch], Watched(), 2048, 0, True) for r in b.to_pylist()]
+    assert max(taken) < 2 << 20 and sorted(r["doc_id"] for r in found) == list(range(2000))
+    assert all(r["ids"] == ids_of(texts[r["doc_id"]]) for r in found[::100])

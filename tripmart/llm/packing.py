@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import LOWER, Roller, salted_rank, shuffle_partitions, slices, stage, text_bytes, word_hashes, word_spans
+from tripmart.llm.common import LOWER, SMALL_SLICE, Roller, salted_rank, shuffle_partitions, slices, stage, text_bytes, word_hashes, word_spans
 
 CAPACITY = 2048
-#: Distinct pieces a worker remembers: about 30 bytes each.
-_CACHE_PIECES = 3_000_000
+#: Distinct pieces a worker remembers: about 30 bytes each, and as much again while it learns.
+_CACHE_PIECES = 1_000_000
 _MARK = "\x01"
 BLOCK_BITS = 12  # places in one sort task of a length: 4096
 
@@ -164,6 +164,35 @@ def encoder_for(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def cut_pieces(batches, encoder: WordEncoder, capacity: int, end_id: int, with_ids: bool):
+    """The pieces of the batches' documents (doc_id, text and perhaps _place), slice by slice."""
+    for batch in slices(batches, limit=SMALL_SLICE):
+        ids, offsets = encoder.encode(batch.column("text"))
+        sizes = np.diff(offsets) + 1
+        n_pieces = -(-sizes // capacity)
+        doc = np.repeat(np.arange(len(sizes)), n_pieces)
+        piece = np.arange(len(doc)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+        start = piece * capacity
+        length = np.minimum(capacity, sizes[doc] - start)
+        tail = np.zeros(len(sizes) and int(sizes.sum()), "<u4")
+        keep = np.ones(len(tail), bool)
+        ends = np.cumsum(sizes) - 1
+        keep[ends] = False
+        tail[keep], tail[ends] = ids, end_id
+        at = (ends - sizes + 1)[doc] + start
+        raw = memoryview(tail).cast("B")
+        crc = np.fromiter((zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())), np.int64, len(at))
+        columns = [batch.column("doc_id").take(pa.array(doc)).cast(pa.int64()), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc)]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+        if with_ids:
+            columns.append(pa.ListArray.from_arrays(pa.array(np.r_[at, len(tail)], pa.int32()), pa.array(tail.astype(np.int32))))
+            names.append("ids")
+        if "_place" in batch.schema.names:
+            columns.append(batch.column("_place").take(pa.array(doc)))
+            names.append("_place")
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def token_pieces(
     docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = True,
     doc_id: str = "doc_id", text: str = "text", place: Column | None = None,
@@ -176,36 +205,7 @@ def token_pieces(
     of ``docs`` are not read.
     """
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "") + (", _place long" if place is not None else "")
-    placed = place is not None
-
-    def run(batches):
-        encoder = encoder_for(tokenizer)
-        for batch in slices(batches, limit=8 << 20):
-            ids, offsets = encoder.encode(batch.column("text"))
-            sizes = np.diff(offsets) + 1
-            n_pieces = -(-sizes // capacity)
-            doc = np.repeat(np.arange(len(sizes)), n_pieces)
-            piece = np.arange(len(doc)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
-            start = piece * capacity
-            length = np.minimum(capacity, sizes[doc] - start)
-            tail = np.zeros(len(sizes) and int(sizes.sum()), "<u4")
-            keep = np.ones(len(tail), bool)
-            ends = np.cumsum(sizes) - 1
-            keep[ends] = False
-            tail[keep], tail[ends] = ids, end_id
-            at = (ends - sizes + 1)[doc] + start
-            raw = memoryview(tail).cast("B")
-            crc = np.fromiter((zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())), np.int64, len(at))
-            columns = [batch.column("doc_id").take(pa.array(doc)).cast(pa.int64()), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc)]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                columns.append(pa.ListArray.from_arrays(pa.array(np.r_[at, len(tail)], pa.int32()), pa.array(tail.astype(np.int32))))
-                names.append("ids")
-            if placed:
-                columns.append(batch.column("_place").take(pa.array(doc)))
-                names.append("_place")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
+    run = lambda batches: cut_pieces(batches, encoder_for(tokenizer), capacity, end_id, with_ids)
     places = [] if place is None else [place.cast("long").alias("_place")]
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *places).mapInArrow(run, schema)
 
