@@ -75,3 +75,27 @@ def test_rows_moved_by_a_unit_of_the_key_give_the_same_survivors(spark, monkeypa
             assert sorted(map(repr, dd.dedup_moved(df, some, part=part, rows=600, copies="n").collect())) == want
     lines = dd.dedup_moved(df, [], part=part, rows=600)._jdf.queryExecution().executedPlan().toString()
     assert lines.count("Exchange hashpartitioning") == 1
+
+
+def test_texts_come_back_from_the_one_column_they_are_moved_in(spark):
+    odd = ["", None, " a ", 'say "x", [y]', "\\", "null", "a\nb\r\tc", "\x00\x01 ", "ação 列車 \U0001f682", "x" * (dd.TEXT_BYTES + 1)]
+    rows = [(i, a, b) for i, a in enumerate(odd) for b in odd[:9]]
+    df = spark.createDataFrame(rows, "k int, trip_id string, note string").withColumn("bytes", F.expr("if(k < 3, cast(x'c3ff41' as string), trip_id)"))
+    one = dd.texts_in_one(df.withColumn("part", F.lit(1)))
+    assert dict(one.dtypes) == {"k": "int", "part": "int", dd._TEXT: "string", dd._PLAIN: "array<string>"}
+    back = dd.texts_apart(one, df)
+    assert back.columns == [*df.columns, "part"] and [t for _, t in back.dtypes] == [*[t for _, t in df.dtypes], "int"]
+    exact = lambda d: sorted(map(repr, d.select("k", *[F.hex(c) for c in ("trip_id", "note", "bytes")]).collect()))
+    assert exact(back) == exact(df)
+    numbers = df.select("k")
+    assert dd.texts_apart(dd.texts_in_one(numbers), numbers).columns == ["k"]
+
+
+def test_rows_moved_by_a_unit_have_their_texts_in_one_column(spark):
+    rows = [(f"t{i % 40}", "2024-01-01", f"v{i % 9}", 'a "b"' if i % 2 else None, "2024-02-01") for i in range(200)]
+    df = spark.createDataFrame(rows, "trip_id string, departure_time string, v string, w string, _ingestion_timestamp string")
+    got = dd.dedup_moved(df, [], part=F.xxhash64("departure_time"), rows=200)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, dd.dedup(df).collect()))
+    lines = got._jdf.queryExecution().executedPlan().toString().split("\n")
+    sent = next(lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert f"AS {dd._TEXT}" in sent and " AS v" not in sent and sent.count(", ") > 0
