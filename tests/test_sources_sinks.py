@@ -1,4 +1,5 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -117,3 +118,30 @@ def test_files_for_broken_and_quoted_lines_grow_with_the_rows(spark, monkeypatch
     assert len(sinks.partition_values(spark, paths[0], "part")) > 30
     assert queries.s1_quoted_lines(spark, SF_SMALL).count() == queries.trips(spark, SF_SMALL).count()
     assert spark.read.format("binaryFile").load(f"{paths[1]}/*.csv").count() >= 4
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_finished_write_leaves_no_shuffle_files(spark):
+    from tripmart.session import staged
+
+    df, before = spark.range(1000).withColumn("day", F.col("id") % 7), _shuffle_files(spark)
+    assert sinks.write_counted(df, scratch_path(spark, "freed"), partition_by=("day",)) == 1000
+    staged(df.repartition(3), "freed")
+    until = time.time() + 10  # block managers are told, not waited for
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_staged_tables_go_with_their_job(spark):
+    from tripmart.session import staged, staging
+
+    with staging(spark):
+        inside = staged(spark.range(5), "inside").inputFiles()[0]
+        assert sinks.exists(spark, inside)
+    assert not sinks.exists(spark, inside) and staged(spark.range(5), "outside").count() == 5
