@@ -192,3 +192,46 @@ def test_inferred_types_of_landing_files(spark):
     want = {f.name: f.dataType for f in spark.read.options(header=True, inferSchema=True, escape='"', basePath=path).csv(path).schema.fields}
     got = infer.infer_types(read_landing(spark, path, base_path=path).drop("year", "month"))
     assert got == {c: t for c, t in want.items() if c not in ("year", "month")}
+
+
+def test_landing_rows_are_moved_as_they_are_typed(spark):
+    from conftest import SF_SMALL
+    from tripmart.sources.tables import trips
+
+    path, df = scratch_path(spark, "landing"), trips(spark, SF_SMALL)
+    plans = []
+    real = sinks.write_counted
+    sinks.write_counted = lambda out, *args, **kwargs: plans.append(out._jdf.queryExecution().optimizedPlan().toString()) or real(out, *args, **kwargs)
+    try:
+        assert sinks.write_landing_csv(df, path, compression="gzip") == df.count()
+    finally:
+        sinks.write_counted = real
+    # the cast to text is above the move, and the move holds one text column
+    assert plans[0].index("as string") < plans[0].index("RebalancePartitions") and "_moved_text" in plans[0]
+    back = read_landing(spark, path, base_path=path).drop("year", "month")
+    same = df.select(*[F.col(c).cast("string") for c in back.columns])
+    assert back.exceptAll(same).isEmpty() and same.exceptAll(back).isEmpty()
+
+
+def test_compressed_files_are_ingested_once_and_nothing_staged_stays(spark):
+    import glob
+    import gzip
+
+    root = landing_of(spark)
+    os.makedirs(f"{root}/in/year=2024/month=3")
+    with gzip.open(f"{root}/in/year=2024/month=3/c.csv.gz", "wt") as f:
+        f.write(HEAD + "t4,SALT\n")
+    before = set(glob.glob(f"{root.rsplit('/', 1)[0]}/new-rows-*"))
+    assert ingest(spark, root) == (3, 4)
+    assert ingest(spark, root) == (0, 0)
+    assert set(glob.glob(f"{root.rsplit('/', 1)[0]}/new-rows-*")) == before
+
+
+def test_streamed_rows_of_one_date_are_not_moved(spark, monkeypatch):
+    from tripmart.streaming import incremental as st
+
+    root = landing_of(spark)
+    monkeypatch.setattr(sinks, "layout", None)
+    schema = read_landing(spark, f"{root}/in", base_path=f"{root}/in").schema
+    assert st.stream_ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", schema) == 3
+    assert st.stream_ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", schema) == 0

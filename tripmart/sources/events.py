@@ -89,10 +89,11 @@ def started_counts(events: DataFrame, **options) -> DataFrame:
     return event_records(events, **options).groupBy("request_id").agg(F.count_if(F.col("rejected").isNull()).alias("executions_started"))
 
 
-def file_identities(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
+def file_identities(spark: SparkSession, path: str, suffix: str = ".csv", compressed: bool = True) -> DataFrame:
     """S6, first level: path, length and modification time of every file below
-    ``path``.  Only the listing is used; no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(path)
+    ``path``, ``compressed`` ones too.  Only the listing is used; no file is opened."""
+    glob = f"*{suffix}" + ("{,.gz,.bz2}" if compressed else "")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     return files.select(
         F.col("_metadata.file_path").alias("_source_path"), F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").alias("modified"),
