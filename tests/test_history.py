@@ -47,3 +47,13 @@ def test_scalable_route_history_equals_window(spark):
 def test_single_row_partition_percent_rank_is_zero(spark):
     df = spark.createDataFrame([(1, "Z", 5.0, "X", "Y")], "id long, cargo_type string, freight_value_brl double, origin_station string, destination_station string")
     assert h.percent_rank_scalable(df).first()["revenue_percentile"] == 0.0
+
+
+def test_route_statistics_are_not_made_from_the_ranked_rows(spark):
+    from conftest import silver_frame
+    from tripmart.operators import history
+    from tripmart.session import staged
+
+    silver = staged(silver_frame(spark, 60), "silver")
+    plan = history.enrich_history(silver)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2  # the ranks and the statistics, once each

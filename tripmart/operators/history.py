@@ -122,9 +122,10 @@ def route_stats(df: DataFrame, route=ROUTE, value: str = "freight_value_brl") ->
     )
 
 
-def route_history(df: DataFrame, route=ROUTE, value: str = "freight_value_brl") -> DataFrame:
-    """W4 + W5, skew-safe: aggregate per route, join back (NULL-safe)."""
-    stats = route_stats(df, route, value)
+def route_history(df: DataFrame, route=ROUTE, value: str = "freight_value_brl", trips: DataFrame | None = None) -> DataFrame:
+    """W4 + W5, skew-safe: aggregate per route, join back (NULL-safe).  ``trips``: the same
+    rows from where they are cheaper to read, if ``df`` is made from them."""
+    stats = route_stats(df if trips is None else trips, route, value)
     renamed = stats.select(*[F.col(c).alias(f"_rs_{c}") for c in route], *stats.columns[len(route):])
     cond = None
     for c in route:
@@ -136,5 +137,5 @@ def route_history(df: DataFrame, route=ROUTE, value: str = "freight_value_brl")
 def enrich_history(df: DataFrame, scalable: bool = True) -> DataFrame:
     """H1: silver + revenue_percentile + route history columns."""
     if scalable:
-        return route_history(percent_rank_scalable(df))
+        return route_history(percent_rank_scalable(df), trips=df)  # the ranks add no row
     return route_history_window(percent_rank_window(df))
