@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import silver_frame
-from tripmart.operators import serve, sinks
+from tripmart.operators import marts, serve, sinks
 from tripmart.plans import jobs
 from tripmart.schema import SERVING_CONTRACTS
 from tripmart.session import scratch_path
@@ -160,3 +160,31 @@ def test_trips_are_the_same_when_dealt_by_their_number(spark, monkeypatch):
     dealt = tables.trips(spark, SF_SMALL)
     assert sorted(map(repr, dealt.collect())) == want
     assert dealt.rdd.getNumPartitions() == 3
+
+
+def test_only_the_columns_of_the_marts_are_cached(spark, monkeypatch):
+    root, cached = scratch_path(spark, "cached"), []
+    silver = silver_frame(spark, 40)
+    silver.write.parquet(f"{root}/silver")
+    monkeypatch.setattr(type(silver), "persist", lambda df, *level: cached.append(df.columns) or df)
+    with_cache = jobs.build_marts(spark, f"{root}/silver", f"{root}/a", cache=True)
+    assert cached == [list(marts.INPUTS)] and with_cache == jobs.build_marts(spark, f"{root}/silver", f"{root}/b")
+    for name in marts.MARTS:
+        one, two = (spark.read.parquet(f"{root}/{x}/{name}") for x in "ab")
+        assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+
+
+def test_a_rerun_holds_one_bronze(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from tripmart.plans import queries
+
+    held = []
+
+    def refined(_, bronze, *args, **kwargs):
+        held.append(sinks.exists(spark, bronze[:-1] + "0"))
+        if len(held) == 2:
+            raise InterruptedError
+    monkeypatch.setattr(queries.jobs, "refine_job", refined)
+    with pytest.raises(InterruptedError):
+        queries.j2_rerun_shrunk_bronze(spark, SF_SMALL)
+    assert held == [True, False]
